@@ -1 +1,8 @@
 """Market and news analytics as Spark DataFrame plans."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Python functions of this package travel to the executors by value, so nothing has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,7 +2,7 @@
 
 import importlib
 
-SECTIONS = ("features",)
+SECTIONS = ("features", "indicators", "frames", "quality")
 
 
 def load():

@@ -38,7 +38,7 @@ def bars_from_ticks(
 
 
 def forward_fill(bars: DataFrame, columns: tuple[str, ...] = ("open", "high", "low", "close"),
-                 series: Series = DAILY) -> DataFrame:
+                 series: Series = DAILY, step: str = "1 day") -> DataFrame:
     """Every ticker gets a row on each session from its first one on; gaps repeat the last prices, volume 0.
 
     The grid grows from each ticker's own first day (a generator, no cross product) and keeps the days on
@@ -49,7 +49,7 @@ def forward_fill(bars: DataFrame, columns: tuple[str, ...] = ("open", "high", "l
     sessions = bars.select("date").distinct()
     grid = (
         bars.groupBy(key).agg(F.min("date").alias("_first"))
-        .select(key, F.explode(F.sequence(F.col("_first"), last_day)).alias("date"))
+        .select(key, F.explode(F.sequence(F.col("_first"), last_day, F.expr(f"INTERVAL {step}"))).alias("date"))
         .join(sessions, "date", "left_semi")
     )
     present = bars.withColumn("_present", F.lit(True))

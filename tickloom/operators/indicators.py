@@ -235,3 +235,13 @@ def technical_indicators(
     return out.withColumns(
         {c: F.lit(None).cast("double") for c in ("vix", "turbulence") if c not in bars.columns}
     )
+
+
+def lookback_tensor(bars: DataFrame, columns: Iterable[str], rows: int, series: Series = DAILY) -> DataFrame:
+    """The last `rows` feature rows as a nested array, oldest first; NULL until there are that many."""
+    columns = list(columns)
+    b = blocks(bars, series, rows)
+    point = F.array(*[F.col(c).cast("double") for c in columns])
+    past = F.collect_list(point).over(b.trailing(rows))
+    add_level(b, {"lookback": F.when(F.col("_rn") >= rows - 1, past)})
+    return b.finish().select(*series.key, series.order, "lookback")

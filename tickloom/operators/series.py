@@ -113,6 +113,41 @@ def blocks(df: DataFrame, series: Series, history: int, block_rows: int = BLOCK_
     return out
 
 
+# Spark re-adds a whole sliding frame for every row; longer windows use differences of running sums.
+SLIDING_ROWS = 64
+
+
+def trailing_moments(b: Blocks, column: str, rows: int, end: int = 0) -> dict[str, Column]:
+    """Count, mean and sample variance of the last `rows` rows, up to `end` rows before the current one.
+
+    A variance within rounding of the block's sum of squares is taken as zero.
+    """
+    if rows <= SLIDING_ROWS:
+        t = b.trailing(rows, end)
+        names = {"count": F.count(column).over(t), "mean": F.avg(column).over(t), "variance": F.var_samp(column).over(t)}
+        add_level(b, {f"_{k}_{column}_{rows}": v for k, v in names.items()})
+        return {k: F.col(f"_{k}_{column}_{rows}") for k in names}
+    x = F.col(column)
+    tag = f"{column}_{rows}"
+    add_level(b, {
+        f"_rc_{tag}": F.count(x).over(b.running()),
+        f"_rs_{tag}": F.coalesce(F.sum(x).over(b.running()), F.lit(0.0)),
+        f"_rq_{tag}": F.coalesce(F.sum(x * x).over(b.running()), F.lit(0.0)),
+    })
+
+    def between(name: str) -> Column:
+        now = F.lag(name, -end, 0).over(b.window) if end else F.col(name)
+        return now - F.lag(name, rows - end, 0).over(b.window)
+
+    add_level(b, {f"_d{m}_{tag}": between(f"_r{m}_{tag}") for m in "csq"})
+    n, total, squares = (F.col(f"_d{m}_{tag}") for m in "csq")
+    mean = F.try_divide(total, n)
+    spread = squares - total * mean
+    floor = F.col(f"_rq_{tag}") * 1e-13
+    variance = F.when(spread > floor, F.try_divide(spread, n - 1)).otherwise(F.lit(0.0))
+    return {"count": n, "mean": mean, "variance": variance}
+
+
 def smoothing_history(ratio: float) -> int:
     """Rows after which an older value weighs nothing in a double."""
     return math.ceil(MANTISSA_BITS / -math.log2(ratio)) + 1
