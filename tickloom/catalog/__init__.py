@@ -2,7 +2,7 @@
 
 import importlib
 
-SECTIONS = ("features", "indicators", "frames", "quality")
+SECTIONS = ("features", "indicators", "frames", "quality", "text", "returns", "monitoring", "sources", "streaming")
 
 
 def load():

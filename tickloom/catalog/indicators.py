@@ -10,14 +10,20 @@ from tickloom.operators import bars as B
 from tickloom.operators import indicators as N
 from tickloom.operators import returns as R
 from tickloom.operators import turbulence as TB
-from tickloom.operators.series import DAILY, HOURLY, blocks, add_level
+from tickloom.operators.series import HOURLY
 from tickloom.plans import inputs as I
+from tickloom.session import cut
 
 W = "WINDOW w AS (PARTITION BY tic ORDER BY date)"
 
 
 def hourly(spark, folder, *names):
-    return N.indicator_pack(I.bars_hourly(spark, folder), names, HOURLY)
+    return N.indicator_pack(cut(I.bars_hourly(spark, folder), "bars"), names, HOURLY)
+
+
+def long_closes(spark, folder):
+    """Daily closes per brand, written once: the series steps read them more than once."""
+    return cut(I.bars_long(spark, folder).select("date", "tic", "close"), "bars")
 
 
 def pick(df, *cols):
@@ -206,7 +212,7 @@ def w10_mean(spark, folder):
     dates="date",
 )
 def w11(spark, folder):
-    return pick(R.daily_returns(I.bars_long(spark, folder), "close"), "ret")
+    return pick(R.daily_returns(long_closes(spark, folder), "close"), "ret")
 
 
 @query(
@@ -219,7 +225,7 @@ def w11(spark, folder):
     digits=8,
 )
 def w12(spark, folder):
-    return pick(R.drawdown(I.bars_long(spark, folder), "close"), "peak", "drawdown")
+    return pick(R.drawdown(long_closes(spark, folder), "close"), "peak", "drawdown")
 
 
 @query(
@@ -238,7 +244,7 @@ def w13(spark, folder):
 
 @query("w14_turbulence")
 def w14(spark, folder):
-    return TB.turbulence(I.bars_long(spark, folder))
+    return TB.turbulence(long_closes(spark, folder))
 
 
 @query(
@@ -252,7 +258,7 @@ def w14(spark, folder):
     dates="date",
 )
 def w15(spark, folder):
-    return TB.turbulence_diagonal(I.bars_long(spark, folder))
+    return TB.turbulence_diagonal(long_closes(spark, folder))
 
 
 @query(
@@ -267,7 +273,7 @@ def w15(spark, folder):
     dates="date",
 )
 def w16(spark, folder):
-    return B.risk_gate(TB.turbulence_diagonal(I.bars_long(spark, folder)), threshold=30.0)
+    return B.risk_gate(TB.turbulence_diagonal(long_closes(spark, folder)), threshold=30.0)
 
 
 @query(
@@ -283,12 +289,12 @@ def w16(spark, folder):
     dates="date",
 )
 def w17(spark, folder):
-    return B.forward_fill(I.bars_hourly(spark, folder), series=HOURLY, step="1 hour")
+    return B.forward_fill(cut(I.bars_hourly(spark, folder), "bars"), series=HOURLY, step="1 hour")
 
 
 @query("w18_lookback_tensor")
 def w18(spark, folder):
-    return N.lookback_tensor(I.bars_hourly(spark, folder), ("close", "volume"), 10, HOURLY)
+    return N.lookback_tensor(cut(I.bars_hourly(spark, folder), "bars"), ("close", "volume"), 10, HOURLY)
 
 
 @query(
@@ -306,7 +312,7 @@ def w18(spark, folder):
 def j5(spark, folder):
     from tickloom.operators.features import join_market_index, join_turbulence
 
-    bars = I.bars_long(spark, folder)
+    bars = cut(I.bars_long(spark, folder), "bars")
     levels = I.table(spark, folder, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(
         (F.avg("o_totalprice") / 1000).alias("level")
     )

@@ -81,8 +81,9 @@ def monthly_mean(df: DataFrame, columns: Sequence[str], date: str = "date") -> D
     """Means per month, labelled by the month's last day; months without rows are kept as NULL."""
     means = df.groupBy(F.last_day(date).alias("month")).agg(*[F.avg(c).alias(c) for c in columns])
     span = df.agg(F.trunc(F.min(date), "month").alias("lo"), F.trunc(F.max(date), "month").alias("hi"))
-    months = span.select(F.last_day(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH")))).alias("month"))
-    return months.join(means, "month", "left")
+    firsts = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("first"))
+    months = firsts.select(F.last_day("first").alias("month"))
+    return months.join(F.broadcast(means), "month", "left")
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[Column] = ()) -> DataFrame:

@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.series import DAILY, Series, add_level, blocks, running, shifted
+from tickloom.operators.series import DAILY, Series, add_level, blocks, running
 
 YEAR = 252.0
 
 
 def daily_returns(values: DataFrame, value: str = "account_value", series: Series = DAILY) -> DataFrame:
     """Relative change to the row before; NULL on a series' first row."""
-    prev = shifted(values, series, {"prev_value": (value, 1)})
+    prev = running(values, series, {"prev_value": ("lag", value)})
     return prev.withColumn("ret", F.try_divide(value, "prev_value") - 1.0).drop("prev_value")
 
 
@@ -25,7 +25,11 @@ def drawdown(values: DataFrame, value: str = "account_value", series: Series = D
 
 
 def _with_returns_and_drawdown(values: DataFrame, value: str, series: Series) -> DataFrame:
-    return drawdown(daily_returns(values, value, series), value, series)
+    """Both in one pass over the series."""
+    both = running(values, series, {"prev_value": ("lag", value), "peak": ("max", value)})
+    return both.withColumns({
+        "ret": F.try_divide(value, "prev_value") - 1.0, "drawdown": F.try_divide(value, "peak") - 1.0,
+    })
 
 
 def performance_stats(values: DataFrame, value: str = "account_value", series: Series = DAILY) -> DataFrame:
@@ -84,7 +88,7 @@ def omega(returns: DataFrame, threshold: float = 0.0, keys: Sequence[str] = ("ti
 
 def turnover(weights: DataFrame, weight: str = "weight", series: Series = DAILY) -> DataFrame:
     """Half the absolute weight changes per day, over all assets; an asset's first day counts from zero."""
-    moved = shifted(weights, series, {"prev_weight": (weight, 1)})
+    moved = running(weights, series, {"prev_weight": ("lag", weight)})
     change = F.abs(F.col(weight) - F.coalesce("prev_weight", F.lit(0.0)))
     return moved.groupBy(series.order).agg((F.sum(change) / 2.0).alias("turnover"))
 
@@ -127,7 +131,10 @@ def signal_portfolio(
     cost: float = 0.001,
     series: Series = DAILY,
 ) -> DataFrame:
-    """Value of holding yesterday's signal (-1..1), paying `cost` on every change of position."""
+    """Value of holding yesterday's signal (-1..1), paying `cost` on every change of position.
+
+    A day that loses everything ends the series at zero.
+    """
     b = blocks(bars.withColumn("signal", signal.cast("double")), series, 3)
     add_level(b, {
         "position": F.coalesce(F.lag("signal").over(b.window), F.lit(0.0)),
@@ -136,13 +143,17 @@ def signal_portfolio(
     add_level(b, {"_before": F.coalesce(F.lag("position").over(b.window), F.lit(0.0))})
     net = F.col("position") * F.col("_ret") - cost * F.abs(F.col("position") - F.col("_before"))
     add_level(b, {"net_return": net})
-    growth = b.finish().withColumn("log_growth", F.log1p("net_return"))
-    total = running(growth, series, {"log_growth_sum": ("sum", "log_growth")})
-    return total.withColumn("account_value", initial * F.exp("log_growth_sum")).drop("log_growth", "log_growth_sum")
+    growth = b.finish().withColumns({
+        "_growth": 1.0 + F.col("net_return"),
+        "_log": F.when(F.col("net_return") > -1.0, F.log1p("net_return")).otherwise(F.lit(0.0)),
+    })
+    total = running(growth, series, {"_log_sum": ("sum", "_log"), "_worst": ("min", "_growth")})
+    value = F.when(F.col("_worst") > 0, initial * F.exp("_log_sum")).otherwise(F.lit(0.0))
+    return total.withColumn("account_value", value).drop("_growth", "_log", "_log_sum", "_worst")
 
 
 def bootstrap_paths(returns: DataFrame, paths: int, days: int, seed: int = 0, key: str = "tic") -> DataFrame:
-    """Resampled cumulative returns: `paths` paths of `days` draws per series.
+    """Resampled cumulative log returns: `paths` paths of `days` draws per series.
 
     A draw is a hash of (key, path, day) taken modulo the series length, so reruns and repartitioning give
     the same draws. The join is on (key, place) and each path is summed with a map-side part.
@@ -157,7 +168,7 @@ def bootstrap_paths(returns: DataFrame, paths: int, days: int, seed: int = 0, ke
     )
     picked = draws.join(places, [key, "_rn"])
     return picked.groupBy(key, "path").agg(
-        (F.exp(F.sum(F.log1p("ret"))) - 1.0).alias("path_return"), F.count(F.lit(1)).alias("draws")
+        F.sum(F.log1p("ret")).alias("log_return"), F.count(F.lit(1)).alias("draws")
     )
 
 

@@ -224,11 +224,11 @@ def _smooth_in_pieces(b: Blocks, name: str, alpha: float) -> None:
     )
 
 
-RUNNING_KINDS = ("sum", "max", "min", "last")
+RUNNING_KINDS = ("sum", "max", "min", "last", "lag")
 
 
 def running(df: DataFrame, series: Series, columns: dict[str, tuple[str, str]]) -> DataFrame:
-    """Running sum, max, min or last value over whole series: `name -> (kind, column)`.
+    """Running sum, max, min, last known value, or the row before, over whole series: `name -> (kind, column)`.
 
     Each bucket is reduced to one row, the small bucket table is scanned per key, and what came before a
     bucket is joined to it; only then are a bucket's own rows scanned.
@@ -245,6 +245,9 @@ def running(df: DataFrame, series: Series, columns: dict[str, tuple[str, str]])
             c = F.col(column)
             partials.append(F.max_by(c, F.when(c.isNotNull(), order)).alias(f"_t_{name}"))
             before.append(F.last(f"_t_{name}", ignorenulls=True).over(w).alias(f"_b_{name}"))
+        elif kind == "lag":
+            partials.append(F.max_by(F.col(column), order).alias(f"_t_{name}"))
+            before.append(F.last(f"_t_{name}").over(w).alias(f"_b_{name}"))
         else:
             partials.append(reduce[kind](column).alias(f"_t_{name}"))
             before.append(reduce[kind](f"_t_{name}").over(w).alias(f"_b_{name}"))
@@ -261,6 +264,9 @@ def running(df: DataFrame, series: Series, columns: dict[str, tuple[str, str]])
         prev = F.col(f"_b_{name}")
         if kind == "last":
             results[name] = F.coalesce(F.last(column, ignorenulls=True).over(inside), prev)
+        elif kind == "lag":
+            in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(series.order)
+            results[name] = F.when(F.row_number().over(in_bucket) == 1, prev).otherwise(F.lag(column).over(in_bucket))
         elif kind == "sum":
             here = F.sum(column).over(inside)
             results[name] = F.coalesce(here + prev, here, prev)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickloom.functions.labels import label_scores
 from tickloom.functions.text import keyword_label, process_text
@@ -13,6 +12,7 @@ from tickloom.operators.bars import forward_fill
 from tickloom.operators.features import join_market_index, join_ticker_sentiment
 from tickloom.operators.indicators import DEFAULT_PACK, indicator_pack
 from tickloom.operators.series import DAILY, Series
+from tickloom.session import cut
 
 
 def keyword_scorer(positive: Iterable[str], negative: Iterable[str]) -> Callable[[DataFrame], DataFrame]:
@@ -47,10 +47,14 @@ def build_features(
     fill_gaps: bool = True,
     series: Series = DAILY,
 ) -> DataFrame:
-    """Gap-filled bars, indicators, market index and daily sentiment in one lazy plan."""
-    out = forward_fill(bars, series=series) if fill_gaps else bars
+    """Gap-filled bars, indicators, market index and daily sentiment.
+
+    Bars are read by several steps, so they are written once to the shared scratch folder: the ticks below
+    them, far larger, are scanned once. The rest is one lazy plan.
+    """
+    bars = cut(bars, "bars")
+    out = cut(forward_fill(bars, series=series), "filled") if fill_gaps else bars
     out = indicator_pack(out, indicators, series)
     if index is not None:
         out = join_market_index(out, index)
-    out = sentiment_features(out, news, scorer)
-    return out.withColumn("date", F.col("date"))
+    return sentiment_features(out, news, scorer)

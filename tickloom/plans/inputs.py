@@ -61,7 +61,10 @@ def index_levels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def news(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    return as_news(table(spark, folder, "documents"))
+
+
+def as_news(docs: DataFrame) -> DataFrame:
     slot = F.pmod(F.floor(F.col("doc_id") / 29), F.lit(5)).cast("int") + 1
     return docs.select(
         F.col("doc_id").alias("id"),
