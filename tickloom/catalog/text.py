@@ -16,7 +16,7 @@ from tickloom.sources.normalize import nested_source
 
 
 def docs(spark, folder):
-    return I.table(spark, folder, "documents")
+    return I.documents(spark, folder)
 
 
 @query("t1_remove_html", f"-- result\n SELECT page_id, {S.no_html('html')} AS text FROM pages")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +27,11 @@ def instruction_rows(
     )
 
 
-def hashed_ids(text: Column, vocabulary: int = 32000) -> Column:
-    """Stand-in tokenizer: a stable number below `vocabulary` for every word; 0 is kept for the end mark."""
+def hashed_ids(text: Column, limit: int, vocabulary: int = 32000) -> Column:
+    """Stand-in tokenizer: a stable number below `vocabulary` for each of the first `limit` words of the whole
+    text; 0 is kept for the end mark."""
     return F.transform(
-        words(text),
+        F.slice(words(text), 1, limit),
         lambda w: (F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(vocabulary - 1)) + 1).cast("int"),
     )
 
@@ -54,27 +56,24 @@ def tokenize_and_mask(
     template: str = "{instruction}\n{input}\n",
     limit: int = 512,
     end_id: int = 0,
-    tokenizer: Callable[[Column], Column] = hashed_ids,
+    tokenizer: Callable[[Column, int], Column] = hashed_ids,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Token arrays of instruction rows. `tokenizer` maps a text column to an id array column: a built-in
+    """Token arrays of instruction rows. `tokenizer` maps a text column and the limit to an id array column: a built-in
     expression as here, or a Pandas UDF around a model's tokenizer (`pandas_tokenizer`)."""
     prompt = format_prompt(template, instruction="instruction", input="input")
-    ids = rows.select(*keep, tokenizer(prompt).alias("_p"), tokenizer(F.col("output")).alias("_o"))
+    ids = rows.select(*keep, tokenizer(prompt, limit).alias("_p"), tokenizer(F.col("output"), limit).alias("_o"))
     return ids.select(*keep, *[c.alias(n) for n, c in masked_tokens(F.col("_p"), F.col("_o"), limit, end_id).items()])
 
 
-def pandas_tokenizer(make: Callable[[], Callable[[str], list[int]]]) -> Callable[[Column], Column]:
-    """Tokenizer column from a factory that is called once per Python worker."""
+def pandas_tokenizer(make: Callable[[], Callable[[str], list[int]]]) -> Callable[[Column, int], Column]:
+    """Tokenizer column from a factory that is called once per Python worker task."""
 
     def encode(batches):
         tokenize = make()
         for texts in batches:
             yield texts.map(lambda t: tokenize(t) if t is not None else [])
 
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     encode.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(encode, "array<int>")
+    udf = F.pandas_udf(encode, "array<int>")
+    return lambda text, limit: F.slice(udf(text), 1, limit)

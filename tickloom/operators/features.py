@@ -120,8 +120,9 @@ def next_session(news_days: DataFrame, sessions: DataFrame, key: str = "tic") ->
         .unionByName(news_days.select(key, "date").distinct().withColumn("_session", F.lit(None).cast("date")))
         .groupBy(key, "date").agg(F.max("_session").alias("_session"), F.count(F.lit(1)).alias("_n"))
     )
-    ahead = Window.partitionBy(key).orderBy("date").rowsBetween(0, Window.unboundedFollowing)
-    found = pairs.withColumn("session", F.first("_session", ignorenulls=True).over(ahead))
+    # Backwards with a growing frame: a frame that reaches forward to the end is re-read for every row.
+    ahead = Window.partitionBy(key).orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, 0)
+    found = pairs.withColumn("session", F.last("_session", ignorenulls=True).over(ahead))
     return found.filter((F.col("_n") == 2) | F.col("_session").isNull()).select(key, "date", "session")
 
 

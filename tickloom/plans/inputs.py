@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.labels import label_scores
 from tickloom.functions.text import keyword_label, process_text
 from tickloom.operators.bars import bars_from_ticks
+from tickloom.session import spread
 
 TICKERS = ("click", "error", "purchase", "signup", "view")
 # The supplied text is invented words; these occur often in it.
@@ -42,7 +43,10 @@ def bars_hourly(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bars_long(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily bars per brand over the ship dates."""
+    """Daily bars per brand over the ship dates.
+
+    A line number is at most 7, so order key and line number fit one number, which keeps the aggregate hashed.
+    """
     line = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
         F.to_date("l_shipdate").alias("day"),
@@ -51,7 +55,7 @@ def bars_long(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("tic"))
     sold = line.join(part, "l_partkey")
     return bars_from_ticks(
-        sold, F.col("day"), order=F.struct("l_orderkey", "l_linenumber"), volume=F.sum("l_quantity")
+        sold, F.col("day"), order=F.col("l_orderkey") * 8 + F.col("l_linenumber"), volume=F.sum("l_quantity")
     )
 
 
@@ -60,8 +64,12 @@ def index_levels(spark: SparkSession, folder: str) -> DataFrame:
     return ticks(spark, folder).groupBy(day().alias("date")).agg(F.avg("value").alias("level"))
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"), "doc_id")
+
+
 def news(spark: SparkSession, folder: str) -> DataFrame:
-    return as_news(table(spark, folder, "documents"))
+    return as_news(documents(spark, folder))
 
 
 def as_news(docs: DataFrame) -> DataFrame:

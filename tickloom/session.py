@@ -54,3 +54,13 @@ def cut(df: DataFrame, stem: str = "cut") -> DataFrame:
     path = scratch_path(df.sparkSession, stem)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan with fewer splits than cores over all cores before CPU-heavy row work.
+
+    Small inputs only: a table with at least as many splits as there are cores, so any large one, is
+    returned as it is and never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
