@@ -292,9 +292,20 @@ def w17(spark, folder):
     return B.forward_fill(cut(I.bars_hourly(spark, folder), "bars"), series=HOURLY, step="1 hour")
 
 
-@query("w18_lookback_tensor")
+@query(
+    "w18_lookback_tensor",
+    f"""WITH {S.BARS_HOURLY}, n AS (SELECT *, row_number() OVER (PARTITION BY tic ORDER BY date) AS rn FROM bars)
+    -- result
+    SELECT a.date, a.tic, CAST(b.rn - a.rn + 9 AS INTEGER) AS step, b.close, CAST(b.volume AS DOUBLE) AS volume
+      FROM n a JOIN n b ON a.tic = b.tic AND b.rn BETWEEN a.rn - 9 AND a.rn WHERE a.rn >= 10""",
+    doubles="close volume",
+    dates="date",
+)
 def w18(spark, folder):
-    return N.lookback_tensor(cut(I.bars_hourly(spark, folder), "bars"), ("close", "volume"), 10, HOURLY)
+    """The tensor, shown one step a row."""
+    tensor = N.lookback_tensor(cut(I.bars_hourly(spark, folder), "bars"), ("close", "volume"), 10, HOURLY)
+    steps = tensor.select("date", "tic", F.posexplode("lookback").alias("step", "point"))
+    return steps.select("date", "tic", "step", F.col("point")[0].alias("close"), F.col("point")[1].alias("volume"))
 
 
 @query(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tickloom.operators.profile import unpivot
 from tickloom.operators.ranks import ordered_prefix
 
-REPORT = T.StructType.fromDDL(
+REPORT = (
     "check string, column string, reference string, current string, shift_pct double, drifted boolean"
 )
 # A mean has shifted when it moved by over a tenth of itself and by more than this.

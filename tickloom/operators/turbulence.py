@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -27,48 +30,89 @@ def turbulence_diagonal(bars: DataFrame, lookback: int = LOOKBACK, series: Serie
     return b.finish().groupBy(series.order).agg(F.coalesce(F.sum("z2"), F.lit(0.0)).alias("turbulence"))
 
 
-def _distance(centred: np.ndarray, diff: np.ndarray) -> float:
-    """diff . pinv(cov) . diff, through the smaller of the ticker and the session Gram matrix."""
-    sessions, tickers = centred.shape
-    by_ticker = tickers <= sessions
-    gram = centred.T @ centred if by_ticker else centred @ centred.T
-    values, vectors = np.linalg.eigh(gram)
-    kept = values > max(values[-1], 0.0) * max(centred.shape) * np.finfo(float).eps
-    scale, basis = values[kept], vectors[:, kept]
-    if by_ticker:
-        return float((sessions - 1) * np.sum((basis.T @ diff) ** 2 / scale))
-    return float((sessions - 1) * np.sum((basis.T @ (centred @ diff) / scale) ** 2))
-
-
-def _distances(block: pd.DataFrame, lookback: int) -> pd.DataFrame:
-    """Distances of one block's own sessions. `block` holds ticker, session number, return and an own flag."""
+def _windows(block: pd.DataFrame, lookback: int) -> Iterator[tuple[int, np.ndarray | None, np.ndarray | None]]:
+    """For each own session of a block its number, the centred look-back of the tickers without a gap
+    (sessions x tickers), and their distance from the mean; None where there is nothing to measure."""
     days = np.arange(block["session"].min(), block["session"].max() + 1)
     tics, col = np.unique(block["tic"].to_numpy(), return_inverse=True)
     grid = np.full((len(days), len(tics)), np.nan)
     grid[block["session"].to_numpy() - days[0], col] = block["ret"].to_numpy()
-    own = np.unique(block.loc[block["own"], "session"].to_numpy())
-    out = np.zeros(len(own))
-    for i, session in enumerate(own):
+    for session in np.unique(block.loc[block["own"], "session"].to_numpy()):
         at = session - days[0]
-        if at < lookback or session <= lookback:
-            continue
-        window, today = grid[at - lookback : at], grid[at]
-        held = ~np.isnan(window).any(axis=0) & ~np.isnan(today)
-        if not held.any():
-            continue
-        past = window[:, held]
-        mean = past.mean(axis=0)
-        out[i] = _distance(past - mean, today[held] - mean)
-    return pd.DataFrame({"session": own, "turbulence": out})
-
-
-def turbulence(bars: DataFrame, lookback: int = LOOKBACK, block_sessions: int = 63, series: Series = DAILY) -> DataFrame:
+        centred = diff = None
+        if at >= lookback and session > lookback:
+            window, today = grid[at - lookback : at], grid[at]
+            held = ~np.isnan(window).any(axis=0) & ~np.isnan(today)
+            if held.any():
+                mean = window[:, held].mean(axis=0)
+                centred, diff = window[:, held] - mean, today[held] - mean
+        yield int(session), centred, diff
+
+
+def _spectrum(gram: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues and vectors of a Gram matrix without those that are zero up to rounding."""
+    values, vectors = np.linalg.eigh(gram)
+    kept = values > max(values[-1], 0.0) * size * np.finfo(float).eps
+    return values[kept], vectors[:, kept]
+
+
+def _distances(block: pd.DataFrame, lookback: int) -> pd.DataFrame:
+    """diff . pinv(cov) . diff per session, through the smaller of the ticker and the session Gram matrix."""
+    out = []
+    for session, centred, diff in _windows(block, lookback):
+        value = 0.0
+        if centred is not None:
+            size = max(centred.shape)
+            if centred.shape[1] <= lookback:
+                scale, basis = _spectrum(centred.T @ centred, size)
+                value = np.sum((basis.T @ diff) ** 2 / scale)
+            else:
+                scale, basis = _spectrum(centred @ centred.T, size)
+                value = np.sum((basis.T @ (centred @ diff) / scale) ** 2)
+        out.append((session, float((lookback - 1) * value)))
+    return pd.DataFrame(out, columns=["session", "turbulence"])
+
+
+def _partial_grams(block: pd.DataFrame, lookback: int) -> pd.DataFrame:
+    """A ticker group's part of the session Gram matrix and of the cross vector, which add up over groups."""
+    out = []
+    for session, centred, diff in _windows(block, lookback):
+        if centred is not None:
+            part = np.column_stack([centred @ centred.T, centred @ diff])
+            out.append((session, centred.shape[1], part.tobytes()))
+    return pd.DataFrame(out, columns=["session", "tickers", "part"])
+
+
+def _added(parts: pd.DataFrame, lookback: int) -> np.ndarray:
+    total = np.zeros((lookback, lookback + 1))
+    for part in parts["part"]:
+        total += np.frombuffer(part).reshape(total.shape)
+    return total
+
+
+def _add_parts(parts: pd.DataFrame, lookback: int) -> pd.DataFrame:
+    total = _added(parts, lookback).tobytes()
+    return pd.DataFrame({"session": [parts["session"].iloc[0]], "tickers": [parts["tickers"].sum()], "part": [total]})
+
+
+def _distance_of_parts(parts: pd.DataFrame, lookback: int) -> pd.DataFrame:
+    total = _added(parts, lookback)
+    scale, basis = _spectrum(total[:, :lookback], max(lookback, int(parts["tickers"].sum())))
+    value = (lookback - 1) * np.sum((basis.T @ total[:, lookback] / scale) ** 2)
+    return pd.DataFrame({"session": [parts["session"].iloc[0]], "turbulence": [float(value)]})
+
+
+def turbulence(
+    bars: DataFrame, lookback: int = LOOKBACK, block_sessions: int = 63, tickers_per_task: int = 2000,
+    series: Series = DAILY,
+) -> DataFrame:
     """Mahalanobis distance of each day's return vector from the look-back window, with the full covariance.
 
-    A pseudo-inverse has no SQL form, so blocks of sessions with their look-back go through one Pandas
-    function each. A block holds (block_sessions + lookback) rows per ticker: 2.5 kB a ticker at the
-    defaults, however long the history is. Where even the number of tickers is too large for one task,
-    use `turbulence_diagonal`. Tickers with a gap in the window are left out of that day.
+    A pseudo-inverse has no SQL form, so blocks of sessions with their look-back go through Pandas functions.
+    Up to `tickers_per_task` tickers, one block is one group: (block_sessions + lookback) rows a ticker,
+    however long the history is. With more, tickers are hashed into groups of that size. The distance then
+    follows from the (sessions x sessions) Gram matrix, to which every group adds its part, so no task sees
+    all tickers. Tickers with a gap in the window are left out of that day.
     """
     key = series.key[0]
     returns = daily_returns(bars.select(key, series.order, "close"), "close", series)
@@ -87,7 +131,23 @@ def turbulence(bars: DataFrame, lookback: int = LOOKBACK, block_sessions: int =
     ).select("block", "tic", "session", "ret", (F.col("home") == F.col("block")).alias("own"))
     # Few bytes but much arithmetic: a stated partition count keeps the groups from being merged into few tasks.
     tasks = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = spread.repartition(tasks, "block").groupBy("block").applyInPandas(
-        lambda pdf: _distances(pdf, lookback), "session long, turbulence double"
-    )
-    return found.join(F.broadcast(sessions), "session").select(series.order, "turbulence")
+    groups = math.ceil(bars.select(key).distinct().count() / tickers_per_task)
+    if groups <= 1:
+        found = spread.repartition(tasks, "block").groupBy("block").applyInPandas(
+            lambda pdf: _distances(pdf, lookback), "session long, turbulence double"
+        )
+    else:
+        schema = "session long, tickers long, part binary"
+        keyed = spread.withColumn("chunk", F.pmod(F.xxhash64("tic"), F.lit(groups)))
+        parts = keyed.repartition(tasks, "block", "chunk").groupBy("block", "chunk").applyInPandas(
+            lambda pdf: _partial_grams(pdf, lookback), schema
+        )
+        # Two levels of adding, so that a session's parts do not all meet in one group.
+        branch = math.ceil(math.sqrt(groups))
+        halfway = parts.withColumn("branch", F.pmod(F.xxhash64(F.col("part")), F.lit(branch)))
+        added = halfway.groupBy("session", "branch").applyInPandas(lambda pdf: _add_parts(pdf, lookback), schema)
+        found = added.groupBy("session").applyInPandas(
+            lambda pdf: _distance_of_parts(pdf, lookback), "session long, turbulence double"
+        )
+    measured = F.coalesce("turbulence", F.lit(0.0)).alias("turbulence")
+    return sessions.join(found, "session", "left").select(series.order, measured)

@@ -29,7 +29,7 @@ def build_session(cores: str = "8", app: str = "tickloom", shuffle_partitions: i
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors: the cluster's checkpoint folder. A local one is set only where none is."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
