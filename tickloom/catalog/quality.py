@@ -9,6 +9,7 @@ from tickloom.catalog.registry import query
 from tickloom.operators import drift as D
 from tickloom.operators import profile as P
 from tickloom.plans import inputs as I
+from tickloom.session import cut
 
 
 def _describe(column: str, table: str) -> str:
@@ -156,7 +157,7 @@ HALVES = f"""{S.BARS_HOURLY}, ref AS (SELECT * FROM bars WHERE date < TIMESTAMP
 
 def _halves(spark, folder):
     """First half of the hourly bars, and the second half with closes a fifth higher."""
-    bars = I.bars_hourly(spark, folder)
+    bars = cut(I.bars_hourly(spark, folder), "bars")
     middle = F.lit("2024-01-16").cast("timestamp_ntz")
     later = bars.filter(F.col("date") >= middle).withColumn("close", F.col("close") * 1.2)
     return bars.filter(F.col("date") < middle), later

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,11 +63,10 @@ def drift_report(ref: DataFrame, cur: DataFrame) -> DataFrame:
         F.format_string("%.4f", "current_mean").alias("current"), "shift_pct", "drifted",
     )
     parts = column_count_drift(ref, cur).unionByName(dtype_drift(ref, cur)).unionByName(shifts)
-    overall = parts.agg(F.bool_or("drifted").alias("drifted")).select(
-        F.lit("overall").alias("check"), F.lit("*").alias("column"), F.lit(None).cast("string").alias("reference"),
-        F.lit(None).cast("string").alias("current"), F.lit(None).cast("double").alias("shift_pct"), "drifted",
-    )
-    return parts.unionByName(overall)
+    # The grand total of a grouping set is the overall row, so the tables are aggregated once.
+    keys = [c for c in parts.columns if c != "drifted"]
+    both = parts.groupingSets([[F.col(k) for k in keys], []], *keys).agg(F.bool_or("drifted").alias("drifted"))
+    return both.withColumns({"check": F.coalesce("check", F.lit("overall")), "column": F.coalesce("column", F.lit("*"))})
 
 
 def _tagged(ref: DataFrame, cur: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
@@ -90,18 +89,20 @@ def ks_statistic(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> Data
 
 def stability_index(ref: DataFrame, cur: DataFrame, column: str, bins: int = 10, floor: float = 1e-6) -> DataFrame:
     """Population stability index over equal steps between the reference's extremes, and its parts."""
-    lo = ref.agg(F.min(column).cast("double")).scalar()
-    hi = ref.agg(F.max(column).cast("double")).scalar()
+    known = ref.filter(F.col(column).isNotNull())
+    ends = known.agg(F.struct(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))).scalar()
     value = F.col(column).cast("double")
-    step = F.greatest(F.least(F.coalesce(F.width_bucket(value, lo, hi, F.lit(bins)), F.lit(1)), F.lit(bins)), F.lit(1))
-
-    def counts(df: DataFrame, name: str) -> DataFrame:
-        return df.filter(F.col(column).isNotNull()).groupBy(step.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias(name))
-
-    both = counts(ref, "r").join(counts(cur, "c"), "bin", "full").fillna(0, ["r", "c"])
-    totals = both.agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
-    nr, nc = totals.select("nr").scalar(), totals.select("nc").scalar()
-    p, q = F.greatest(F.col("r") / nr, F.lit(floor)), F.greatest(F.col("c") / nc, F.lit(floor))
+    step = F.greatest(
+        F.least(F.coalesce(F.width_bucket(value, ends["lo"], ends["hi"], F.lit(bins)), F.lit(1)), F.lit(bins)), F.lit(1)
+    )
+    tagged = known.select(column, F.lit(1).alias("r"), F.lit(0).alias("c")).unionByName(
+        cur.filter(F.col(column).isNotNull()).select(column, F.lit(0).alias("r"), F.lit(1).alias("c"))
+    )
+    both = tagged.groupBy(step.cast("long").alias("bin")).agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    # At most `bins` rows are left here.
+    every = Window.partitionBy()
+    p = F.greatest(F.col("r") / F.sum("r").over(every), F.lit(floor))
+    q = F.greatest(F.col("c") / F.sum("c").over(every), F.lit(floor))
     return both.select(
         "bin", F.col("r").alias("reference"), F.col("c").alias("current"), ((q - p) * F.log(q / p)).alias("psi_part")
     )
@@ -125,16 +126,20 @@ def confusion(df: DataFrame, truth: str, predicted: str) -> DataFrame:
 
 def label_quality(df: DataFrame, truth: str, predicted: str, alert_below: float = 0.70) -> DataFrame:
     """Precision, recall and F1 per class, with overall accuracy and whether it is below the alert level."""
-    n = confusion(df, truth, predicted)
-    by_truth = n.groupBy(F.col(truth).alias("class")).agg(
-        F.sum("n").alias("actual"), F.sum(F.when(F.col(truth) == F.col(predicted), F.col("n")).otherwise(0)).alias("hit")
+    n, nothing = F.col("n"), F.lit(0).cast("long")
+    right = F.when(F.col(truth) == F.col(predicted), n).otherwise(nothing)
+    # Each cell of the confusion matrix counts for its true and for its predicted class: one pass over the rows.
+    sides = F.array(
+        F.struct(F.col(truth).alias("class"), n.alias("actual"), nothing.alias("claimed"), right.alias("hit")),
+        F.struct(F.col(predicted).alias("class"), nothing.alias("actual"), n.alias("claimed"), nothing.alias("hit")),
     )
-    by_pred = n.groupBy(F.col(predicted).alias("class")).agg(F.sum("n").alias("claimed"))
-    right = F.sum(F.when(F.col(truth) == F.col(predicted), F.col("n")).otherwise(0))
-    accuracy = n.agg((right / F.sum("n")).alias("a")).scalar()
-    both = by_truth.join(by_pred, "class", "full").fillna(0, ["actual", "hit", "claimed"])
+    cells = confusion(df, truth, predicted).select(F.inline(sides))
+    sums = cells.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("actual", "claimed", "hit")])
+    # One row per class is left here.
+    every = Window.partitionBy()
+    accuracy = F.sum("hit").over(every) / F.sum("actual").over(every)
     precision, recall = F.try_divide("hit", "claimed"), F.try_divide("hit", "actual")
-    return both.select(
+    return sums.select(
         "class", "actual", "claimed", "hit", precision.alias("precision"), recall.alias("recall"),
         F.try_divide(2 * precision * recall, precision + recall).alias("f1"), accuracy.alias("accuracy"),
         (accuracy < alert_below).alias("alert"),

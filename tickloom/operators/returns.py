@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.series import DAILY, Series, add_level, blocks, running
+from tickloom.session import cut
 
 YEAR = 252.0
 
@@ -159,7 +160,7 @@ def bootstrap_paths(returns: DataFrame, paths: int, days: int, seed: int = 0, ke
     the same draws. The join is on (key, place) and each path is summed with a map-side part.
     """
     numbered = blocks(returns.filter("ret IS NOT NULL").select(key, "date", "ret"), DAILY, 1)
-    places = numbered.df.filter("_own").select(key, "_rn", "ret")
+    places = cut(numbered.df.filter("_own").select(key, "_rn", "ret"), "places")
     sizes = places.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     draws = (
         sizes.withColumn("path", F.explode(F.sequence(F.lit(0), F.lit(paths - 1))))

@@ -27,6 +27,11 @@ def primary_news(raw: DataFrame, column: str = "raw", api: str = "primary") -> D
     )
 
 
+def _utc_seconds(day: str) -> Column:
+    """Unix seconds at which a day begins in UTC, whatever the session's time zone is."""
+    return F.unix_date(F.lit(day).cast("date")).cast("long") * 86400
+
+
 def secondary_news(
     raw: DataFrame, first: str | None = None, last: str | None = None, column: str = "raw", api: str = "secondary"
 ) -> DataFrame:
@@ -34,9 +39,9 @@ def secondary_news(
     p = F.from_json(column, SECONDARY_PAYLOAD)
     parsed = raw.select(F.col(column).alias("raw_data"), p.alias("p")).filter("p.datetime <> 0")
     if first:
-        parsed = parsed.filter(F.col("p.datetime") >= F.unix_timestamp(F.lit(first), "yyyy-MM-dd"))
+        parsed = parsed.filter(F.col("p.datetime") >= _utc_seconds(first))
     if last:
-        parsed = parsed.filter(F.col("p.datetime") < F.unix_timestamp(F.lit(last), "yyyy-MM-dd") + 86400)
+        parsed = parsed.filter(F.col("p.datetime") < _utc_seconds(last) + 86400)
     return parsed.select(
         F.timestamp_seconds("p.datetime").alias("published_at"),
         F.col("p.source").alias("source_name"),
