@@ -165,34 +165,23 @@ def smooth(b: Blocks, values: dict[str, tuple[Column, float, int]]) -> None:
     value weighs 1 and the others alpha. The powers are centred so that a block's stay within a double; a
     span too short for that is summed in smaller pieces, each adding the decayed end of the piece before.
     """
-    for name, (x, alpha, _) in values.items():
-        add_level(b, {f"_x_{name}": x})
-    add_level(b, {f"_p_{name}": F.count(f"_x_{name}").over(b.running()) for name in values})
-    whole: dict[str, Column] = {}
-    weights: dict[str, Column] = {}
-    for name, (_, alpha, _) in values.items():
-        ratio = 1.0 - alpha
-        bits = -math.log2(ratio)
+    whole, pieces = {}, {}
+    for name, (x, alpha, needed) in values.items():
+        fits = b.capacity <= int(EXPONENT_BITS / -math.log2(1.0 - alpha)) - 1 if alpha < 1.0 else False
+        (whole if fits else pieces)[name] = (x, alpha, needed)
+    add_level(b, {f"_x_{n}": x for n, (x, _, _) in pieces.items()})
+    add_level(b, {f"_p_{n}": F.count(x).over(b.running()) for n, (x, _, _) in values.items()})
+    sums, results = {}, {}
+    for name, (x, alpha, needed) in whole.items():
         place = F.col(f"_p_{name}") - 1
-        weighted = F.when(place == 0, F.col(f"_x_{name}")).otherwise(F.col(f"_x_{name}") * alpha)
-        piece = int(EXPONENT_BITS / bits) - 1
-        if b.capacity <= piece:
-            whole[name] = weighted
-            centre = b.capacity // 2
-            power = F.exp((place - centre) * math.log(ratio))
-            weights[name] = power
-    add_level(b, {f"_s_{n}": F.sum(w / weights[n]).over(b.running()) for n, w in whole.items()})
-    add_level(b, {f"_e_{n}": F.col(f"_s_{n}") * weights[n] for n in whole})
-    for name, (_, alpha, _) in values.items():
-        if name not in whole:
-            _smooth_in_pieces(b, name, alpha)
-    add_level(
-        b,
-        {
-            name: F.when(F.col(f"_p_{name}") >= needed, F.col(f"_e_{name}"))
-            for name, (_, _, needed) in values.items()
-        },
-    )
+        power = F.exp((place - b.capacity // 2) * math.log(1.0 - alpha))
+        sums[f"_s_{name}"] = F.sum(F.when(place == 0, x).otherwise(x * alpha) / power).over(b.running())
+        results[name] = F.when(F.col(f"_p_{name}") >= needed, F.col(f"_s_{name}") * power)
+    add_level(b, sums)
+    for name, (_, alpha, needed) in pieces.items():
+        _smooth_in_pieces(b, name, alpha)
+        results[name] = F.when(F.col(f"_p_{name}") >= needed, F.col(f"_e_{name}"))
+    add_level(b, results)
 
 
 def _smooth_in_pieces(b: Blocks, name: str, alpha: float) -> None:
