@@ -53,6 +53,22 @@ def test_no_news_at_all_is_zero(spark):
     assert row.daily_sentiment_unknown_mean == 0.0 and row.daily_news_count == 0
 
 
+def test_broadcast_tables_have_one_row_per_day(spark):
+    day = dt.date(2024, 1, 1)
+    index = spark.createDataFrame([(day, 10.0)], "date date, level double")
+    got = {r.date.day: r.vix for r in X.join_market_index(bars(spark), index).collect()}
+    assert got == {1: 10.0, 2: None}
+    with pytest.raises(Exception, match="several rows on"):
+        X.join_market_index(bars(spark), index.union(index)).collect()
+
+
+def test_page_cap_limits_before_the_shuffle(spark):
+    df = spark.range(1000).selectExpr("id % 2 AS source_name", "id", "id AS published_at")
+    capped = FR.newest_per_query(df, limit=10)
+    assert capped.count() == 20
+    assert capped._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+
+
 def test_next_session(spark):
     sessions = spark.createDataFrame([("A", dt.date(2024, 1, 2)), ("A", dt.date(2024, 1, 5))], "tic string, date date")
     news = spark.createDataFrame([(i, "A", dt.date(2024, 1, d)) for i, d in enumerate((1, 2, 3, 5, 6))] + [(9, "Z", dt.date(2024, 1, 1))],

@@ -82,9 +82,9 @@ def _tagged(ref: DataFrame, cur: DataFrame, columns: Sequence[str], kind: str) -
 def ks_statistic(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Largest gap between the two distribution functions, per column, exact."""
     ranked = ordered_prefix(_tagged(ref, cur, columns, "DOUBLE"), "column", "value", ["r", "c"])
-    totals = ranked.groupBy("column").agg(F.sum("r").alias("_nr"), F.sum("c").alias("_nc"))
-    gap = F.abs((F.col("before_r") + F.col("r")) / F.col("_nr") - (F.col("before_c") + F.col("c")) / F.col("_nc"))
-    return ranked.join(totals, "column").groupBy("column").agg(F.max(gap).alias("ks"))
+    ref_share = (F.col("before_r") + F.col("r")) / F.col("total_r")
+    cur_share = (F.col("before_c") + F.col("c")) / F.col("total_c")
+    return ranked.groupBy("column").agg(F.max(F.abs(ref_share - cur_share)).alias("ks"))
 
 
 def stability_index(ref: DataFrame, cur: DataFrame, column: str, bins: int = 10, floor: float = 1e-6) -> DataFrame:

@@ -48,6 +48,13 @@ def join_by_day(bars: DataFrame, daily: DataFrame) -> DataFrame:
     return bars.join(F.broadcast(daily), "date", "left")
 
 
+def one_row_per_day(daily: DataFrame, column: str) -> DataFrame:
+    """(date, column), refusing a second row of a day: what is broadcast is bounded by the calendar."""
+    rows = daily.groupBy("date").agg(F.count(F.lit(1)).alias("_n"), F.any_value(column).alias("_v"))
+    twice = F.raise_error(F.concat(F.lit("several rows on "), F.col("date").cast("string")))
+    return rows.select("date", F.when(F.col("_n") == 1, F.col("_v")).otherwise(twice.cast("double")).alias(column))
+
+
 def join_daily_sentiment(bars: DataFrame, scored: DataFrame) -> DataFrame:
     """Bars with the market-wide daily means."""
     return join_by_day(bars, daily_sentiment(scored))
@@ -81,13 +88,13 @@ def single_ticker_join(bars: DataFrame, scored: DataFrame) -> DataFrame:
 
 def join_market_index(bars: DataFrame, index: DataFrame, name: str = "vix") -> DataFrame:
     """Index level of the day on every ticker's row. `index` has one row per day: (date, level)."""
-    return join_by_day(bars, index.select("date", F.col("level").alias(name)))
+    return join_by_day(bars, one_row_per_day(index, "level").withColumnRenamed("level", name))
 
 
 def join_turbulence(bars: DataFrame, turbulence: DataFrame, index_column: str = "vix") -> DataFrame:
     """Turbulence of the day, only when the market index is usable; otherwise the column is NULL."""
     usable = bars.agg((F.count(index_column) > 0).alias("usable")).scalar()
-    joined = join_by_day(bars, turbulence.select("date", "turbulence"))
+    joined = join_by_day(bars, one_row_per_day(turbulence, "turbulence"))
     return joined.withColumn("turbulence", F.when(usable, F.col("turbulence")))
 
 

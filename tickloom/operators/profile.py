@@ -24,7 +24,10 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, approx
     tables where a second, ordered pass is not worth it.
     """
     columns = list(columns or numeric_columns(df))
-    long = unpivot(df, columns, "DOUBLE")
+    # Rows carry the column's number instead of its name until the end.
+    pairs = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(columns))
+    long = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (`column`, value)")
+    named = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("column") + 1)
     stats = [
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
@@ -32,10 +35,10 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, approx
     if approximate:
         q = F.approx_percentile("value", [0.25, 0.5, 0.75], 10000)
         out = long.groupBy("column").agg(*stats, q.alias("_q"))
-        return out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))]).drop("_q")
+        return out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))]).drop("_q").withColumn("column", named)
     quartiles = exact_quantiles(long, "column", "value", [0.25, 0.5, 0.75])
-    named = quartiles.withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
-    return long.groupBy("column").agg(*stats).join(named, "column", "left")
+    quartiles = quartiles.withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
+    return long.groupBy("column").agg(*stats).join(quartiles, "column", "left").withColumn("column", named)
 
 
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:

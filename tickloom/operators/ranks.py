@@ -11,7 +11,8 @@ from tickloom.session import cut
 
 
 def ordered_prefix(counts: DataFrame, group: str, value: str, measures: Sequence[str]) -> DataFrame:
-    """For every (group, value) row the sums of `measures` over the smaller values, as `before_<measure>`.
+    """For every (group, value) row the sums of `measures` over the smaller values, as `before_<measure>`, and over
+    the whole group, as `total_<measure>`.
 
     `counts` holds one row per (group, value). It is range-partitioned by Spark, written once, and its
     partitions' totals are scanned; each task then adds up its own range. The written table fixes the
@@ -23,9 +24,14 @@ def ordered_prefix(counts: DataFrame, group: str, value: str, measures: Sequence
         "ranges",
     )
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(group)
     starts = (
         ranged.groupBy(group, "_range").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-        .select(group, "_range", *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_s_{m}") for m in measures])
+        .select(
+            group, "_range",
+            *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_s_{m}") for m in measures],
+            *[F.sum(f"_t_{m}").over(whole).alias(f"total_{m}") for m in measures],
+        )
     )
     inside = Window.partitionBy(group, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     out = ranged.join(starts, [group, "_range"])
@@ -41,18 +47,16 @@ def exact_quantiles(values: DataFrame, group: str, value: str, probs: Sequence[f
     """
     counts = values.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
     ranked = ordered_prefix(counts, group, value, ["n"])
-    totals = ranked.groupBy(group).agg(F.sum("n").alias("_total"))
-    placed = ranked.join(totals, group)
     picks = []
     for i, p in enumerate(probs):
-        place = (F.col("_total") - 1) * p
+        place = (F.col("total_n") - 1) * p
         for name, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
             here = (F.col("before_n") <= at) & (at < F.col("before_n") + F.col("n"))
             picks.append(F.max(F.when(here, F.col(value))).alias(f"_{name}{i}"))
-    found = placed.groupBy(group, "_total").agg(*picks)
+    found = ranked.groupBy(group, "total_n").agg(*picks)
     out = []
     for i, p in enumerate(probs):
-        place = (F.col("_total") - 1) * p
+        place = (F.col("total_n") - 1) * p
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         out.append((lo + (hi - lo) * (place - F.floor(place))).alias(f"q{i}"))
     return found.select(group, *out)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators.features import one_row_per_day
 from tickloom.operators.series import DAILY, Series, add_level, blocks, running
 from tickloom.session import cut
 
@@ -106,7 +107,7 @@ def portfolio_weights(bars: DataFrame) -> DataFrame:
 def baseline_compare(returns: DataFrame, baseline: DataFrame, keys: Sequence[str] = ("tic",)) -> DataFrame:
     """Mean excess return, beta and correlation against a baseline with one return per day."""
     both = returns.join(
-        F.broadcast(baseline.select("date", F.col("ret").alias("base"))), "date"
+        F.broadcast(one_row_per_day(baseline, "ret").withColumnRenamed("ret", "base")), "date"
     ).filter("ret IS NOT NULL AND base IS NOT NULL")
     return both.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("days"),
@@ -118,7 +119,7 @@ def baseline_compare(returns: DataFrame, baseline: DataFrame, keys: Sequence[str
 
 def join_baseline(returns: DataFrame, baseline: DataFrame) -> DataFrame:
     """Strategy and baseline return of each common day. The baseline has one row per calendar day."""
-    return returns.join(F.broadcast(baseline.select("date", F.col("ret").alias("baseline_ret"))), "date")
+    return returns.join(F.broadcast(one_row_per_day(baseline, "ret").withColumnRenamed("ret", "baseline_ret")), "date")
 
 
 def sharpe_alert(stats: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -164,6 +165,7 @@ def bootstrap_paths(returns: DataFrame, paths: int, days: int, seed: int = 0, ke
     sizes = places.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     draws = (
         sizes.withColumn("path", F.explode(F.sequence(F.lit(0), F.lit(paths - 1))))
+        .repartition(key, "path")
         .withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(days - 1))))
         .withColumn("_rn", hashed_place(F.concat_ws(":", F.lit(seed), F.col(key), "path", "draw"), F.col("_n")))
     )

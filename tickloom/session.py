@@ -35,6 +35,8 @@ def scratch_root(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     path = tempfile.mkdtemp(prefix="tickloom-")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
