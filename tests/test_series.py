@@ -213,3 +213,11 @@ def test_bootstrap_is_repeatable(spark):
     runs = [sorted((r.path, round(r.log_return, 12), r.draws) for r in R.bootstrap_paths(d, 20, 30, seed=1).collect())
             for d in (df, df.repartition(7))]
     assert runs[0] == runs[1] and all(n == 30 for _, _, n in runs[0])
+
+
+def test_averages_around_a_missing_value(spark):
+    closes = [1.0, 2.0, None, 4.0, 5.0, 6.0]
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=i), "A", v) for i, v in enumerate(closes)]
+    got = ordered(N.indicator_pack(spark.createDataFrame(rows, "date date, tic string, close double"), ["sma_3", "close_ma3"]))
+    assert [None if np.isnan(v) else v for v in got["sma_3"]] == [None, None, None, None, None, 5.0]
+    assert list(got["close_ma3"]) == [1.0, 1.5, 1.5, 3.0, 4.5, 5.0]

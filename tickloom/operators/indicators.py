@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.series import Blocks, Series, DAILY, add_level, blocks, smooth, smoothing_history
+from tickloom.operators.series import DAILY, Blocks, Series, add_level, blocks, smooth, smoothing_history, trailing_sums
 
 DEFAULT_PACK = ("macd", "rsi_14", "close_20_sma", "close_50_sma", "ema_20")
 
@@ -20,6 +20,8 @@ class Plan:
 
     history: int
     inputs: Callable[[Blocks], dict[str, Column]] = lambda b: {}
+    sums: dict[str, tuple[Column, int]] = field(default_factory=dict)
+    counted: bool = False
     means: dict[str, tuple[Column, float, int]] = field(default_factory=dict)
     between: Callable[[Blocks], dict[str, Column]] = lambda b: {}
     later_means: dict[str, tuple[Column, float, int]] = field(default_factory=dict)
@@ -36,7 +38,9 @@ def full_window(b: Blocks, rows: int, value: Column, of: str = "close") -> Colum
 
 
 def sma(rows: int, name: str, of: str = "close") -> Plan:
-    return Plan(rows, outputs=lambda b: {name: full_window(b, rows, F.avg(of).over(b.trailing(rows)), of)})
+    total = F.col(f"_sum_{of}_{rows}")
+    mean = F.when((F.col("_rn") >= rows - 1) & ~F.isnan(total), total / rows)
+    return Plan(rows, sums={of: (F.col(of), rows)}, outputs=lambda b: {name: mean})
 
 
 def ema(span: int, name: str, of: str = "close") -> Plan:
@@ -169,7 +173,11 @@ def lag_feature(column: str, rows: int) -> Plan:
 
 def rolling_mean_feature(column: str, rows: int) -> Plan:
     """Mean of the last rows there are, at most `rows`."""
-    return Plan(rows, outputs=lambda b: {f"{column}_ma{rows}": F.avg(column).over(b.trailing(rows))})
+    tag = f"known_{column}"
+    mean = F.try_divide(f"_sum_{tag}_{rows}", f"_cnt_{tag}_{rows}")
+    return Plan(
+        rows, sums={tag: (F.col(column), rows)}, counted=True, outputs=lambda b: {f"{column}_ma{rows}": mean}
+    )
 
 
 _NAMES: list[tuple[str, Callable[[re.Match], Plan]]] = [
@@ -201,8 +209,14 @@ def apply_plans(bars: DataFrame, plans: Iterable[Plan], series: Series = DAILY)
     """Run indicator plans level by level, so that every level is one window pass over the same layout."""
     plans = list(plans)
     b = blocks(bars, series, max(p.history for p in plans))
-    for level in ("inputs", "means", "between", "later_means", "outputs"):
-        if level in ("means", "later_means"):
+    for level in ("inputs", "sums", "means", "between", "later_means", "outputs"):
+        if level == "sums":
+            for counted in (False, True):
+                asked = [(n, x, rows) for p in plans if p.counted == counted for n, (x, rows) in p.sums.items()]
+                if asked:
+                    lengths = {n: {rows for m, _, rows in asked if m == n} for n, _, _ in asked}
+                    trailing_sums(b, {n: x for n, x, _ in asked}, lengths, counted=counted)
+        elif level in ("means", "later_means"):
             merged = {k: v for p in plans for k, v in getattr(p, level).items()}
             if merged:
                 smooth(b, merged)

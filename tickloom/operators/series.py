@@ -113,39 +113,74 @@ def blocks(df: DataFrame, series: Series, history: int, block_rows: int = BLOCK_
     return out
 
 
-# Spark re-adds a whole sliding frame for every row; longer windows use differences of running sums.
-SLIDING_ROWS = 64
+def trailing_sums(
+    b: Blocks, values: dict[str, Column], lengths: dict[str, set[int]], end: int = 0, counted: bool = True
+) -> None:
+    """Sums and counts of the last n known values: columns `_sum_<name>_<n>` and `_cnt_<name>_<n>`.
+
+    Without `counted` there are no counts, and a sum over a missing value is NaN.
+
+    Spark re-adds a whole sliding frame for every row. Here sums of 2, 4, 8, ... rows are each built from two
+    of the length before, and a length is put together from powers of two, so a row costs about log2(n)
+    look-backs; nothing is ever subtracted, so nothing cancels. `end` shifts the window back (end <= 0).
+    """
+    kinds = {"z": "sum", "k": "cnt"} if counted else {"z": "sum"}
+    missing = F.lit(0.0 if counted else float("nan"))
+    add_level(b, {f"_z_{n}_1": F.coalesce(x.cast("double"), missing) for n, x in values.items()})
+    if counted:
+        add_level(b, {f"_k_{n}_1": x.isNotNull().cast("int") for n, x in values.items()})
+    top = max(n for ns in lengths.values() for n in ns)
+    power = 1
+    while power * 2 <= top:
+        level = {}
+        for name, ns in lengths.items():
+            if max(ns) >= power * 2:
+                for p in kinds:
+                    have = f"_{p}_{name}_{power}"
+                    level[f"_{p}_{name}_{power * 2}"] = F.col(have) + F.lag(have, power, 0).over(b.window)
+        add_level(b, level)
+        power *= 2
+    sums = {}
+    for name, ns in lengths.items():
+        for n in ns:
+            for p, out in kinds.items():
+                offset, total = -end, None
+                for bit in range(n.bit_length()):
+                    if n >> bit & 1:
+                        have = f"_{p}_{name}_{1 << bit}"
+                        part = F.lag(have, offset, 0).over(b.window) if offset else F.col(have)
+                        total = part if total is None else total + part
+                        offset += 1 << bit
+                sums[f"_{out}_{name}_{n}"] = total
+    add_level(b, sums)
 
 
 def trailing_moments(b: Blocks, column: str, rows: int, end: int = 0) -> dict[str, Column]:
     """Count, mean and sample variance of the last `rows` rows, up to `end` rows before the current one.
 
-    A variance within rounding of the block's sum of squares is taken as zero.
+    Differences of running sums, so the cost does not grow with `rows`. Values are taken about one of the
+    block, so that a large level with little spread loses no digits, and a variance within rounding of the
+    block's sum of squares counts as zero.
     """
-    if rows <= SLIDING_ROWS:
-        t = b.trailing(rows, end)
-        names = {"count": F.count(column).over(t), "mean": F.avg(column).over(t), "variance": F.var_samp(column).over(t)}
-        add_level(b, {f"_{k}_{column}_{rows}": v for k, v in names.items()})
-        return {k: F.col(f"_{k}_{column}_{rows}") for k in names}
-    x = F.col(column)
-    tag = f"{column}_{rows}"
+    first = F.first(column, ignorenulls=True).over(b.window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    add_level(b, {"_near": first})
+    off = F.col(column) - F.col("_near")
     add_level(b, {
-        f"_rc_{tag}": F.count(x).over(b.running()),
-        f"_rs_{tag}": F.coalesce(F.sum(x).over(b.running()), F.lit(0.0)),
-        f"_rq_{tag}": F.coalesce(F.sum(x * x).over(b.running()), F.lit(0.0)),
+        "_run_n": F.count(off).over(b.running()),
+        "_run_s": F.coalesce(F.sum(off).over(b.running()), F.lit(0.0)),
+        "_run_q": F.coalesce(F.sum(off * off).over(b.running()), F.lit(0.0)),
     })
 
     def between(name: str) -> Column:
         now = F.lag(name, -end, 0).over(b.window) if end else F.col(name)
         return now - F.lag(name, rows - end, 0).over(b.window)
 
-    add_level(b, {f"_d{m}_{tag}": between(f"_r{m}_{tag}") for m in "csq"})
-    n, total, squares = (F.col(f"_d{m}_{tag}") for m in "csq")
+    add_level(b, {f"_win_{m}": between(f"_run_{m}") for m in "nsq"})
+    n, total, squares = F.col("_win_n"), F.col("_win_s"), F.col("_win_q")
     mean = F.try_divide(total, n)
     spread = squares - total * mean
-    floor = F.col(f"_rq_{tag}") * 1e-13
-    variance = F.when(spread > floor, F.try_divide(spread, n - 1)).otherwise(F.lit(0.0))
-    return {"count": n, "mean": mean, "variance": variance}
+    variance = F.when(spread > F.col("_run_q") * 1e-13, F.try_divide(spread, n - 1)).otherwise(F.lit(0.0))
+    return {"count": n, "mean": F.col("_near") + mean, "variance": variance}
 
 
 def smoothing_history(ratio: float) -> int:
