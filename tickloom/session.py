@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+LOCAL_SCRATCH = "/tmp/tickloom-scratch"
+
+
 def build_session(cores: str = "8", app: str = "tickloom", shuffle_partitions: int | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster the submitter's session is used as it is."""
     parts = shuffle_partitions or (int(cores) if cores.isdigit() else 8)
@@ -21,6 +22,7 @@ def build_session(cores: str = "8", app: str = "tickloom", shuffle_partitions: i
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", f"file://{LOCAL_SCRATCH}")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -28,18 +30,9 @@ def build_session(cores: str = "8", app: str = "tickloom", shuffle_partitions: i
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder shared by all executors: the cluster's checkpoint folder. A local one is set only where none is."""
+    """Folder shared by the driver and all executors: spark.checkpoint.dir, or a folder in the warehouse where that is unset."""
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="tickloom-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, stem: str) -> str:
