@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate
+from tickloom.llm import decontaminate, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +18,11 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_overlaps(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_decontaminate": op4_decontaminate}
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_components(simhash.fingerprints(_table(spark, folder, "documents")), radius=3)
+    return found.select("doc_id", F.format_string("%016x", "f0").alias("fingerprint"), "component_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_decontaminate": op4_decontaminate, "op10_simhash": op10_simhash}
 
 ORACLE: dict[str, str] = {}
