@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, simhash
+from tickloom.llm import decontaminate, mixing, simhash, token_file
+from tickloom.session import scratch_path
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_overlaps(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -23,6 +30,16 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.format_string("%016x", "f0").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_decontaminate": op4_decontaminate, "op10_simhash": op10_simhash}
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, folder, "documents"))
+
+
+def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_file.write_token_file(_table(spark, folder, "documents"), path, byte_bpe())
+    return token_file.read_token_file(spark, path, ids=False)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_decontaminate": op4_decontaminate, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op6_token_file": op6_token_file}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_mixing": mixing.SQL}
