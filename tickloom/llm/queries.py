@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, kneser_ney, mixing, simhash, token_file
+from tickloom.llm import decontaminate, kneser_ney, mixing, simhash, spotsigs, token_file
 from tickloom.session import scratch_path
 
 
@@ -34,6 +34,10 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
+def op3_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.compare_with_next(_table(spark, folder, "documents"))
+
+
 def op5_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -44,6 +48,6 @@ def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.read_token_file(spark, path, ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_decontaminate": op4_decontaminate, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op5_kneser_ney": op5_kneser_ney, "op6_token_file": op6_token_file}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_decontaminate": op4_decontaminate, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op3_spotsigs": op3_spotsigs, "op5_kneser_ney": op5_kneser_ney, "op6_token_file": op6_token_file}
 
 ORACLE: dict[str, str] = {"op2_mixing": mixing.SQL}

@@ -12,6 +12,8 @@ STEP = 4 << 20  # bytes of text handled at once, so that the arrays made of them
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_PUNCTUATION = _SPACE.copy()
+_PUNCTUATION[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -61,12 +63,15 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words `[^\\x20\\x09-\\x0D]+` of the rows: `first`, `end` are byte places in `data`, `rows` the word offsets of the rows."""
+    """Words `[^\\x20\\x09-\\x0D]+` of the rows: `first`, `end` are byte places in `data`, `rows` the word offsets of the rows.
 
-    def __init__(self, column: pa.Array, lower: bool = True):
+    With `bare` ASCII punctuation parts words as white space does.
+    """
+
+    def __init__(self, column: pa.Array, lower: bool = True, bare: bool = False):
         data, self.offsets = raw(column)
         self.data = _LOWER[data] if lower else data
-        space = _SPACE[data]
+        space = (_PUNCTUATION if bare else _SPACE)[data]
         n = len(data)
         before = np.ones(n, bool)
         before[1:] = space[:-1]
