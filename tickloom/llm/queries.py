@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, kneser_ney, mixing, simhash, spotsigs, token_file
+from tickloom.llm import decontaminate, html_text, kneser_ney, mixing, simhash, spotsigs, token_file
 from tickloom.session import scratch_path
 
 
@@ -30,6 +30,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.format_string("%016x", "f0").alias("fingerprint"), "component_id")
 
 
+def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(_table(spark, folder, "pages"))
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
@@ -48,6 +52,6 @@ def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.read_token_file(spark, path, ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_decontaminate": op4_decontaminate, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op3_spotsigs": op3_spotsigs, "op5_kneser_ney": op5_kneser_ney, "op6_token_file": op6_token_file}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_main_text": op1_main_text, "op4_decontaminate": op4_decontaminate, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op3_spotsigs": op3_spotsigs, "op5_kneser_ney": op5_kneser_ney, "op6_token_file": op6_token_file}
 
 ORACLE: dict[str, str] = {"op2_mixing": mixing.SQL}
