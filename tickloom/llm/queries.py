@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, html_text, kneser_ney, line_dedup, mixing, simhash, spotsigs, token_file
+from tickloom.llm import decontaminate, html_text, kneser_ney, line_dedup, mixing, quotes, simhash, spotsigs, token_file
 from tickloom.session import scratch_path
 
 
@@ -29,6 +29,10 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.report(_table(spark, folder, "documents")).withColumn("removed", F.array_join("removed", ","))
 
 
+def op9_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.reply_order(_table(spark, folder, "conversations"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_components(simhash.fingerprints(_table(spark, folder, "documents")), radius=3)
     return found.select("doc_id", F.format_string("%016x", "f0").alias("fingerprint"), "component_id")
@@ -56,6 +60,6 @@ def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.read_token_file(spark, path, ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_main_text": op1_main_text, "op4_decontaminate": op4_decontaminate, "op8_line_dedup": op8_line_dedup, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op3_spotsigs": op3_spotsigs, "op5_kneser_ney": op5_kneser_ney, "op6_token_file": op6_token_file}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_main_text": op1_main_text, "op4_decontaminate": op4_decontaminate, "op8_line_dedup": op8_line_dedup, "op9_quotes": op9_quotes, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op3_spotsigs": op3_spotsigs, "op5_kneser_ney": op5_kneser_ney, "op6_token_file": op6_token_file}
 
 ORACLE: dict[str, str] = {"op2_mixing": mixing.SQL, "op8_line_dedup": line_dedup.SQL}
