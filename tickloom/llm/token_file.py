@@ -9,8 +9,9 @@ system Spark can write to will do and lost tasks leave nothing behind.
 
 from __future__ import annotations
 
+import itertools
+import os
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,75 +21,118 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.words import batches
+from tickloom.llm.words import U64, Words, batches, mix
 
 END_ID = 2
 SHARD_IDS = 1 << 20  # a block is closed when it has so many ids
-MEMO_PIECES = 500_000  # a worker forgets its pieces beyond so many
+MEMO_PIECES = 2_000_000  # a worker forgets its pieces beyond so many
 MAGIC = 0x31465454
 
 # Lengths of the four ids of a control byte.
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
 
-class _Index(dict):
-    """Number of each piece; new ones are numbered and listed."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[str] = []
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = n = len(self)
-        self.fresh.append(piece)
-        return n
-
-
 class Encoder:
-    """Encodes whole texts; remembers the ids of words, which byte-level pair coding never joins across."""
+    """Encodes whole texts; remembers the ids of words, which byte-level pair coding never joins across.
+
+    A text is cut before single spaces and single line ends; one with other white space is encoded as a whole. Pieces are
+    known by a 64-bit hash and kept as arrays: a large sorted one and a small one that is merged into it now and then.
+    """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.forget()
 
     def forget(self) -> None:
-        self.index, self.flat, self.start, self.size = _Index(), array("I"), array("q"), array("q")
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """The text cut before single spaces and around single line ends, or whole if it has other white space."""
-        out: list[str] = []
-        for line in text.split("\n"):
-            words = line.split()
-            if not words or " ".join(words) != line:
-                return [text]
-            if out:
-                out.append("\n")
-            out.append(words[0])
-            out += [" " + w for w in words[1:]]
-        return out
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.known = [none, none]
+        self.flat, self.start, self.size = (_Growing(t) for t in (np.uint32, np.int64, np.int32))
+
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """Encode pieces, append their ids and return their numbers."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int32, len(found))
+        ends = np.cumsum(size, dtype=np.int64)
+        number = np.arange(len(found)) + len(self.start)
+        self.start.add(ends - size + len(self.flat))
+        self.size.add(size)
+        self.flat.add(np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(ends[-1]) if len(ends) else 0))
+        return number
+
+    def _codes(self, w: Words, keys: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces that lie at `first` to `end`."""
+        kinds, at, back = np.unique(keys, return_index=True, return_inverse=True)
+        code = np.full(len(kinds), -1)
+        for known, number in self.known:
+            if len(known):
+                place = np.minimum(np.searchsorted(known, kinds), len(known) - 1)
+                there = known[place] == kinds
+                code[there] = number[place[there]]
+        new = np.flatnonzero(code < 0)
+        if len(new):
+            text = w.data.tobytes()
+            code[new] = self._learn([text[i:j].decode() for i, j in zip(first[at[new]].tolist(), end[at[new]].tolist(), strict=True)])
+            self._remember(1, kinds[new], code[new])
+            if 5 * len(self.known[1][0]) > len(self.known[0][0]):
+                self._remember(0, *self.known[1])
+                self.known[1] = (kinds[:0], code[:0])
+        return code[back]
+
+    def _remember(self, level: int, keys: np.ndarray, number: np.ndarray) -> None:
+        keys, number = (np.concatenate([x, y]) for x, y in zip(self.known[level], (keys, number), strict=True))
+        order = np.argsort(keys, kind="stable")
+        self.known[level] = (keys[order], number[order])
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of the texts)."""
-        if len(self.index) > MEMO_PIECES:
+        if len(self.start) > MEMO_PIECES:
             self.forget()
-        cut = [self.pieces(t) if t else [] for t in texts]
-        codes = [np.fromiter(map(self.index.__getitem__, p), np.int64, len(p)) for p in cut]
-        if self.index.fresh:
-            for e in self.tokenizer.encode_batch_fast(self.index.fresh, add_special_tokens=False):
-                self.start.append(len(self.flat))
-                self.size.append(len(e.ids))
-                self.flat.extend(e.ids)
-            self.index.fresh = []
-        code = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-        start, size = np.array(self.start)[code] if len(code) else code, np.array(self.size)[code] if len(code) else code
+        w = Words(column, lower=False)
+        n, row = len(w.rows) - 1, w.row_of()
+        opens = np.ones(len(row), bool)
+        opens[1:] = row[1:] != row[:-1]
+        before = np.where(opens, w.offsets[row], np.concatenate([[0], w.end[:-1]]))
+        gap, mark = w.first - before, w.data[np.maximum(w.first - 1, 0)]
+        plain = np.where(opens, gap == 0, (gap == 1) & ((mark == 0x20) | (mark == 0x0A)))
+        last = np.zeros(n, np.int64)
+        last[row] = w.end
+        whole = (np.bincount(row[~plain], minlength=n) > 0) | (np.where(np.diff(w.rows) > 0, last, w.offsets[:-1]) != w.offsets[1:])
+        kind = np.where(opens, 0, np.where(mark == 0x20, 1, 2)).astype(np.uint64)
+        use = np.flatnonzero(~whole[row])
+        keys = mix(w.hashes()[use] + kind[use] * U64(0xD6E8FEB86659FD93))
+        code = self._codes(w, keys, w.first[use] - (kind[use] > 0), w.end[use])
+        item_row = row[use]
+        if whole.any():
+            odd = np.flatnonzero(whole)
+            item_row = np.concatenate([item_row, odd])
+            order = np.argsort(item_row, kind="stable")
+            code, item_row = np.concatenate([code, self._learn([column[i].as_py() for i in odd.tolist()])])[order], item_row[order]
+        start, size = self.start.values()[code], self.size.values()[code].astype(np.int64)
         ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = np.array(self.flat, dtype=np.uint32)[np.repeat(start - ends + size, size) + np.arange(total)] if total else np.zeros(0, np.uint32)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(c) for c in codes], dtype=np.int64)])]
-        return ids, bounds
+        ids = self.flat.values()[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.concatenate([[0], ends])[np.searchsorted(item_row, np.arange(n + 1))]
+
+
+class _Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.held, self.n = np.zeros(1 << 16, kind), 0
+
+    def __len__(self) -> int:
+        return self.n
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.held):
+            self.held = np.concatenate([self.held[: self.n], np.zeros(self.n // 2 + 2 * len(values), self.held.dtype)])
+        self.held[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+    def values(self) -> np.ndarray:
+        return self.held[: self.n]
 
 
 @lru_cache(maxsize=2)
@@ -99,7 +143,7 @@ def encoder(path: str) -> Encoder:
 
 def encoded(batch: pa.RecordBatch, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of the batch's texts, each closed by the end id."""
-    ids, bounds = encoder(path)([t or "" for t in batch.column("text").to_pylist()])
+    ids, bounds = encoder(path)(batch.column("text"))
     n = np.arange(len(bounds))
     out = np.full(len(ids) + len(bounds) - 1, end_id, np.uint32)
     keep = np.ones(len(out), bool)
