@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-STEP = 4 << 20  # bytes of text handled at once, so that the arrays made of them stay small
+STEP = 2 << 20  # bytes of text handled at once, so that the arrays made of them stay small
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -87,7 +87,9 @@ class Words:
         """A 64-bit hash of each word."""
         up, down = _powers(len(self.data) + 1)
         total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * up[:-1], out=total[1:])
+        total[1:] = _BYTE[self.data]
+        total[1:] *= up[:-1]
+        np.cumsum(total, out=total)
         return mix((total[self.end] - total[self.first]) * down[self.first])
 
     def row_of(self) -> np.ndarray:
