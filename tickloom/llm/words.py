@@ -49,6 +49,7 @@ def batches(stream: Iterator[pa.RecordBatch], column: str = "text", step: int =
             end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + step, "right")) - 1)
             yield batch.slice(at, min(end, n) - at)
             at = end
+        pa.default_memory_pool().release_unused()
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
