@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tickloom.session import cut, scratch_path
 
 TAU = 2  # edits between lines that are near duplicates
+LETTERS = "entrai"  # counted to tell pairs apart before their edit distance is found
 LEAST = 20  # code points; shorter lines are duplicates only if equal
 
 
@@ -69,7 +70,9 @@ def within(a: Column, b: Column, tau: int) -> Column:
         for k in range(width):
             row = j - tau + k
             equal = equal.bitwiseOR(F.when((row >= 1) & (row <= m) & (F.get(x, row - 1) == letter), lit(1 << k)).otherwise(lit(0)))
-        return F.transform(F.array(F.struct(s["vp"].alias("vp"), s["vn"].alias("vn"), s["d"].alias("d"), equal.alias("pm"))), advance(j))[0]
+        moved = F.transform(F.array(F.struct(s["vp"].alias("vp"), s["vn"].alias("vn"), s["d"].alias("d"), equal.alias("pm"))), advance(j))[0]
+        # The distance never falls along the diagonal, and by tau at most along the last row.
+        return F.when(s["d"] > 2 * tau, s).otherwise(moved)
 
     def advance(j: Column):
         def inner(s: Column) -> Column:
@@ -99,6 +102,12 @@ def within(a: Column, b: Column, tau: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), first, step, lambda s: s["d"]) <= tau
 
 
+def _same_letters(a: Column, b: Column, tau: int) -> Column:
+    """False only for strings that are more than `tau` edits apart: an edit changes the counts of letters by two at most."""
+    count = lambda text, letter: F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
+    return sum((F.abs(count(a, x) - count(b, x)) for x in LETTERS[1:]), F.abs(count(a, LETTERS[0]) - count(b, LETTERS[0]))) <= 2 * tau
+
+
 def near_lines(classes: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFrame:
     """(a, b) of all pairs of different lines of at least `least` code points within `tau` edits, a < b.
 
@@ -121,7 +130,7 @@ def near_lines(classes: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFr
     met = cut(index.join(probe, "key").where("a <> b").select("a", "b").distinct(), "met")
     texts = table.select(F.col("line_id").alias("a"), F.col("line").alias("x"))
     both = met.join(texts, "a").join(table.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b")
-    near = both.where(within(F.col("x"), F.col("y"), tau))
+    near = both.where(_same_letters(F.col("x"), F.col("y"), tau)).where(within(F.col("x"), F.col("y"), tau))
     return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
