@@ -44,8 +44,8 @@ def default_sentiment(bars: DataFrame) -> DataFrame:
 
 
 def join_by_day(bars: DataFrame, daily: DataFrame) -> DataFrame:
-    """Left join of a table with one row per calendar day, so a few hundred rows a year: safe to broadcast."""
-    return bars.join(F.broadcast(daily), "date", "left")
+    """Left join of a table with one row per date; Spark broadcasts it if its measured size allows."""
+    return bars.join(daily, "date", "left")
 
 
 def one_row_per_day(daily: DataFrame, column: str) -> DataFrame:
