@@ -40,7 +40,7 @@ def bars(spark, bars_pdf):
 @pytest.fixture(params=[4096, 150])
 def small_blocks(request, monkeypatch):
     whole = S.blocks
-    monkeypatch.setattr(N, "blocks", lambda df, series, history: whole(df, series, history, request.param))
+    monkeypatch.setattr(N, "blocks", lambda df, series, history, rows=None: whole(df, series, history, request.param))
     monkeypatch.setattr(T, "blocks", lambda df, series, history: whole(df, series, history, request.param))
     monkeypatch.setattr(S, "BUCKET_ROWS", 1000)
     return request.param
@@ -83,6 +83,33 @@ def test_indicators_equal_pandas(spark, bars, bars_pdf, small_blocks):
         assert np.nanmax(np.abs(a - b)) < 1e-8, c
 
 
+@pytest.mark.parametrize("moving, flat", [(1000, 8000), (3000, 3000)])
+def test_standstill_keeps_rsi_and_dx(spark, moving, flat):
+    """Means that decay through a long standstill, against the plain recursion; the caller's own columns stay."""
+    rng = np.random.default_rng(6)
+    close = 100 * np.exp(np.cumsum(rng.normal(0, 0.02, moving)))
+    close = np.concatenate([close, np.full(flat, close[-1])])
+    spread = np.concatenate([rng.uniform(0.1, 2, moving), np.zeros(flat)])
+    pdf = pd.DataFrame({"date": pd.date_range("2020-01-01", periods=moving + flat, freq="h"), "tic": "A", "high": close + spread,
+                        "low": close - spread, "close": close, "_note": 1})
+    got = ordered(N.indicator_pack(spark.createDataFrame(pdf), ["rsi_14", "dx_30"], S.HOURLY))
+    change = np.diff(close, prepend=close[0])
+    up, down = np.diff(pdf.high, prepend=np.nan), -np.diff(pdf.low, prepend=np.nan)
+    inputs = [np.maximum(change, 0), np.maximum(-change, 0), np.where((up > down) & (up > 0), up, 0), np.where((down > up) & (down > 0), down, 0)]
+    means = []
+    for x, n in zip(inputs, (14, 14, 30, 30), strict=True):
+        value, out = x[0], []
+        for v in x:
+            value += (v - value) / n
+            out.append(value)
+        means.append(np.array(out))
+    gain, loss, plus, minus = means
+    with np.errstate(all="ignore"):
+        assert np.allclose(got["rsi_14"][13:], (100 - 100 / (1 + gain / loss))[13:], rtol=0, atol=1e-8)
+        assert np.allclose(got["dx_30"][29:], (100 * abs(plus - minus) / (plus + minus))[29:], rtol=0, atol=1e-8)
+    assert got["_note"].eq(1).all()
+
+
 def test_short_series_stays_null(spark, bars_pdf):
     short = spark.createDataFrame(bars_pdf[bars_pdf.tic == "T0"].head(10))
     row = ordered(N.technical_indicators(short))

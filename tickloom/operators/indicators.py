@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.series import DAILY, Blocks, Series, add_level, blocks, smooth, smoothing_history, trailing_sums
+from tickloom.operators.series import BLOCK_ROWS, DAILY, Blocks, Series, add_level, blocks, smooth, trailing_sums
 
 DEFAULT_PACK = ("macd", "rsi_14", "close_20_sma", "close_50_sma", "ema_20")
 
@@ -25,6 +25,7 @@ class Plan:
     means: dict[str, tuple[Column, float, int]] = field(default_factory=dict)
     between: Callable[[Blocks], dict[str, Column]] = lambda b: {}
     later_means: dict[str, tuple[Column, float, int]] = field(default_factory=dict)
+    ratios: list[tuple[str, ...]] = field(default_factory=list)  # means of which only the ratios are used
     outputs: Callable[[Blocks], dict[str, Column]] = lambda b: {}
 
 
@@ -45,7 +46,7 @@ def sma(rows: int, name: str, of: str = "close") -> Plan:
 
 def ema(span: int, name: str, of: str = "close") -> Plan:
     alpha = span_alpha(span)
-    return Plan(smoothing_history(1 - alpha) + span, means={name: (F.col(of), alpha, span)})
+    return Plan(1, means={name: (F.col(of), alpha, span)})
 
 
 def _changes(b: Blocks) -> dict[str, Column]:
@@ -66,9 +67,10 @@ def rsi(rows: int, name: str) -> Plan:
         return {name: F.when(F.col(g).isNotNull(), value)}
 
     return Plan(
-        smoothing_history(1 - alpha) + rows + 1,
+        1,
         inputs=_changes,
         means={g: (gain, alpha, rows), d: (loss, alpha, rows)},
+        ratios=[(g, d)],
         outputs=outputs,
     )
 
@@ -76,9 +78,8 @@ def rsi(rows: int, name: str) -> Plan:
 def macd(fast: int = 12, slow: int = 26, signal: int = 9) -> Plan:
     a_fast, a_slow, a_signal = span_alpha(fast), span_alpha(slow), span_alpha(signal)
     need = max(fast, slow)
-    history = smoothing_history(1 - min(a_fast, a_slow)) + need + smoothing_history(1 - a_signal) + signal
     return Plan(
-        history,
+        1,
         means={
             "_macd_fast": (F.col("close"), a_fast, need),
             "_macd_slow": (F.col("close"), a_slow, need),
@@ -134,14 +135,15 @@ def dx(rows: int, name: str) -> Plan:
     p, m, t = f"_dmp_{rows}", f"_dmm_{rows}", f"_tr_{rows}"
 
     def outputs(b: Blocks) -> dict[str, Column]:
-        di_plus = F.try_divide(100.0 * F.col(p), F.col(t))
-        di_minus = F.try_divide(100.0 * F.col(m), F.col(t))
-        return {name: F.try_divide(100.0 * F.abs(di_plus - di_minus), di_plus + di_minus)}
+        # The range divides both directions alike, so it only decides whether there is a value.
+        apart = F.try_divide(100.0 * F.abs(F.col(p) - F.col(m)), F.col(p) + F.col(m))
+        return {name: F.when(F.col(t) != 0, apart)}
 
     return Plan(
-        smoothing_history(1 - alpha) + rows + 1,
+        1,
         inputs=inputs,
         means={p: (plus, alpha, rows), m: (minus, alpha, rows), t: (true_range, alpha, rows)},
+        ratios=[(p, m), (t,)],
         outputs=outputs,
     )
 
@@ -205,10 +207,10 @@ def resolve(name: str) -> Plan:
     raise ValueError(f"unknown indicator {name!r}")
 
 
-def apply_plans(bars: DataFrame, plans: Iterable[Plan], series: Series = DAILY) -> DataFrame:
+def apply_plans(bars: DataFrame, plans: Iterable[Plan], series: Series = DAILY, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Run indicator plans level by level, so that every level is one window pass over the same layout."""
     plans = list(plans)
-    b = blocks(bars, series, max(p.history for p in plans))
+    b = blocks(bars, series, max(p.history for p in plans), block_rows)
     for level in ("inputs", "sums", "means", "between", "later_means", "outputs"):
         if level == "sums":
             for counted in (False, True):
@@ -219,15 +221,17 @@ def apply_plans(bars: DataFrame, plans: Iterable[Plan], series: Series = DAILY)
         elif level in ("means", "later_means"):
             merged = {k: v for p in plans for k, v in getattr(p, level).items()}
             if merged:
-                smooth(b, merged)
+                smooth(b, merged, {g: None for p in plans for g in p.ratios if set(g) <= merged.keys()})
         else:
             add_level(b, {k: v for p in plans for k, v in getattr(p, level)(b).items()})
     return b.finish()
 
 
-def indicator_pack(bars: DataFrame, names: Iterable[str] = DEFAULT_PACK, series: Series = DAILY) -> DataFrame:
+def indicator_pack(
+    bars: DataFrame, names: Iterable[str] = DEFAULT_PACK, series: Series = DAILY, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """Bars with the named indicators; a name gives its own column, `macd` three and `boll` three."""
-    return apply_plans(bars, [resolve(n) for n in names], series)
+    return apply_plans(bars, [resolve(n) for n in names], series, block_rows)
 
 
 def technical_indicators(

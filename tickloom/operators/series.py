@@ -8,19 +8,21 @@ Windows then run over (key, block): equal answers, bounded groups, one shuffle f
 
 from __future__ import annotations
 
+import functools
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickloom.session import cut
+
 BLOCK_ROWS = 4096
 BUCKET_ROWS = 1000
 # Powers of a smoothing ratio are kept within 2**+-950; doubles end at 2**1023.
 EXPONENT_BITS = 1900.0
-# A weight below 2**-53 of the newest one no longer changes a double.
-MANTISSA_BITS = 53.0
 
 
 @dataclass(frozen=True)
@@ -52,7 +54,7 @@ class Blocks:
     df: DataFrame
     series: Series
     capacity: int
-    _levels: list = field(default_factory=list)
+    given: tuple[str, ...] = ()
 
     @property
     def window(self) -> WindowSpec:
@@ -67,8 +69,7 @@ class Blocks:
 
     def finish(self) -> DataFrame:
         """Drop the copied history and the helper columns."""
-        helpers = [c for c in self.df.columns if c.startswith("_")]
-        return self.df.filter("_own").drop(*helpers)
+        return self.df.filter("_own").select(*[c for c in self.df.columns if c in self.given or not c.startswith("_")])
 
 
 def blocks(df: DataFrame, series: Series, history: int, block_rows: int = BLOCK_ROWS) -> Blocks:
@@ -103,7 +104,7 @@ def blocks(df: DataFrame, series: Series, history: int, block_rows: int = BLOCK_
         .join(placed, [*keys, "_bucket"])
         .withColumn("_block", F.explode(F.sequence("_home", F.greatest("_home", "_until"))))
     )
-    out = Blocks(spread, series, block_rows + history + BUCKET_ROWS)
+    out = Blocks(spread, series, block_rows + history + BUCKET_ROWS, tuple(df.columns))
     out.df = spread.select(
         *df.columns,
         "_block",
@@ -183,69 +184,115 @@ def trailing_moments(b: Blocks, column: str, rows: int, end: int = 0) -> dict[st
     return {"count": n, "mean": F.col("_near") + mean, "variance": variance}
 
 
-def smoothing_history(ratio: float) -> int:
-    """Rows after which an older value weighs nothing in a double."""
-    return math.ceil(MANTISSA_BITS / -math.log2(ratio)) + 1
-
-
 def add_level(b: Blocks, columns: dict[str, Column]) -> None:
     if columns:
         b.df = b.df.withColumns(columns)
 
 
-def smooth(b: Blocks, values: dict[str, tuple[Column, float, int]]) -> None:
-    """Exponential means, `name -> (value, alpha, rows needed)`, in closed form.
+def smooth(b: Blocks, values: dict[str, tuple[Column, float, int]], ratios: Iterable[tuple[str, ...]] = ()) -> None:
+    """Exponential means, `name -> (value, alpha, rows needed)`, over whole series.
+
+    With r = 1 - alpha and p the number of known values of a block so far, the mean is local + carry * r**p. `local` is
+    r**p * sum(alpha * x_i * r**-p_i) over the block's own rows, with powers centred so that they stay within a double; a
+    span too short for that is summed in smaller pieces. `carry` is the mean at the end of the blocks before. It follows
+    from one row of every block, scanned per key, so no history is copied or cut.
 
-    With r = 1 - alpha and p the place of a value, the mean is r**p * sum(w_i * r**-p_i), where the first
-    value weighs 1 and the others alpha. The powers are centred so that a block's stay within a double; a
-    span too short for that is summed in smaller pieces, each adding the decayed end of the piece before.
+    Of the means in one of `ratios` only the ratios matter: where all have been zero since the block began they are given
+    up to a common factor, so that a long standstill doesn't let them run out of a double's range.
     """
-    whole, pieces = {}, {}
-    for name, (x, alpha, needed) in values.items():
-        fits = b.capacity <= int(EXPONENT_BITS / -math.log2(1.0 - alpha)) - 1 if alpha < 1.0 else False
-        (whole if fits else pieces)[name] = (x, alpha, needed)
-    add_level(b, {f"_x_{n}": x for n, (x, _, _) in pieces.items()})
-    add_level(b, {f"_p_{n}": F.count(x).over(b.running()) for n, (x, _, _) in values.items()})
-    sums, results = {}, {}
-    for name, (x, alpha, needed) in whole.items():
-        place = F.col(f"_p_{name}") - 1
-        power = F.exp((place - b.capacity // 2) * math.log(1.0 - alpha))
-        sums[f"_s_{name}"] = F.sum(F.when(place == 0, x).otherwise(x * alpha) / power).over(b.running())
-        results[name] = F.when(F.col(f"_p_{name}") >= needed, F.col(f"_s_{name}") * power)
-    add_level(b, sums)
-    for name, (_, alpha, needed) in pieces.items():
-        _smooth_in_pieces(b, name, alpha)
-        results[name] = F.when(F.col(f"_p_{name}") >= needed, F.col(f"_e_{name}"))
+    add_level(b, {f"_x_{n}": F.when(F.col("_own"), x.cast("double")) for n, (x, _, _) in values.items()})
+    add_level(b, {f"_p_{n}": F.count(f"_x_{n}").over(b.running()) for n in values})
+    local = {}
+    for name, (_, alpha, _) in values.items():
+        if alpha < 1.0 and b.capacity <= int(EXPONENT_BITS / -math.log2(1.0 - alpha)) - 1:
+            power = F.exp((F.col(f"_p_{name}") - b.capacity // 2) * math.log(1.0 - alpha))
+            local[f"_local_{name}"] = F.coalesce(F.sum(F.col(f"_x_{name}") * alpha / power).over(b.running()), F.lit(0.0)) * power
+        else:
+            _smooth_in_pieces(b, name, alpha)
+    add_level(b, local)
+    ratios = list(ratios)
+    carried = cut(_carries(b, {n: 1.0 - alpha for n, (_, alpha, _) in values.items()}, ratios), "carries")
+    b.df = b.df.join(carried, [*b.series.key, "_block"])
+    results = {}
+    for name, (_, alpha, needed) in values.items():
+        seen = F.col(f"_p_{name}")
+        decay = F.exp(seen * math.log(1.0 - alpha)) if alpha < 1.0 else F.when(seen == 0, 1.0).otherwise(0.0)
+        mean = F.col(f"_local_{name}") + F.col(f"_carry_{name}") * decay
+        for group in ratios:
+            if name in group:
+                still = [F.col(f"_local_{n}") == 0 for n in group]
+                mean = F.when(functools.reduce(Column.__and__, still), F.col(f"_held_{name}")).otherwise(mean)
+        results[name] = F.when(F.col(f"_before_{name}") + seen >= needed, mean)
     add_level(b, results)
 
 
 def _smooth_in_pieces(b: Blocks, name: str, alpha: float) -> None:
     ratio = 1.0 - alpha
     if ratio <= 0.0:
-        add_level(b, {f"_e_{name}": F.last(f"_x_{name}", ignorenulls=True).over(b.running())})
+        add_level(b, {f"_local_{name}": F.coalesce(F.last(f"_x_{name}", ignorenulls=True).over(b.running()), F.lit(0.0))})
         return
     piece = int(EXPONENT_BITS / 2 / -math.log2(ratio)) - 1
-    place = F.col(f"_p_{name}") - 1
-    add_level(b, {f"_q_{name}": F.floor(F.greatest(place, F.lit(0)) / piece)})
-    local = F.greatest(place, F.lit(0)) - F.col(f"_q_{name}") * piece
-    add_level(b, {f"_l_{name}": local})
-    weighted = F.when(place == 0, F.col(f"_x_{name}")).otherwise(F.col(f"_x_{name}") * alpha)
-    centre = piece // 2
-    power = F.exp((F.col(f"_l_{name}") - centre) * math.log(ratio))
+    place = F.greatest(F.col(f"_p_{name}") - 1, F.lit(0))
+    add_level(b, {f"_q_{name}": F.floor(place / piece)})
+    add_level(b, {f"_l_{name}": place - F.col(f"_q_{name}") * piece})
+    power = F.exp((F.col(f"_l_{name}") - piece // 2) * math.log(ratio))
     in_piece = (
         Window.partitionBy(*b.series.key, "_block", f"_q_{name}")
         .orderBy(b.series.order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    add_level(b, {f"_e0_{name}": F.sum(weighted / power).over(in_piece) * power})
-    ends = F.when(F.col(f"_l_{name}") == piece - 1, F.col(f"_e0_{name}"))
+    add_level(b, {f"_e_{name}": F.coalesce(F.sum(F.col(f"_x_{name}") * alpha / power).over(in_piece), F.lit(0.0)) * power})
+    ends = F.when(F.col(f"_l_{name}") == piece - 1, F.col(f"_e_{name}"))
     before = F.last(ends, ignorenulls=True).over(b.window.rowsBetween(Window.unboundedPreceding, -1))
     add_level(b, {f"_c_{name}": F.coalesce(before, F.lit(0.0))})
     decayed = F.col(f"_c_{name}") * F.exp((F.col(f"_l_{name}") + 1) * math.log(ratio))
-    add_level(
-        b,
-        {f"_e_{name}": F.col(f"_e0_{name}") + F.when(F.col(f"_q_{name}") > 0, decayed).otherwise(F.lit(0.0))},
-    )
+    add_level(b, {f"_local_{name}": F.col(f"_e_{name}") + F.when(F.col(f"_q_{name}") > 0, decayed).otherwise(F.lit(0.0))})
+
+
+def _carries(b: Blocks, decays: dict[str, float], ratios: list[tuple[str, ...]]) -> DataFrame:
+    """What every block starts from: `_before_<name>` values, the mean `_carry_<name>`, and `_held_<name>` for `ratios`."""
+    keys, ends = list(b.series.key), []
+    for n in decays:
+        known = F.when(F.col(f"_x_{n}").isNotNull(), F.col("_rn"))
+        ends += [
+            F.max(f"_p_{n}").alias(f"_n_{n}"),
+            F.max_by(f"_local_{n}", "_rn").alias(f"_end_{n}"),
+            F.min_by(f"_x_{n}", known).alias(f"_first_{n}"),
+        ]
+    rows = b.df.filter("_own").groupBy(*keys, "_block").agg(*ends)
+    held = [n for group in ratios for n in group]
+
+    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_block")
+        out, states = pdf[[*keys, "_block"]].copy(), {}
+        for n, ratio in decays.items():
+            states[n] = list(_states(pdf[f"_n_{n}"], pdf[f"_end_{n}"], pdf[f"_first_{n}"], ratio))
+            out[f"_before_{n}"] = [before for _, _, before in states[n]]
+            out[f"_carry_{n}"] = [math.ldexp(m, e) for m, e, _ in states[n]]
+        for group in ratios:
+            tops = [max((e for m, e, _ in row if m), default=0) for row in zip(*(states[n] for n in group), strict=True)]
+            for n in group:
+                out[f"_held_{n}"] = [math.ldexp(m, e - top) for (m, e, _), top in zip(states[n], tops, strict=True)]
+        return out
+
+    types = {f"_before_{n}": "bigint" for n in decays} | {f"_carry_{n}": "double" for n in decays} | {f"_held_{n}": "double" for n in held}
+    schema = rows.select(*keys, "_block").withColumns({c: F.lit(None).cast(t) for c, t in types.items()}).schema
+    return rows.groupBy(*keys).applyInPandas(scan, schema)
+
+
+def _states(sizes: Iterable[int], ends: Iterable[float], firsts: Iterable[float], ratio: float) -> Iterator[tuple[float, int, int]]:
+    """(mantissa, exponent, number of values) before each block. A series starts from its first value."""
+    (m, e), seen = math.frexp(next((x for x in firsts if not math.isnan(x)), 0.0)), 0
+    for n, end in zip(sizes, ends, strict=True):
+        yield m, e, seen
+        seen += n
+        if n:
+            bits = n * math.log2(ratio) if ratio > 0 else 0.0
+            m, e = (m * 2.0 ** (bits - math.floor(bits)) if ratio > 0 else 0.0), e + math.floor(bits)
+            x, f = math.frexp(end)
+            top = max(e if m else f, f if x else e)
+            m, up = math.frexp(math.ldexp(m, e - top) + math.ldexp(x, f - top))
+            e = top + up
 
 
 RUNNING_KINDS = ("sum", "max", "min", "last", "lag")
