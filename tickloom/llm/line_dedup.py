@@ -8,6 +8,7 @@ Pairs that meet are verified with a bit-parallel edit distance over a band of 2
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,15 +53,55 @@ def _probes(line: Column, length: Column, tau: int) -> list[Column]:
     return out
 
 
+def _bound(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
+    """`body` of a struct of `values`, found once: what a lambda takes from outside is evaluated again at every step."""
+    return F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), body)[0]
+
+
+def _common(most: Column, same: Callable[[Column, Column], Column]) -> Column:
+    """The largest count up to `most` that can be reached by steps for which `same(count, step)`, from large steps to small."""
+    longer = lambda n, step: F.when((n + step <= most) & same(n, step), n + step).otherwise(n)
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), F.lit(0), longer)
+
+
 def within(a: Column, b: Column, tau: int) -> Column:
     """Whether the edit distance of strings is at most `tau`, `b` being as long as `a` or up to `tau` longer.
 
+    A common start and a common end don't change the distance and are taken off first.
+    """
+
+    def without_start(s: Column) -> Column:
+        same = lambda n, step: F.substring(s["a"], n + 1, step) == F.substring(s["b"], n + 1, step)
+        start = _common(F.least(s["m"], s["n"]), same)
+        rest = lambda h: {
+            "a": F.substring(s["a"], h["start"] + 1, s["m"]), "b": F.substring(s["b"], h["start"] + 1, s["n"]),
+            "m": s["m"] - h["start"], "n": s["n"] - h["start"],
+        }
+        return _bound({"start": start}, lambda h: _bound(rest(h), without_end))
+
+    def without_end(s: Column) -> Column:
+        end = lambda text, size, n, step: F.substring(text, size - n - step + 1, step)
+        same = lambda n, step: end(s["a"], s["m"], n, step) == end(s["b"], s["n"], n, step)
+        middle = lambda t: {
+            "x": F.concat(F.array_repeat(F.lit(None).cast("string"), tau), F.split(F.substring(s["a"], F.lit(1), s["m"] - t["end"]), "")),
+            "y": F.split(F.substring(s["b"], F.lit(1), s["n"] - t["end"]), ""),
+            "m": s["m"] - t["end"], "n": s["n"] - t["end"],
+        }
+        return _bound({"end": _common(F.least(s["m"], s["n"]), same)}, lambda t: _bound(middle(t), judged))
+
+    def judged(s: Column) -> Column:
+        return F.when(s["m"] == 0, s["n"] <= tau).otherwise(_distance(s["x"], s["y"], s["m"], s["n"], tau) <= tau)
+
+    return _bound({"a": a, "b": b, "m": F.char_length(a), "n": F.char_length(b)}, without_start)
+
+
+def _distance(x: Column, y: Column, m: Column, n: Column, tau: int) -> Column:
+    """Edit distance of m letters, which follow `tau` NULLs in `x`, and the n of `y`; some number over `tau` where it is over.
+
     Bit k of a column stands for row j - tau + k of the distance matrix: VP and VN mark the rows that are one more or one
-    less than the row above. The distance is followed down the main diagonal and, behind the end of `a`, along its last row.
+    less than the row above. The distance is followed down the main diagonal and, behind the end of `x`, along its last row.
     """
     width, full = 2 * tau + 1, (1 << (2 * tau + 1)) - 1
-    x, y = F.split(a, ""), F.split(b, "")
-    m, n = F.char_length(a), F.char_length(b)
     lit = lambda v: F.lit(v).cast("bigint")
     flip = lambda v: v.bitwiseXOR(lit(full))
 
@@ -68,28 +109,26 @@ def within(a: Column, b: Column, tau: int) -> Column:
         letter = F.element_at(y, j)
         equal = lit(0)
         for k in range(width):
-            row = j - tau + k
-            equal = equal.bitwiseOR(F.when((row >= 1) & (row <= m) & (F.get(x, row - 1) == letter), lit(1 << k)).otherwise(lit(0)))
-        moved = F.transform(F.array(F.struct(s["vp"].alias("vp"), s["vn"].alias("vn"), s["d"].alias("d"), equal.alias("pm"))), advance(j))[0]
+            equal = equal.bitwiseOR(F.when(F.get(x, j - 1 + k) == letter, lit(1 << k)).otherwise(lit(0)))
+        moved = _bound({"vp": s["vp"], "vn": s["vn"], "d": s["d"], "pm": equal}, advance(j))
         # The distance never falls along the diagonal, and by tau at most along the last row.
         return F.when(s["d"] > 2 * tau, s).otherwise(moved)
 
-    def advance(j: Column):
+    def advance(j: Column) -> Callable[[Column], Column]:
         def inner(s: Column) -> Column:
             vp, vn, pm = s["vp"], s["vn"], s["pm"]
             d0 = (pm.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(pm).bitwiseOR(vn).bitwiseAND(lit(full))
-            held = F.transform(F.array(F.struct(vp.alias("vp"), vn.alias("vn"), d0.alias("d0"), s["d"].alias("d"))), close(j))
-            return held[0]
+            return _bound({"vp": vp, "vn": vn, "d0": d0, "d": s["d"]}, close(j))
 
         return inner
 
-    def close(j: Column):
+    def close(j: Column) -> Callable[[Column], Column]:
         def inner(s: Column) -> Column:
             vp, vn, d0 = s["vp"], s["vn"], s["d0"]
             hp = vn.bitwiseOR(flip(d0.bitwiseOR(vp)))
             hn = d0.bitwiseAND(vp)
             down = F.shiftright(d0, 1)
-            # The last row of `a` is bit m - j + tau of column j.
+            # The last row of `x` is bit m - j + tau of column j.
             edge = (m - j + tau).cast("int")
             on_row = F.when(F.getbit(hp, edge) == 1, 1).when(F.getbit(hn, edge) == 1, -1).otherwise(0)
             on_diagonal = 1 - F.getbit(d0, F.lit(tau)).cast("int")
@@ -99,7 +138,7 @@ def within(a: Column, b: Column, tau: int) -> Column:
         return inner
 
     first = F.struct(lit(full & ~((1 << tau) - 1)).alias("vp"), lit(0).alias("vn"), F.lit(0).alias("d"))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), first, step, lambda s: s["d"]) <= tau
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), first, step, lambda s: s["d"])
 
 
 def _same_letters(a: Column, b: Column, tau: int) -> Column:
