@@ -99,7 +99,7 @@ def portfolio_weights(bars: DataFrame) -> DataFrame:
     """Share of each ticker in the day's traded value. The day totals are joined back, so no day is one task."""
     value = bars.select("date", "tic", (F.col("close") * F.col("volume")).alias("_value"))
     total = value.groupBy("date").agg(F.sum("_value").alias("_total"))
-    return value.join(F.broadcast(total), "date").select(
+    return value.join(total, "date").select(
         "date", "tic", F.try_divide("_value", "_total").alias("weight")
     )
 
@@ -107,7 +107,7 @@ def portfolio_weights(bars: DataFrame) -> DataFrame:
 def baseline_compare(returns: DataFrame, baseline: DataFrame, keys: Sequence[str] = ("tic",)) -> DataFrame:
     """Mean excess return, beta and correlation against a baseline with one return per day."""
     both = returns.join(
-        F.broadcast(one_row_per_day(baseline, "ret").withColumnRenamed("ret", "base")), "date"
+        one_row_per_day(baseline, "ret").withColumnRenamed("ret", "base"), "date"
     ).filter("ret IS NOT NULL AND base IS NOT NULL")
     return both.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("days"),
@@ -119,7 +119,7 @@ def baseline_compare(returns: DataFrame, baseline: DataFrame, keys: Sequence[str
 
 def join_baseline(returns: DataFrame, baseline: DataFrame) -> DataFrame:
     """Strategy and baseline return of each common day. The baseline has one row per calendar day."""
-    return returns.join(F.broadcast(one_row_per_day(baseline, "ret").withColumnRenamed("ret", "baseline_ret")), "date")
+    return returns.join(one_row_per_day(baseline, "ret").withColumnRenamed("ret", "baseline_ret"), "date")
 
 
 def sharpe_alert(stats: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -124,7 +124,7 @@ def turbulence(
     last = sessions.agg(F.floor(F.max("session") / block_sessions).alias("m")).scalar()
     home = F.floor(F.col("session") / block_sessions)
     until = F.least(F.floor((F.col("session") + lookback) / block_sessions), last)
-    numbered = returns.join(F.broadcast(sessions), series.order)
+    numbered = returns.join(sessions, series.order)
     spread = numbered.select(
         F.explode(F.sequence(home, F.greatest(home, until))).alias("block"),
         F.col(key).alias("tic"), "session", "ret", home.alias("home"),

@@ -41,17 +41,10 @@ def run_to_table(stream: DataFrame, mode: str = "update", prepare: Callable[[Dat
         rows = prepare(batch) if prepare else batch
         rows.write.mode("overwrite").parquet(f"{base}/table/batch_id={batch_id}")
 
-    # A state store per shuffle partition is fixed for the life of a stream: no more of them than cores can serve.
-    name = "spark.sql.shuffle.partitions"
-    configured = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(configured), 2 * spark.sparkContext.defaultParallelism)))
-    try:
-        query = (
-            stream.writeStream.outputMode(mode).foreachBatch(write)
-            .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
-        )
-    finally:
-        spark.conf.set(name, configured)
+    query = (
+        stream.writeStream.outputMode(mode).foreachBatch(write)
+        .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    )
     query.awaitTermination()
     return spark.read.parquet(f"{base}/table")
 
