@@ -23,34 +23,41 @@ LEAST = 20  # code points; shorter lines are duplicates only if equal
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line, line_id) of all lines that are not blank, trimmed of white space; line_no starts at 0."""
     each = docs.select(F.col("doc_id").cast("bigint"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    trimmed = each.withColumn("line", F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")).where("line <> ''")
+    trimmed = each.withColumn("line", F.btrim("line", F.lit(" \t\n\x0b\x0c\r"))).where("line <> ''")
     return trimmed.withColumn("line_id", F.xxhash64("line"))
 
 
-def _segment(length: Column, i: int, tau: int) -> tuple[Column, Column]:
+def _segment(length: Column, i: Column, tau: int) -> tuple[Column, Column]:
     """(start from 0, size) of segment i of a line: the last ones are one longer if the length doesn't divide evenly."""
-    base, short = F.floor(length / (tau + 1)), (tau + 1) - length % (tau + 1)
-    extra = F.greatest(F.lit(i) - short, F.lit(0))
-    return (base * i + extra).cast("int"), (base + F.when(F.lit(i) >= short, 1).otherwise(0)).cast("int")
+    base, short = F.floor(length / (tau + 1)).cast("int"), (tau + 1) - length % (tau + 1)
+    return base * i + F.greatest(i - short, F.lit(0)), base + F.when(i >= short, 1).otherwise(0)
 
 
-def _key(line: Column, start: Column, size: Column, i: int, length: Column) -> Column:
-    return F.xxhash64(F.substring(line, start + 1, size), F.lit(i), length)
+def _places(tau: int) -> list[tuple[int, int, int]]:
+    """(shorter, segment, shift) of all places at which a line may hold a segment of one that is `shorter` by 0 to `tau`.
+
+    Edits before the segment move it by its number at most, edits behind it by the number of segments that follow.
+    """
+    return [
+        (shorter, i, shift)
+        for shorter in range(tau + 1)
+        for i in range(tau + 1)
+        for shift in range(max(-i, shorter - (tau - i)), min(i, shorter + (tau - i)) + 1)
+    ]
 
 
-def _probes(line: Column, length: Column, tau: int) -> list[Column]:
-    """Keys under which a line meets the segments of lines that are as long or up to `tau` shorter."""
-    out = []
-    for shorter in range(tau + 1):
-        other = length - shorter
-        for i in range(tau + 1):
-            start, size = _segment(other, i, tau)
-            # Edits before the segment move it by i at most, edits behind it by tau - i.
-            for shift in range(max(-i, shorter - (tau - i)), min(i, shorter + (tau - i)) + 1):
-                at = start + shift
-                fits = (at >= 0) & (at + size <= length)
-                out.append(F.when(fits, _key(line, at, size, i, other)))
-    return out
+def _keys(sized: DataFrame, places: list[tuple[int, int, int]], tau: int, name: str) -> DataFrame:
+    """(name, key) of every line of (line_id, line, length) and place that lies within it.
+
+    A row for each place, whose key is found afterwards: one expression for all places is too long for the JIT compiler.
+    """
+    names = ("shorter", "i", "shift")
+    each = F.explode(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, p, strict=True)]) for p in places]))
+    placed = sized.withColumn("p", each)
+    start, size = _segment(F.col("length") - F.col("p.shorter"), F.col("p.i"), tau)
+    placed = placed.withColumns({"at": start + F.col("p.shift"), "size": size}).where("at >= 0 and at + size <= length")
+    key = F.xxhash64(F.substring(F.col("line"), F.col("at") + 1, F.col("size")), "p.i", F.col("length") - F.col("p.shorter"))
+    return placed.select(F.col("line_id").alias(name), key.alias("key"))
 
 
 def _bound(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
@@ -147,25 +154,30 @@ def _same_letters(a: Column, b: Column, tau: int) -> Column:
     return sum((F.abs(count(a, x) - count(b, x)) for x in LETTERS[1:]), F.abs(count(a, LETTERS[0]) - count(b, LETTERS[0]))) <= 2 * tau
 
 
+def _by_id(classes: DataFrame) -> DataFrame:
+    """`classes` written bucketed by line_id and read back, so that later joins on line_id do not shuffle texts."""
+    spark = classes.sparkSession
+    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"lines_{uuid.uuid4().hex}"
+    classes.write.bucketBy(n, "line_id").option("path", scratch_path(spark, "lines")).saveAsTable(name)
+    return spark.table(name)
+
+
 def near_lines(classes: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFrame:
     """(a, b) of all pairs of different lines of at least `least` code points within `tau` edits, a < b.
 
-    `classes` has (line_id, line), a row for each different line. It is written bucketed by line_id, so that the texts of
-    pairs are looked up without shuffling all lines.
+    `classes` has (line_id, line), a row for each different line.
     """
+    return _near(_by_id(classes.select("line_id", "line").repartition("line_id")), tau, least)
+
+
+def _near(classes: DataFrame, tau: int, least: int) -> DataFrame:
+    """near_lines() of a table bucketed by line_id."""
     if least <= tau:
         raise ValueError("lines must be longer than the number of edits")
-    spark = classes.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"lines_{uuid.uuid4().hex}"
-    long = classes.where(F.char_length("line") >= least).select("line_id", "line")
-    long.repartition(n, "line_id").write.bucketBy(n, "line_id").option("path", scratch_path(spark, "lines")).saveAsTable(name)
-    table = spark.table(name)
-    length = F.char_length("line").cast("int")
-    sized = table.select("line_id", "line", length.alias("length"))
-    keys = [_key(F.col("line"), *_segment(F.col("length"), i, tau), i, F.col("length")) for i in range(tau + 1)]
-    index = sized.select(F.col("line_id").alias("a"), F.explode(F.array(*keys)).alias("key"))
-    probe = sized.select(F.col("line_id").alias("b"), F.explode(F.array_compact(F.array(*_probes(F.col("line"), F.col("length"), tau)))).alias("key"))
+    table = classes.select("line_id", "line").where(F.char_length("line") >= least)
+    sized = table.withColumn("length", F.char_length("line").cast("int"))
+    index = _keys(sized, [(0, i, 0) for i in range(tau + 1)], tau, "a")
+    probe = _keys(sized, _places(tau), tau, "b")
     met = cut(index.join(probe, "key").where("a <> b").select("a", "b").distinct(), "met")
     texts = table.select(F.col("line_id").alias("a"), F.col("line").alias("x"))
     both = met.join(texts, "a").join(table.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b")
@@ -181,8 +193,8 @@ def find_duplicates(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> tupl
     """
     each = lines(docs)
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "line_no")
-    classes = cut(each.groupBy("line_id").agg(F.min("line").alias("line"), F.min(place).alias("first"), F.count("*").alias("n")), "line-classes")
-    links = cut(near_lines(classes, tau, least), "line-links")
+    classes = _by_id(each.groupBy("line_id").agg(F.min("line").alias("line"), F.min(place).alias("first"), F.count("*").alias("n")))
+    links = cut(_near(classes, tau, least), "line-links")
     seen = classes.select("line_id", "first")
     firsts = links.join(seen.toDF("a", "first_a"), "a").join(seen.toDF("b", "first_b"), "b")
     late = firsts.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).when(F.col("first_b") < F.col("first_a"), F.col("a")).alias("line_id"))
