@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-STEP = 2 << 20  # bytes of text handled at once, so that the arrays made of them stay small
+STEP = 1 << 20  # bytes of text handled at once, so that the arrays made of them stay small
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
