@@ -25,7 +25,7 @@ from tickloom.llm.words import U64, Words, batches, mix
 
 END_ID = 2
 SHARD_IDS = 1 << 20  # a block is closed when it has so many ids
-MEMO_PIECES = 2_000_000  # a worker forgets its pieces beyond so many
+MEMO_PIECES = 1_000_000  # a worker forgets its pieces beyond so many
 MAGIC = 0x31465454
 
 # Lengths of the four ids of a control byte.
