@@ -163,16 +163,6 @@ def _halves(spark, folder):
     return bars.filter(F.col("date") < middle), later
 
 
-@query(
-    "m1_drift_column_count",
-    f"""WITH {HALVES} -- result
-    SELECT 'column_count' AS "check", '*' AS "column", '7' AS reference, '8' AS current, CAST(NULL AS DOUBLE) AS shift_pct, true AS drifted""",
-)
-def m1(spark, folder):
-    ref, cur = _halves(spark, folder)
-    return D.column_count_drift(ref, cur.withColumn("extra", F.lit(1)))
-
-
 def _shift(c: str) -> str:
     return f"SELECT '{c}' AS \"column\", (SELECT avg({c}) FROM ref) AS reference_mean, (SELECT avg({c}) FROM cur) AS current_mean"
 
@@ -190,18 +180,6 @@ def m3(spark, folder):
 KINDS = {"date": "timestamp_ntz", "tic": "string", "open": "double", "high": "double", "low": "double", "close": "double", "volume": "bigint"}
 
 
-@query(
-    "m2_drift_dtype",
-    "-- result\n" + " UNION ALL ".join(
-        f"SELECT 'dtype' AS \"check\", '{c}' AS \"column\", '{t}' AS reference, '{'double' if c == 'volume' else t}' AS current, "
-        f"CAST(NULL AS DOUBLE) AS shift_pct, {str(c == 'volume').lower()} AS drifted" for c, t in KINDS.items()
-    ),
-)
-def m2(spark, folder):
-    ref, cur = _halves(spark, folder)
-    return D.dtype_drift(ref, cur.withColumn("volume", F.col("volume").cast("double")))
-
-
 @query(
     "m4_drift_report",
     f"""WITH {SHIFTS}, parts AS (SELECT 'column_count' AS "check", '*' AS "column", '7' AS reference, '7' AS current, CAST(NULL AS DOUBLE) AS shift_pct, false AS drifted
