@@ -118,6 +118,30 @@ def test_decontamination(spark):
     assert decontaminate.find_overlaps(docs, bench.limit(0)).count() == 0
 
 
+def longest(equal):
+    """(equal words, -words) of the best stretch of which over 4/5 are equal, by brute force."""
+    found = [(sum(equal[i:j]), i - j) for i in range(len(equal)) for j in range(i + 1, len(equal) + 1) if 5 * sum(equal[i:j]) > 4 * (j - i)]
+    return max(found, default=(0, 0))
+
+
+def test_decontamination_of_substituted_words(spark):
+    rng, cases = random.Random(3), []
+    for n in range(15, 21):
+        places = [(i,) for i in range(n)] + [(i, j) for i in range(n) for j in range(i)]
+        places += [tuple(rng.sample(range(n), rng.randint(3, 5))) for _ in range(60)]
+        cases += [(n, [k not in changed for k in range(n)]) for changed in places]
+    # The longest gap that 12 equal words on both sides pay for, and runs no mask of ten or more words fits into.
+    cases += [(29, [not 12 <= k < 17 for k in range(29)]), (30, [not 12 <= k < 18 for k in range(30)]), (16, [k not in (4, 8, 12) for k in range(16)])]
+    items = {n: [f"item{n}x{k}" for k in range(n)] for n, _ in cases}
+    texts = [(d, " ".join(["lead", *(w if same else f"other{k}" for k, (w, same) in enumerate(zip(items[n], equal, strict=True))), "tail"])) for d, (n, equal) in enumerate(cases)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id bigint, text string")
+    best = {d: longest(equal) for d, (_, equal) in enumerate(cases)}
+    want = {(d, cases[d][0]): b for d, b in best.items() if b[0] >= 13}
+    assert {(r.doc_id, r.item_id): (r.n_equal, -r.n_words) for r in decontaminate.find_overlaps(docs, bench).collect()} == want
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == {d for d, b in best.items() if b[0] < 13}
+
+
 def test_kneser_ney(spark):
     rng = random.Random(1)
     rows = [(i, prose(rng, 80), "en", "s", 0, "x", 1) for i in range(60)] + [(100 + i, " ".join("".join(rng.choice("#%&xyz") for _ in range(6)) for _ in range(60)), "en", "s", 0, "x", 1) for i in range(5)]

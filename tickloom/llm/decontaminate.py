@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.words import U64, Words, batches, mix
 
-MASKS = ("1101100111", "11100101011", "110100110011")
+#: Every shortest overlap that meets the rule below, wherever its substituted words are, holds one of these.
+MASKS = ("1101100111", "11100101011", "110100110011", "1011111", "1111011")
 MIN_WORDS = 13  # equal words of an overlap, or all words of a shorter item
 SHORTEST = 5  # items of fewer words would match ordinary prose and are not searched
 MISMATCH = 4  # equal words that one substituted word costs: overlaps have more than 4 in 5 equal
@@ -38,6 +39,26 @@ def _spaced(words: np.ndarray, mask: str) -> np.ndarray:
     return mix(out + U64(len(mask) * 131 + mask.count("1")))
 
 
+def _stretch(equal: np.ndarray) -> tuple[int, int, int]:
+    """(start, end, equal words) of the stretch with most equal words of those with over MISMATCH equal ones for each
+    substituted one; of several the shortest, then the first. It begins and ends with an equal word."""
+    score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISMATCH))])
+    many = np.concatenate([[0], np.cumsum(equal)])
+    # The farthest start for each end is the first place whose score is below that of the end.
+    begin = np.searchsorted(-np.minimum.accumulate(score), -score, "right")
+    end = np.flatnonzero(begin < np.arange(len(score)))
+    if not len(end):
+        return 0, 0, 0
+    begin = begin[end]
+    most = many[end] - many[begin]
+    best = most == most.max()
+    begin, end = begin[best], end[best]
+    place = np.flatnonzero(equal)
+    first, last = place[many[begin]], place[many[end] - 1] + 1
+    k = np.lexsort((first, last - first))[0]
+    return int(first[k]), int(last[k]), int(most.max())
+
+
 class Block:
     """Benchmark pieces with their seed hashes, sorted."""
 
@@ -84,11 +105,7 @@ class Block:
             mine = words[rows[row] : rows[row + 1]]
             lo, hi = max(0, -diagonal), min(len(theirs), len(mine) - diagonal)
             equal = theirs[lo:hi] == mine[lo + diagonal : hi + diagonal]
-            score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISMATCH))])
-            gain = score - np.minimum.accumulate(score)
-            end = int(np.argmax(gain))
-            start = end - 1 - int(np.argmin(score[:end][::-1])) if end else 0
-            n_equal = int(equal[start:end].sum())
+            start, end, n_equal = _stretch(equal)
             if n_equal >= min(MIN_WORDS, len(theirs)):
                 yield row, item, start + lo + diagonal, start + lo + begin, end - start, n_equal, total
 
