@@ -258,6 +258,42 @@ def test_simhash(spark):
     assert kept.columns == docs.columns and len(ids) == len(set(ids)) and 3 in ids and 7 not in ids
 
 
+def test_one_of_each_verifies_links(spark):
+    rng = random.Random(11)
+    base, rows = [], []
+    for _ in range(6):
+        text = [f"w{rng.randint(0, 10**6)}" for _ in range(200)]
+        base.append(text)
+        for _ in range(12):
+            other = list(text)
+            at = rng.randint(0, 190)
+            for k in range(at, min(at + rng.choice([1, 3, 20, 26, 30, 40, 60]), 200)):
+                other[k] = f"x{rng.randint(0, 10**6)}"
+            rows.append(" ".join(other))
+    # Fingerprints alike by a repeated passage, texts that are not; and one passage once and twice.
+    rows += [" ".join(["a b c d e"] * 40 + [f"u{k}x{j}" for j in range(60)]) for k in range(4)] + [" ".join(base[0]), "one two three four five six", "one two three four five six", "one two", "one three"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+
+    def shingles(text):
+        w = words(text)
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    sets = [shingles(r) for r in rows]
+    alike = [[len(a & b) / len(a | b) for b in sets] for a in sets]
+    assert sum(0.65 < alike[i][j] < 0.8 for i in range(len(rows)) for j in range(i)) > 20
+    label = list(range(len(rows)))
+    for _ in rows:
+        label = [min(label[j] for j in range(len(rows)) if alike[i][j] >= 0.8) for i in range(len(rows))]
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == sorted(set(label))
+
+
+def test_verified_pairs_replace_a_false_link():
+    # Only 0 - 2 and 1 - 3 are 0.8 or more alike (97 of 103); 0 - 1, at 85 of 115, must not stand for either.
+    shingles = [np.arange(0, 100), np.arange(15, 115), np.arange(3, 103), np.arange(18, 118)]
+    block = {"key": np.arange(4), "n": np.full(4, 100), "joined": np.arange(4), "prints": np.zeros((4, 4), np.uint64), "shingles": shingles}
+    assert set(simhash._verified_pairs(block, block, 51, 0.8, True)) == {(0, 2), (1, 3)}
+
+
 def test_near_components_on_chains(spark):
     from tickloom.llm.components import components
 

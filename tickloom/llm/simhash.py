@@ -9,7 +9,7 @@ summed. A block pair returns a spanning forest of its links, never all pairs wit
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.words import U64, Words, batches, mix
+from tickloom.llm.words import U64, Words, batches, mix, sums
 from tickloom.session import cut
 
 BLOCK = 4096  # fingerprints of a block
+SHINGLES = 1 << 17  # shingles of a block that carries them, about, or one document
 SLICE = 32  # rows of a block compared at once with all of the other
 #: 16-bit lanes of a fingerprint word whose population counts make a tile
 LANES = 4
@@ -61,6 +62,16 @@ def _mixed_shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(out), offsets
 
 
+def _distinct(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes of each row in order, and their offsets."""
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    order = np.lexsort((hashes, row))
+    hashes, row = hashes[order], row[order]
+    first = np.ones(len(hashes), bool)
+    first[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+    return hashes[first], np.searchsorted(row[first], np.arange(len(offsets)))
+
+
 def _majority(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """For each row a 64-bit number whose bits are set in over half the row's hashes; 0 for none."""
     n = np.diff(offsets)
@@ -80,13 +91,14 @@ def _majority(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, words: int = 1, exact: bool = True) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, words: int = 1, exact: bool = True, distinct: bool = False) -> DataFrame:
     """(doc_id, text_hash, n, f0, f1, ...): SimHash of each row's text, 64 bits for each of `words` columns.
 
     A-Z are lowered, words split at white space, `shingle` words make a shingle, repeats count; a text of fewer words is
     one shingle, a NULL or empty one has fingerprint 0. With `exact` a shingle's hash is the XXH64 of its UTF-8 text, else
     it is made from the hashes of its words, which is cheaper; further 64-bit words are remixed from the first. n is the
-    number of shingles, text_hash tells rows of one doc_id apart.
+    number of shingles, text_hash tells rows of one doc_id apart. With `distinct` a repeated shingle counts once, and a
+    further column set_hash is equal for rows with the same shingles.
     """
     names = [f"f{k}" for k in range(words)]
     salts = [U64(k * 0x9E3779B97F4A7C15 % 2**64) for k in range(words)]
@@ -94,11 +106,15 @@ def fingerprints(docs: DataFrame, shingle: int = 3, words: int = 1, exact: bool
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(stream):
             h, offsets = (_xxh_shingles if exact else _mixed_shingles)(Words(batch.column("text")), shingle)
-            out = [_majority(mix(h + salt) if salt else h, offsets) for salt in salts]
+            if distinct:
+                h, offsets = _distinct(h, offsets)
+            out = [sums(mix(h + U64(1)), offsets)] if distinct else []
+            out += [_majority(mix(h + salt) if salt else h, offsets) for salt in salts]
             columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(np.diff(offsets)), *(pa.array(x.view(np.int64)) for x in out)]
-            yield pa.record_batch(columns, names=["doc_id", "text_hash", "n", *names])
+            yield pa.record_batch(columns, names=["doc_id", "text_hash", "n", *more, *names])
 
-    schema = ", ".join(f"{c} bigint" for c in ("doc_id", "text_hash", "n", *names))
+    more = ["set_hash"] if distinct else []
+    schema = ", ".join(f"{c} bigint" for c in ("doc_id", "text_hash", "n", *more, *names))
     return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
 
 
@@ -188,19 +204,122 @@ def near_links(prints: DataFrame, radius: int, ratio: float = 0.0) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-def near_components(prints: DataFrame, radius: int, ratio: float = 0.0) -> DataFrame:
+def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(key, shingles): the different shingles of each row's text, in order."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(stream):
+            h, offsets = _distinct(*_mixed_shingles(Words(batch.column("text")), shingle))
+            yield pa.record_batch([batch.column("key"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(h.view(np.int64)))], names=["key", "shingles"])
+
+    return docs.select("key", "text").mapInArrow(run, "key bigint, shingles array<bigint>")
+
+
+def _verified_pairs(a: dict, b: dict, radius: int, similarity: float, same: bool) -> list[tuple[int, int]]:
+    """Keys of verified links between the rows of two blocks, enough to keep all components."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = up = parent.get(up, up)
+            x = up
+        return x
+
+    out = []
+    for i in range(len(a["key"])):
+        bits = np.bitwise_count(a["prints"][i] ^ b["prints"]).sum(1)
+        near = (bits <= radius) & (np.minimum(a["n"][i], b["n"]) >= similarity * np.maximum(a["n"][i], b["n"])) & (a["joined"][i] != b["joined"])
+        if same:
+            near[: i + 1] = False
+        for j in np.flatnonzero(near).tolist():
+            x, y = root(int(a["joined"][i])), root(int(b["joined"][j]))
+            if x != y:
+                common = len(np.intersect1d(a["shingles"][i], b["shingles"][j], assume_unique=True))
+                if common >= similarity * (a["n"][i] + b["n"][j] - common) - 1e-9:
+                    parent[max(x, y)] = min(x, y)
+                    out.append((int(a["key"][i]), int(b["key"][j])))
+    return out
+
+
+def _compare_groups(members: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """(a, b) verified links within each group of (key, n, f0, f1, ..., grp, joined, shingles), between rows not yet `joined`.
+
+    Every pair of a group at `radius` or fewer bits is verified before it can enter the spanning forest of its block pair.
+    """
+    names = [c for c in members.columns if c[0] == "f"]
+    columns = ("key", "n", *names, "joined", "shingles")
+    tiled = members.select(*columns, "grp", F.floor(F.log("n") / -np.log(similarity) + 1e-9).cast("bigint").alias("tile"))
+    sizes = tiled.groupBy("grp", "tile").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / SHINGLES)).alias("blocks"))
+    blocks = (
+        tiled.join(sizes, ["grp", "tile"])
+        .groupBy("grp", "tile", F.pmod(F.xxhash64("key", F.lit(1)), "blocks").alias("block"))
+        .agg(F.collect_list(F.struct(*columns)).alias("rows"))
+    )
+    blocks = cut(blocks, "group-blocks")
+    left = blocks.select("grp", F.col("tile").alias("l_tile"), F.col("block").alias("l_block"), F.col("rows").alias("l_rows"), F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
+    pairs = left.withColumn("tile", F.col("l_tile") + F.col("step")).join(blocks, ["grp", "tile"]).where("step > 0 or l_block <= block")
+    pairs = pairs.select("l_rows", "rows", F.expr("step = 0 and l_block = block").alias("same"))
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for r in range(batch.num_rows):
+                sides = []
+                for c in ("l_rows", "rows"):
+                    rows = batch.column(c)[r].values
+                    value = {x: rows.field(x).to_numpy() for x in ("key", "n", "joined")}
+                    value["prints"] = np.stack([rows.field(x).to_numpy().view(np.uint64) for x in names], 1)
+                    value["shingles"] = [x.values.to_numpy() for x in rows.field("shingles")]
+                    sides.append(value)
+                links = np.array(_verified_pairs(*sides, radius, similarity, batch.column("same")[r].as_py()), np.int64).reshape(-1, 2)
+                yield pa.record_batch([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a bigint, b bigint")
+
+
+def verified_links(docs: DataFrame, nodes: DataFrame, links: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
+    """(a, b) links of texts whose shingles have a Jaccard similarity of `similarity` or more, enough to keep every component.
+
+    `links` is a spanning forest of the pairs of `nodes` (key, n, f0, ..., row: one row's doc_id and text_hash) at `radius` or
+    fewer bits. Where all links of a group hold, the forest stands; in the other groups each such pair is verified.
+    """
+    links = cut(links, "candidates")
+    ends = links.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    linked = cut(nodes.join(ends, "key"), "linked")
+    chosen = linked.select("key", F.col("row.doc_id").alias("_doc_id"), F.col("row.text_hash").alias("_text_hash"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("_doc_id"), F.xxhash64("text").alias("_text_hash"), "text")
+    texts = texts.join(chosen, ["_doc_id", "_text_hash"]).dropDuplicates(["_doc_id", "_text_hash"])
+    sets = cut(_shingle_sets(texts, shingle), "shingles")
+    met = links.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    met = met.select("a", "b", F.size("x").alias("m"), F.size("y").alias("n"), common.alias("common"))
+    judged = cut(met.select("a", "b", (F.col("common") >= similarity * (F.col("m") + F.col("n") - F.col("common")) - 1e-9).alias("holds")), "judged")
+    holding = judged.where("holds").select("a", "b")
+    if judged.where("not holds").isEmpty():
+        return holding
+    groups = cut(components(links), "groups")
+    doubtful = groups.join(judged.where("not holds").select(F.col("a").alias("node")).distinct(), "node").select("root").distinct()
+    members = groups.join(doubtful, "root").select(F.col("node").alias("key"), F.col("root").alias("grp"))
+    joined = components(holding).select(F.col("node").alias("key"), F.col("root").alias("joined"))
+    members = linked.drop("row").join(members, "key").join(joined, "key", "left").withColumn("joined", F.coalesce("joined", "key")).join(sets, "key")
+    return holding.unionByName(_compare_groups(members, radius, similarity))
+
+
+def near_components(prints: DataFrame, radius: int, ratio: float = 0.0, verify: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """The table of fingerprints() with component_id, the smallest doc_id reachable over links of `radius` or fewer bits.
 
-    Equal fingerprints are one node (with a `ratio`, of equal size n). Rows with a NULL doc_id link like others; a
-    component of such rows only has component_id NULL. An empty table gives no rows.
+    Equal fingerprints are one node (with a `ratio`, of equal size n; rows with a set_hash, of equal shingles). Rows with a
+    NULL doc_id link like others; a component of such rows only has component_id NULL. An empty table gives no rows.
+    `verify` makes of the nodes and their links those that count.
     """
     prints = cut(prints, "fingerprints")
     names = [c for c in prints.columns if c.startswith("f")]
-    node = [*names, "n"] if ratio else names
+    node = [*names, *(["n"] if ratio else []), *(["set_hash"] if "set_hash" in prints.columns else [])]
     key = F.xxhash64(*node) if len(node) > 1 else F.col("f0")
-    nodes = prints.groupBy(*node).agg(F.min("doc_id").alias("least"), *([] if ratio else [F.lit(0).cast("bigint").alias("n")])).withColumn("key", key)
+    row = [F.min(F.struct("doc_id", "text_hash")).alias("row")] if verify else []
+    nodes = prints.groupBy(*node).agg(F.min("doc_id").alias("least"), *row, *([] if ratio else [F.lit(0).cast("bigint").alias("n")])).withColumn("key", key)
     nodes = cut(nodes, "nodes")
-    roots = components(near_links(nodes.select("key", "n", *names), radius, ratio))
+    links = near_links(nodes.select("key", "n", *names), radius, ratio)
+    roots = components(verify(nodes.select("key", "n", *names, "row"), links) if verify else links)
     rooted = nodes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(rooted.join(least, "root").select(*node, "component_id"), node).select(*prints.columns, "component_id")
@@ -209,13 +328,16 @@ def near_components(prints: DataFrame, radius: int, ratio: float = 0.0) -> DataF
 def one_of_each(docs: DataFrame, shingle: int = 5, words: int = 4, similarity: float = 0.8) -> DataFrame:
     """The rows of `docs`, all columns, with one document kept of each group of near duplicates.
 
-    Documents link if at least `similarity` of their fingerprint bits are equal and their numbers of shingles differ by no
-    more than that ratio. The smallest doc_id of a group stays; rows of one doc_id are one document: the row with the
-    smallest text hash. NULL and empty texts are one group. Rows with a NULL doc_id cannot be named and all stay.
+    Documents link if the Jaccard similarity of their sets of shingles is at least `similarity`. The pairs looked at are
+    those with as many equal fingerprint bits and numbers of shingles that differ by no more than that ratio; of the pairs
+    at a similarity of just 0.8 these are about 98 % in simulations, not all. The smallest doc_id of a
+    group stays; rows of one doc_id are one document: the row with the smallest text hash. NULL and empty texts are one
+    group. Rows with a NULL doc_id cannot be named and all stay.
     """
     radius = int(64 * words * (1 - similarity) + 1e-9)
     known = docs.where("doc_id is not null")
-    found = near_components(fingerprints(known, shingle, words, exact=False), radius, similarity)
+    prints = fingerprints(known, shingle, words, exact=False, distinct=True)
+    found = near_components(prints, radius, similarity, lambda nodes, links: verified_links(known, nodes, links, radius, shingle, similarity))
     keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("text_hash").alias("_text_hash")).withColumnRenamed("doc_id", "_doc_id")
     keyed = known.withColumns({"_doc_id": F.col("doc_id").cast("bigint"), "_text_hash": F.xxhash64("text")})
     kept = keyed.join(keep, ["_doc_id", "_text_hash"], "left_semi").dropDuplicates(["_doc_id", "_text_hash"])
