@@ -239,6 +239,19 @@ def test_quotes(spark):
     assert [r.text for r in one if r.turn in (3, 5)] == ["late reply", "Back to the start."] and len(got) == len(rows)
 
 
+def test_trimmed_and_rewrapped_quotes(spark):
+    one_line = "The ferry left at dawn. It carried forty goats! Nobody knows why the captain turned back before the strait."
+    wrapped = "Dear all,\n\nthe mill at the valley\nstopped last winter, and\nthe flour is gone\n\nthe lamp by the bridge\nhas been out since"
+    rows = [
+        (0, one_line), (1, wrapped), (2, "noise"), (3, "> It carried forty goats!\nfour"), (4, "> the mill at the valley stopped last\n> winter, and the flour is gone\nyes"),
+        (5, "> knows why the captain turned back before the strait\nmaybe"), (6, "> goats! Nobody\nshort"), (7, "> Well, nobody knows why the captain turned back before the end\nedited"),
+        (8, "> the bridge has\n> been out\nlamp"), (9, "> never said by anybody\nnone"), (10, "> It carried forty goats!\n> knows why\nparts"), (11, "> noise\n>> the flour is\n>> gone\nlevels"), (12, "> ferr\nno word"),
+    ]
+    got = {r.turn: (r.reply_to, r.quoted) for r in quotes.reply_order(spark.createDataFrame([(1, t, "u", x) for t, x in rows], "conv_id bigint, turn bigint, role string, text string")).collect()}
+    want = {0: (None, 0), 1: (0, 0), 2: (1, 0), 3: (0, 1), 4: (1, 1), 5: (0, 1), 6: (0, 1), 7: (0, 1), 8: (1, 1), 9: (8, 0), 10: (0, 1), 11: (2, 2), 12: (11, 0)}
+    assert got == want
+
+
 def test_simhash(spark):
     docs = corpus(spark)
     got = simhash.near_components(simhash.fingerprints(docs), 12).collect()

@@ -1,8 +1,9 @@
 """Quotation linking: messages of a conversation in reply order, without the quotes, in DataFrame expressions only.
 
 Lines that begin with `>` are quotes, as many levels deep as they have marks. Runs of lines of one level are passages. A
-passage, and each of its lines, is hashed in a normal form and looked up among the whole texts and the lines of earlier
-messages of the conversation; the message it comes from is the one replied to.
+passage, and each of its paragraphs, lines and sentences, is hashed in a normal form and looked up among the whole texts,
+paragraphs, lines and sentences of earlier messages of the conversation; a passage of which nothing is found, by windows of
+its words among all windows of those messages. The message it comes from is the one replied to.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from tickloom.session import cut
 MARK = r"^[ \t]*(?:>[ \t]?)+"
 # Endings of the line that introduces a quote, in English, German, French and Spanish.
 INTRO = r"(?m)^[^\n>]*\b(?:wrote|writes|schrieb|a écrit|escribió)[ \t]*:[ \t]*\n(?:[ \t]*\n)?(?=[ \t]*>)"
+SENTENCE = r"(?<=[.!?…][\"')\]»”]{0,2})\s+|(?<=[。！？])"
+WINDOW = 8  # words of a window, or all words of a shorter passage
+SALTS = 64  # tasks that the messages of one conversation are dealt to for their windows, at least
 BUCKET = 1000  # turns of a conversation that are put in order together
 
 
@@ -39,8 +43,18 @@ def _messages(conversations: DataFrame) -> DataFrame:
     return each.select("conv_id", "turn", "role", "text", (F.col("before") + F.col("k")).alias("n"), unquoted(F.col("text")).alias("body"))
 
 
+def _units(lines: Column) -> Column:
+    """Text made of an array of lines, its paragraphs, lines and the sentences of both, some of them repeated."""
+    whole = F.array_join(lines, "\n")
+    parts = F.concat(F.split(whole, r"\n(?:[ \t]*\n)+"), lines)
+    return F.concat(F.array(whole), parts, F.flatten(F.transform(parts, lambda x: F.split(x, SENTENCE))))
+
+
 def passages(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, n, level, unit) of quoted passages and their lines in normal form, the empty ones left out."""
+    """(conv_id, turn, n, level, run, unit, whole, counts) of quoted passages and their parts in normal form, the empty ones left out.
+
+    run numbers the passages of a message; `whole` is true of the passage, `counts` of the passage and its lines.
+    """
     quoting = messages.where(F.col("text").rlike("(?m)" + MARK))
     each = quoting.select("conv_id", "turn", "n", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     marks = F.regexp_extract("line", f"({MARK})", 1)
@@ -48,31 +62,57 @@ def passages(messages: DataFrame) -> DataFrame:
     message = Window.partitionBy("conv_id", "turn", "n").orderBy("at")
     border = (F.col("level") != F.lag("level", 1, -1).over(message)).cast("int")
     runs = each.withColumn("border", border).withColumn("run", F.sum("border").over(message)).where("level > 0")
-    key = ("conv_id", "turn", "n", "level")
-    joined = F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"])
-    whole = runs.groupBy(*key, "run").agg(F.array_join(joined, " ").alias("unit")).select(*key, "unit")
-    units = whole.unionByName(runs.select(*key, F.col("line").alias("unit"))).withColumn("unit", normal(F.col("unit")))
-    return units.where("unit <> ''").distinct()
+    key = ("conv_id", "turn", "n", "level", "run")
+    lines = runs.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]).alias("lines"))
+    units = lines.select(*key, F.transform("lines", normal).alias("each"), normal(F.array_join("lines", " ")).alias("all"), F.explode(_units(F.col("lines"))).alias("unit"))
+    units = units.select(*key, normal(F.col("unit")).alias("unit"), "all", "each").where("unit <> ''")
+    whole = F.col("unit") == F.col("all")
+    return units.select(*key, "unit", whole.alias("whole"), (whole | F.array_contains("each", F.col("unit"))).alias("counts")).distinct()
 
 
-def _links(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, n, parent, quoted): the turn that a message quotes, and how many of its passages were found."""
-    wanted = cut(
-        passages(messages).select("conv_id", "turn", "n", "level", F.xxhash64("unit").alias("hash"), F.length("unit").alias("size")),
-        "quotes",
-    )
-    whole = messages.select("conv_id", "turn", F.col("body").alias("unit"))
-    parts = messages.select("conv_id", "turn", F.explode(F.split("body", "\n")).alias("unit"))
-    known = whole.unionByName(parts).select("conv_id", "turn", F.xxhash64(normal(F.col("unit"))).alias("hash"))
+def _latest(known: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(conv_id, turn, ask, hash, parent): for each row of `wanted` the last earlier turn of `known` with its hash, if any."""
     known = known.join(wanted.select("conv_id", "hash").distinct(), ["conv_id", "hash"], "left_semi").distinct()
     # The last earlier turn that has the passage: a running maximum over both kinds of row, not a join of all of them.
-    asked = wanted.select("conv_id", "hash", "turn", F.struct("n", "level", "size").alias("ask"))
-    both = known.withColumn("ask", F.lit(None).cast(asked.schema["ask"].dataType)).unionByName(asked)
+    both = known.withColumn("ask", F.lit(None).cast(wanted.schema["ask"].dataType)).unionByName(wanted)
     earlier = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     found = both.withColumn("parent", F.max(F.when(F.col("ask").isNull(), F.col("turn"))).over(earlier))
-    found = found.where("ask is not null and parent is not null").select("conv_id", "turn", "ask.*", "parent")
-    best = F.max_by("parent", F.struct(-F.col("level"), "size", "parent"))
-    return found.groupBy("conv_id", "turn", "n").agg(best.alias("parent"), F.count("*").alias("quoted"))
+    return found.where("ask is not null and parent is not null")
+
+
+def _windows(unit: Column, size: Column) -> Column:
+    """Hashes of all windows of `size` words of a text in normal form, none if it has fewer."""
+    words = F.split(unit, " ")
+    starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda k: F.xxhash64(F.array_join(F.slice(words, k, size), " ")))
+
+
+def _links(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, n, parent, quoted): the turn that a message quotes, and how many of its passages were found."""
+    wanted = cut(passages(messages).withColumns({"hash": F.xxhash64("unit"), "size": F.length("unit")}), "quotes")
+    key = ("conv_id", "turn", "n", "level", "run")
+    known = messages.select("conv_id", "turn", F.explode(F.array_distinct(_units(F.split("body", "\n")))).alias("unit"))
+    known = known.select("conv_id", "turn", F.xxhash64(normal(F.col("unit"))).alias("hash"))
+    asked = wanted.select("conv_id", "hash", "turn", F.struct("n", "level", "run", "size", "counts").alias("ask"))
+    found = cut(_latest(known, asked).select("conv_id", "turn", "ask.*", "hash", "parent"), "found")
+    # What is left: passages of which no part was found.
+    left = wanted.where("whole").join(found.select(*key).distinct(), list(key), "left_anti")
+    left = left.withColumn("words", F.least(F.size(F.split("unit", " ")), F.lit(WINDOW)))
+    left = cut(left.select(*key, "size", "words", F.size(_windows(F.col("unit"), F.col("words"))).alias("all"), F.explode(F.array_distinct(_windows(F.col("unit"), F.col("words")))).alias("hash")), "left")
+    lengths = left.select("conv_id", "words").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    bodies = messages.select("conv_id", "turn", normal(F.col("body")).alias("unit"), F.pmod(F.xxhash64("turn", "n"), F.lit(SALTS)).cast("int").alias("salt"))
+    shown = bodies.join(lengths, ["conv_id", "salt"]).select("conv_id", "turn", F.explode(F.array_distinct(_windows(F.col("unit"), F.col("words")))).alias("hash"))
+    asked = left.select("conv_id", "hash", "turn", F.struct("n", "level", "run", "size", "all").alias("ask"))
+    seen = _latest(shown, asked).groupBy("conv_id", "turn", "ask", "parent").agg(F.count("*").alias("met"))
+    seen = seen.select("conv_id", "turn", "ask.n", "ask.level", "ask.run", F.floor(F.col("ask.size") * F.col("met") / F.col("ask.all")).cast("int").alias("size"), "parent")
+    # A passage that was found in parts only counts once.
+    parts = found.unionByName(seen.withColumns({"counts": F.lit(False), "hash": F.lit(None).cast("bigint")}))
+    whole = parts.groupBy(*key).agg(F.max(F.struct("size", "parent")).alias("best"), F.collect_set(F.when(F.col("counts"), F.col("hash"))).alias("hashes"))
+    best = F.max_by("best.parent", F.struct(-F.col("level"), "best.size", "best.parent"))
+    by_hash = F.transform("hashes", lambda h: F.concat_ws(":", F.lit("hash"), "level", h))
+    names = F.when(F.size("hashes") > 0, by_hash).otherwise(F.array(F.concat_ws(":", F.lit("run"), "level", "run")))
+    quoted = F.size(F.array_distinct(F.flatten(F.collect_list("names")))).cast("bigint")
+    return whole.withColumn("names", names).groupBy("conv_id", "turn", "n").agg(best.alias("parent"), quoted.alias("quoted"))
 
 
 def _previous(messages: DataFrame) -> DataFrame:
@@ -88,10 +128,11 @@ def _previous(messages: DataFrame) -> DataFrame:
 def reply_order(conversations: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text, reply_to, quoted, depth, reply_path) of each row of (conv_id, turn, role, text).
 
-    text has no quotes. reply_to is the turn of the message that is quoted: of the passages found in an earlier turn of the
-    conversation those of the lowest level count, of these the longest, of equal ones the latest; without one it is the
-    previous turn, and NULL for the first. quoted is the number of passages and lines found, depth the number of times that
-    a message on the way from the first one quotes a turn other than the previous one.
+    text has no quotes. reply_to is the turn of the message that is quoted: of the passages, or their paragraphs, lines and
+    sentences, found in an earlier turn of the conversation those of the lowest level count, of these the longest, of equal
+    ones the latest. A passage of which none is found counts where windows of WINDOW words (all, if it has fewer) are found,
+    by its share of them. Without any it is the previous turn, and NULL for the first. quoted is the number of different
+    passages and lines found, a passage found in other parts only being one; depth the number of times that a message on the way from the first one quotes a turn other than the previous one.
 
     reply_path puts a conversation in reply order (sort by conv_id, reply_path): a message comes behind the one it replies
     to, the direct continuation first. Rows are dealt and sorted by both, so a long conversation spreads over partitions.
