@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import context_mixing, decontaminate, html_text, kneser_ney, line_dedup, mixing, quotes, simhash, spotsigs, token_file
+from tickloom.llm import context_mixing, decontaminate, html_text, kneser_ney, line_dedup, mixing, phrases, quotes, simhash, spotsigs, token_file
 from tickloom.session import scratch_path
 
 
@@ -64,6 +64,10 @@ def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.read_token_file(spark, path, ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_main_text": op1_main_text, "op4_decontaminate": op4_decontaminate, "op7_context_mixing": op7_context_mixing, "op8_line_dedup": op8_line_dedup, "op9_quotes": op9_quotes, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op3_spotsigs": op3_spotsigs, "op5_kneser_ney": op5_kneser_ney, "op6_token_file": op6_token_file}
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_main_text": op1_main_text, "op4_decontaminate": op4_decontaminate, "op7_context_mixing": op7_context_mixing, "op8_line_dedup": op8_line_dedup, "op9_quotes": op9_quotes, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op3_spotsigs": op3_spotsigs, "op5_kneser_ney": op5_kneser_ney, "op6_token_file": op6_token_file, "op11_phrases": op11_phrases}
 
 ORACLE: dict[str, str] = {"op2_mixing": mixing.SQL, "op8_line_dedup": line_dedup.SQL}

@@ -66,13 +66,13 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words `[^\\x20\\x09-\\x0D]+` of the rows: `first`, `end` are byte places in `data`, `rows` the word offsets of the rows.
 
-    With `bare` ASCII punctuation parts words as white space does.
+    With `bare` ASCII punctuation parts words as white space does; `parting` marks other bytes that part them instead.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = True, bare: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = True, bare: bool = False, parting: np.ndarray | None = None):
         data, self.offsets = raw(column)
         self.data = _LOWER[data] if lower else data
-        space = (_PUNCTUATION if bare else _SPACE)[data]
+        space = (parting if parting is not None else _PUNCTUATION if bare else _SPACE)[data]
         n = len(data)
         before = np.ones(n, bool)
         before[1:] = space[:-1]
