@@ -167,10 +167,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             w = Words(batch.column("text"), parting=_PARTING)
             if not len(w.first):
                 continue
-            flat = np.zeros(len(w.first) + 1, np.int32)
-            np.cumsum(w.end - w.first, out=flat[1:])
-            letters = w.data[~_PARTING[w.data]]
-            coded = pa.StringArray.from_buffers(len(w.first), pa.py_buffer(flat), pa.py_buffer(letters)).dictionary_encode()
+            coded = w.coded()
             word = coded.indices.to_numpy()
             piece = np.cumsum(_PIECE[w.data], dtype=np.int64)[w.first]
             row = w.row_of()

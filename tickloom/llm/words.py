@@ -93,6 +93,16 @@ class Words:
         np.cumsum(total, out=total)
         return mix((total[self.end] - total[self.first]) * down[self.first])
 
+    def coded(self) -> pa.DictionaryArray:
+        """The words themselves, each known by its number in a dictionary."""
+        marks = np.zeros(len(self.data) + 1, np.int8)
+        marks[self.first] += 1
+        marks[self.end] -= 1
+        inside = np.cumsum(marks, dtype=np.int8)[:-1].astype(bool)
+        flat = np.zeros(len(self.first) + 1, np.int32)
+        np.cumsum(self.end - self.first, out=flat[1:])
+        return pa.StringArray.from_buffers(len(self.first), pa.py_buffer(flat), pa.py_buffer(self.data[inside])).dictionary_encode()
+
     def row_of(self) -> np.ndarray:
         """The row of each word."""
         return np.repeat(np.arange(len(self.rows) - 1), np.diff(self.rows))
