@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.llm.bitmaps import BITS, bitmap, marked
 from tickloom.llm.words import U64, Words, batches, mix
 from tickloom.session import cut
 
@@ -22,7 +23,6 @@ TEXT_STEP = 4 << 20  # bytes of text in a block
 HELD = 6_000_000  # 64-bit numbers of n-grams that a task holds before it makes filters
 MERGED = 2_000_000  # n-grams of a bucket, about
 NUMBERING = 1024  # groups in which words of a language are numbered
-BITMAP = 1 << 26  # bits of the map of frequent pairs
 
 _PIECE = np.zeros(256, bool)
 _PIECE[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -223,7 +223,7 @@ def _coded(blocks: DataFrame, words: DataFrame) -> DataFrame:
 
 def _pair_place(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Place of a pair of ids in the map of frequent pairs."""
-    return (mix(first.astype(np.uint64) << U64(32) | second.astype(np.uint64)) & U64(BITMAP - 1)).astype(np.int64)
+    return (mix(first.astype(np.uint64) << U64(32) | second.astype(np.uint64)) & U64(BITS - 1)).astype(np.int64)
 
 
 def _pair_map(pairs: DataFrame) -> np.ndarray:
@@ -232,15 +232,9 @@ def _pair_map(pairs: DataFrame) -> np.ndarray:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             ids = batch.column("ids").flatten().to_numpy()
-            yield pa.record_batch([pa.array(_pair_place(ids[::2], ids[1::2]) + 1)], names=["place"])
+            yield pa.record_batch([pa.array(_pair_place(ids[::2], ids[1::2]))], names=["place"])
 
-    # Spark counts places from 1 on and parts of a map too; the lowest bit of a byte comes first.
-    places = pairs.select("ids").mapInArrow(run, "place bigint")
-    maps = places.groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
-    out = np.zeros(BITMAP // 8, np.uint8)
-    for r in maps.toLocalIterator():
-        out[(r.part - 1) * len(r.bits) : r.part * len(r.bits)] = np.frombuffer(r.bits, np.uint8)
-    return out
+    return bitmap(pairs.select("ids").mapInArrow(run, "place bigint"))
 
 
 def _count(coded: DataFrame, lengths: tuple[int, ...], bits: int, skipped: dict[int, int], least: int, pair_map: np.ndarray | None = None) -> DataFrame:
@@ -270,8 +264,7 @@ def _count(coded: DataFrame, lengths: tuple[int, ...], bits: int, skipped: dict[
                 lang, ids = batch.column("lang")[r].as_py(), _unpack_ids(batch.column("ids")[r]).astype(np.uint64)
                 follows = (ids[:-1] > 0) & (ids[1:] > 0)
                 if pair_map is not None:
-                    place = _pair_place(ids[:-1], ids[1:])
-                    follows &= (pair_map[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+                    follows &= marked(pair_map, _pair_place(ids[:-1], ids[1:]))
                 run = follows
                 for n in range(2, max(lengths) + 1):
                     if n > 2:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import context_mixing, decontaminate, html_text, kneser_ney, line_dedup, mixing, phrases, quotes, runs, simhash, spotsigs, token_file
+from tickloom.llm import context_mixing, decontaminate, html_text, kneser_ney, line_dedup, lsh_forest, mixing, phrases, quotes, runs, simhash, spotsigs, token_file
 from tickloom.session import scratch_path
 
 
@@ -68,6 +68,10 @@ def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(_table(spark, folder, "documents"))
 
 
+def op12_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return lsh_forest.near_duplicates(_table(spark, folder, "documents"))
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id and text, in which every tenth text, by the CRC-32 of its doc_id, repeats with some period from some word on."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -100,6 +104,6 @@ def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_main_text": op1_main_text, "op4_decontaminate": op4_decontaminate, "op7_context_mixing": op7_context_mixing, "op8_line_dedup": op8_line_dedup, "op9_quotes": op9_quotes, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op3_spotsigs": op3_spotsigs, "op5_kneser_ney": op5_kneser_ney, "op6_token_file": op6_token_file, "op11_phrases": op11_phrases, "op13_runs": op13_runs}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_main_text": op1_main_text, "op4_decontaminate": op4_decontaminate, "op7_context_mixing": op7_context_mixing, "op8_line_dedup": op8_line_dedup, "op9_quotes": op9_quotes, "op10_simhash": op10_simhash, "op2_mixing": op2_mixing, "op3_spotsigs": op3_spotsigs, "op5_kneser_ney": op5_kneser_ney, "op6_token_file": op6_token_file, "op11_phrases": op11_phrases, "op12_minhash": op12_minhash, "op13_runs": op13_runs}
 
 ORACLE: dict[str, str] = {"op2_mixing": mixing.SQL, "op8_line_dedup": line_dedup.SQL}
