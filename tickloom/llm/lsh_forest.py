@@ -32,7 +32,7 @@ HASHES = 64  # bytes of a signature
 ORDERS = 16
 FIRST_ORDERS = 3  # orders whose direct neighbours are compared before all others
 LEAST_DEPTH = 3  # bytes that candidates share at least
-REACH = 32  # neighbours of a document that are looked at in a dense region
+REACH = 256  # neighbours of a document that are looked at in a dense region
 
 _ODD = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 _ORDER = np.stack([np.random.default_rng(k).permutation(HASHES) for k in range(ORDERS)])

@@ -203,17 +203,55 @@ def _numbered(frequent: DataFrame) -> DataFrame:
     return placed.join(offsets, ["lang", "grp"]).select("lang", "word", "f", (F.col("before") + F.col("place")).alias("id"))
 
 
+def _word_places(words: pa.Array) -> np.ndarray:
+    """Places of words in the map of frequent words."""
+    return (Words(words, lower=False).hashes() & U64(BITS - 1)).astype(np.int64)
+
+
+def _word_map(words: DataFrame) -> np.ndarray:
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            yield pa.record_batch([pa.array(_word_places(batch.column("word")))], names=["place"])
+
+    return bitmap(words.select("word").mapInArrow(run, "place bigint"))
+
+
+def _narrowed(blocks: DataFrame, words: DataFrame) -> DataFrame:
+    """(block, lang, words, ids) of the blocks with only those words that may be in `words`; others end a piece."""
+    word_map = _word_map(words)
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for k in range(batch.num_rows):
+                own, ids = batch.column("words")[k].values, _unpack_ids(batch.column("ids")[k])
+                kept = marked(word_map, _word_places(own))
+                number = np.zeros(len(own) + 1, np.uint32)
+                number[1:][kept] = np.arange(1, np.count_nonzero(kept) + 1)
+                out = [[own.filter(pa.array(kept))], [_pack_ids(_without_repeated_zeros(number[ids]))]]
+                columns = [batch.column(c).slice(k, 1) for c in ("block", "lang")]
+                yield pa.record_batch([*columns, pa.array(out[0], pa.list_(pa.string())), pa.array(out[1], pa.binary())], names=["block", "lang", "words", "ids"])
+
+    read = blocks.select("block", "lang", "words", "ids")
+    return cut(read.mapInArrow(run, "block bigint, lang string, words array<string>, ids binary"), "narrowed-blocks")
+
+
 def _coded(blocks: DataFrame, words: DataFrame) -> DataFrame:
-    """(lang, ids) of the blocks: ids of frequent words as in `words`, 0 for other words and ends of pieces."""
+    """(lang, ids) of the blocks: ids of frequent words as in `words`, 0 for other words and ends of pieces.
+
+    Each block meets the ids of its own words, so no task needs those of all. A map of fixed size takes out most of the other
+    words beforehand.
+    """
+    blocks = _narrowed(blocks, words)
     each = blocks.select("block", "lang", F.posexplode("words").alias("place", "word"))
-    known = each.join(words, ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("known"))
+    both = F.shiftleft(F.col("place").cast("bigint"), 32).bitwiseOR(F.col("id"))
+    known = each.join(words, ["lang", "word"]).groupBy("block").agg(F.collect_list(both).alias("known"))
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for k in range(batch.num_rows):
-                known, ids = batch.column("known")[k].values, _unpack_ids(batch.column("ids")[k])
+                known, ids = batch.column("known")[k].values.to_numpy(), _unpack_ids(batch.column("ids")[k])
                 id_of = np.zeros(int(ids.max()) + 1, np.uint32)
-                id_of[known.field("place").to_numpy() + 1] = known.field("id").to_numpy()
+                id_of[(known >> 32) + 1] = known & 0xFFFFFFFF
                 out = _without_repeated_zeros(id_of[ids])
                 yield pa.record_batch([batch.column("lang").slice(k, 1), pa.array([_pack_ids(out)], pa.binary())], names=["lang", "ids"])
 
