@@ -2,7 +2,7 @@
 
 import importlib
 
-SECTIONS = ("features", "indicators", "frames", "quality", "text", "returns", "monitoring", "sources", "streaming", "chains")
+SECTIONS = ("features", "indicators", "frames", "quality", "text", "returns", "monitoring", "alerts", "sources", "streaming", "chains")
 
 
 def load():

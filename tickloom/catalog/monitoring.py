@@ -27,11 +27,11 @@ def sliding(minutes: int, keys: str) -> str:
 
 @query(
     "r1_error_rate_5m",
-    f"WITH {LOG}, {sliding(5, 'job, component')} -- result\n SELECT *, errors > 5 AS alert FROM windows WHERE errors > 0",
-    dates="window_start window_end",
+    f"WITH {LOG}, {sliding(5, 'job, component')} -- result\n SELECT *, errors / 5 AS errors_per_minute, errors / 5 > 0.2 AS alert FROM windows WHERE errors > 0",
+    doubles="errors_per_minute", dates="window_start window_end",
 )
 def r1(spark, folder):
-    return M.error_rate(M.minute_summary(log(spark, folder)))
+    return M.error_rate(M.minute_summary(log(spark, folder)), limit=0.2)
 
 
 @query(

@@ -29,11 +29,11 @@ def _log(spark, folder):
 
 @query(
     "r1_error_rate_stream",
-    f"WITH {LOG}, {sliding(5, 'job, component')} -- result\n SELECT *, errors > 5 AS alert FROM windows WHERE errors > 0",
-    dates="window_start window_end",
+    f"WITH {LOG}, {sliding(5, 'job, component')} -- result\n SELECT *, errors / 5 AS errors_per_minute, errors / 5 > 0.2 AS alert FROM windows WHERE errors > 0",
+    doubles="errors_per_minute", dates="window_start window_end",
 )
 def r1_stream(spark, folder):
-    return M.error_rate(J.summary_table(_log(spark, folder), M.KEYS))
+    return M.error_rate(J.summary_table(_log(spark, folder), M.KEYS), limit=0.2)
 
 
 @query(

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators.series import Series, running
+
 KEYS = ("job", "component")
-# Alert levels.
+# Alert levels; errors are counted per minute.
 ERROR_LIMIT, FAILURE_LIMIT, STALE_SECONDS = 5, 0.1, 3600
 SUSTAINED_MINUTES = {"data_ingestion": 15, "feature_engineering": 10, "training": 5}
 
@@ -39,8 +41,9 @@ def _sliding(summary: DataFrame, minutes: int, keys: Sequence[str]) -> DataFrame
 
 
 def error_rate(summary: DataFrame, minutes: int = 5, limit: float = ERROR_LIMIT, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Windows with errors, and whether they are over the limit."""
-    return _sliding(summary, minutes, keys).filter("errors > 0").withColumn("alert", F.col("errors") > limit)
+    """Windows with errors, their errors a minute, and whether these are over the limit."""
+    windows = _sliding(summary, minutes, keys).filter("errors > 0").withColumn("errors_per_minute", F.col("errors") / minutes)
+    return windows.withColumn("alert", F.col("errors_per_minute") > limit)
 
 
 def failure_ratio(summary: DataFrame, minutes: int = 10, limit: float = FAILURE_LIMIT, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -50,16 +53,22 @@ def failure_ratio(summary: DataFrame, minutes: int = 10, limit: float = FAILURE_
 
 
 def stale_periods(summary: DataFrame, seconds: int = STALE_SECONDS, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Gaps without a success longer than `seconds`, up to the newest event of any job."""
+    """Gaps without a success longer than `seconds`, up to the newest event of any job.
+
+    `alerts.stale_alerts` also knows jobs that never succeeded.
+    """
     newest = summary.agg(F.max(F.greatest("last_success", "last_failure")).alias("m")).scalar()
-    w = Window.partitionBy(*keys).orderBy("minute")
-    gaps = summary.filter("last_success IS NOT NULL").select(
-        *keys, F.col("last_success").alias("since"), F.coalesce(F.lead("first_success").over(w), newest).alias("until")
-    )
+    good = summary.filter("last_success IS NOT NULL").select(*keys, "minute", "first_success", "last_success")
+    near = running(good, _days(keys), {"_next": ("lead", "first_success")})
+    gaps = near.select(*keys, F.col("last_success").alias("since"), F.coalesce("_next", newest).alias("until"))
     length = _micros("until") - _micros("since")
     return gaps.withColumn("gap_seconds", length / 1e6).filter(F.col("gap_seconds") > seconds)
 
 
+def _days(keys: Sequence[str]) -> Series:
+    return Series(key=tuple(keys), order="minute", bucket="day")
+
+
 def _micros(column: str) -> Column:
     return F.unix_micros(F.col(column).cast("timestamp"))
 
@@ -67,18 +76,15 @@ def _micros(column: str) -> Column:
 def sustained_failures(summary: DataFrame, minutes: int = 15, keys: Sequence[str] = KEYS) -> DataFrame:
     """Stretches in which the status, sampled once a minute, stays failed for at least `minutes`."""
     failed = F.coalesce(F.col("last_failure") >= F.col("last_success"), F.col("last_success").isNull())
-    samples = summary.select(*keys, "minute", failed.alias("failed"))
-    w = Window.partitionBy(*keys).orderBy("minute")
-    turned = F.coalesce((F.col("failed") != F.lag("failed").over(w)), F.lit(True)).cast("int")
-    marked = samples.withColumn("_turn", turned)
-    islands = marked.withColumn("_island", F.sum("_turn").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    starts = islands.groupBy(*keys, "_island", "failed").agg(
-        F.min("minute").alias("since"), F.max("minute").alias("_last"), F.count(F.lit(1)).alias("samples")
-    )
-    by_island = Window.partitionBy(*keys).orderBy("_island")
-    spans = starts.withColumn("until", F.coalesce(F.lead("since").over(by_island), F.col("_last")))
+    samples = summary.select(*keys, "minute", failed.alias("failed"), F.lit(1).alias("_one"))
+    placed = running(samples, _days(keys), {"_place": ("sum", "_one"), "_before": ("lag", "failed")})
+    turns = placed.filter(F.col("_before").isNull() | (F.col("_before") != F.col("failed"))).select(*keys, "minute", "failed", "_place")
+    spans = running(turns, _days(keys), {"_until": ("lead", "minute"), "_next": ("lead", "_place")}).filter("failed")
+    ends = summary.groupBy(*keys).agg(F.max("minute").alias("_last"), F.count(F.lit(1)).alias("_samples"))
+    timed = spans.join(ends, [*keys]).withColumn("since", F.col("minute")).withColumn("until", F.coalesce("_until", "_last"))
     lasted = (_micros("until") - _micros("since")) / 60e6
-    return spans.withColumn("minutes", lasted).filter(F.col("failed") & (F.col("minutes") >= minutes)).select(
+    counted = F.coalesce("_next", F.col("_samples") + 1) - F.col("_place")
+    return timed.withColumns({"minutes": lasted, "samples": counted}).filter(F.col("minutes") >= minutes).select(
         *keys, "since", "until", "minutes", "samples"
     )
 

@@ -295,11 +295,11 @@ def _states(sizes: Iterable[int], ends: Iterable[float], firsts: Iterable[float]
             e = top + up
 
 
-RUNNING_KINDS = ("sum", "max", "min", "last", "lag")
+RUNNING_KINDS = ("sum", "max", "min", "last", "lag", "lead")
 
 
 def running(df: DataFrame, series: Series, columns: dict[str, tuple[str, str]]) -> DataFrame:
-    """Running sum, max, min, last known value, or the row before, over whole series: `name -> (kind, column)`.
+    """Running sum, max, min, last known value, or the row before or after, over whole series: `name -> (kind, column)`.
 
     Each bucket is reduced to one row, the small bucket table is scanned per key, and what came before a
     bucket is joined to it; only then are a bucket's own rows scanned.
@@ -319,6 +319,9 @@ def running(df: DataFrame, series: Series, columns: dict[str, tuple[str, str]])
         elif kind == "lag":
             partials.append(F.max_by(F.col(column), order).alias(f"_t_{name}"))
             before.append(F.last(f"_t_{name}").over(w).alias(f"_b_{name}"))
+        elif kind == "lead":
+            partials.append(F.min_by(F.struct(F.col(column).alias("v")), order).alias(f"_t_{name}"))
+            before.append(F.lead(f"_t_{name}").over(Window.partitionBy(*keys).orderBy("_bucket")).alias(f"_b_{name}"))
         else:
             partials.append(reduce[kind](column).alias(f"_t_{name}"))
             before.append(reduce[kind](f"_t_{name}").over(w).alias(f"_b_{name}"))
@@ -338,6 +341,9 @@ def running(df: DataFrame, series: Series, columns: dict[str, tuple[str, str]])
         elif kind == "lag":
             in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(series.order)
             results[name] = F.when(F.row_number().over(in_bucket) == 1, prev).otherwise(F.lag(column).over(in_bucket))
+        elif kind == "lead":
+            in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(series.order)
+            results[name] = F.coalesce(F.lead(F.struct(F.col(column).alias("v"))).over(in_bucket), prev)["v"]
         elif kind == "sum":
             here = F.sum(column).over(inside)
             results[name] = F.coalesce(here + prev, here, prev)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.labels import label_scores
 from tickloom.functions.text import keyword_label, process_text
 from tickloom.operators.bars import bars_from_ticks
-from tickloom.session import spread
+from tickloom.session import scratch_path, spread
 
 TICKERS = ("click", "error", "purchase", "signup", "view")
 # The supplied text is invented words; these occur often in it.
@@ -20,6 +20,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def in_time_order(df: DataFrame, order: str, parts: int) -> str:
+    """A folder with the rows in `parts` files of equal spans of time, written one after the other, for a stream to read."""
+    path = scratch_path(df.sparkSession, "feed")
+    ends = df.agg(F.unix_micros(F.min(order).cast("timestamp")).alias("a"), F.unix_micros(F.max(order).cast("timestamp")).alias("z")).first()
+    at = F.unix_micros(F.col(order).cast("timestamp"))
+    step = ((ends.z or 0) - (ends.a or 0)) // parts + 1
+    for k in range(parts):
+        part = df.where((at >= (ends.a or 0) + k * step) & (at < (ends.a or 0) + (k + 1) * step))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def ticks(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         "event_id", "ts", "user_id", F.col("event_type").alias("tic"), "value"
