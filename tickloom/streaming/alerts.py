@@ -19,7 +19,7 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulP
 from tickloom.operators.alerts import FIRING, INACTIVE, PENDING, RESOLVED
 from tickloom.operators.monitoring import KEYS, STALE_SECONDS, minute_summary
 from tickloom.session import cut
-from tickloom.streaming.jobs import event_time, run_to_table
+from tickloom.streaming.jobs import event_time, run_to_store
 
 MINUTE_MS, MINUTE_US = 60_000, 60_000_000
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -236,7 +236,7 @@ def alert_stream(events: DataFrame, processor: AlertProcessor, delay: str, jobs:
 def alert_table(events: DataFrame, processor: AlertProcessor, delay: str = "10 minutes", jobs: DataFrame | None = None) -> DataFrame:
     """The transitions of alert_stream() over what is available."""
     with _rocks(events.sparkSession):
-        return run_to_table(alert_stream(events, processor, delay, jobs), "append").drop("batch_id")
+        return run_to_store(alert_stream(events, processor, delay, jobs), mode="append").read().drop("batch_id")
 
 
 def rate_table(events: DataFrame, value: str = "rate", window: int = 5, limit: float = 5, minutes: float = 0, keys: Sequence[str] = KEYS, delay: str = "10 minutes") -> DataFrame:

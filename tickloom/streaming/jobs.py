@@ -1,9 +1,8 @@
 """Streaming forms of the bar, news and monitoring jobs.
 
-Each stream keeps windowed aggregates under a watermark and, in update mode, writes the changed rows of a
-micro-batch to its own folder. A retried micro-batch overwrites its folder, so a row is never counted twice;
-readers take the newest row of each key. Rules and joins then run on those small tables with the same
-functions as the batch jobs.
+Each stream keeps windowed aggregates under a watermark and, in update mode, writes the changed rows of each
+micro-batch to a store (`tickloom.streaming.store`), which keeps the newest row of each key. Rules and joins then run on
+those small tables with the same functions as the batch jobs.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.bars import ohlcv
 from tickloom.operators.monitoring import minute_summary
 from tickloom.session import scratch_path
+from tickloom.streaming.store import Merge, Store, newest, sums
 
 
 def read_stream(spark: SparkSession, folder: str, pattern: str, files_per_batch: int | None = None) -> DataFrame:
@@ -32,28 +32,26 @@ def event_time(stream: DataFrame, column: str, delay: str) -> DataFrame:
     return stream.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
 
 
-def run_to_table(stream: DataFrame, mode: str = "update", prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Process what is available and return the written rows with their `batch_id`."""
+def run_to_store(stream: DataFrame, merge: Merge | None = None, mode: str = "update", prepare: Callable[[DataFrame], DataFrame] | None = None, path: str | None = None, **options: object) -> Store:
+    """Process what is available into a store at `path`, a new one by default, and return it.
+
+    Without `merge` rows are only added. Run again with the same path, the stream goes on where it ended.
+    """
     spark = stream.sparkSession
-    base = scratch_path(spark, "stream")
+    base = path or scratch_path(spark, "stream")
+    shape = prepare(spark.createDataFrame([], stream.schema)).schema if prepare else stream.schema
+    store = Store(spark, f"{base}/table", shape, **({"merge": merge} if merge else {}), **options)
+    store.create()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = prepare(batch) if prepare else batch
-        rows.write.mode("overwrite").parquet(f"{base}/table/batch_id={batch_id}")
+        store.write(prepare(batch) if prepare else batch, batch_id)
 
     query = (
         stream.writeStream.outputMode(mode).foreachBatch(write)
         .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{base}/table")
-
-
-def newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Newest row of each key; `max_by` combines map-side."""
-    others = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("batch_id")).alias("_row"))
-    return last.select(*keys, "_row.*")
+    return store
 
 
 def stream_bars(ticks: DataFrame, width: str = "1 hour", delay: str = "10 minutes", order: Column | None = None) -> DataFrame:
@@ -66,14 +64,16 @@ def stream_bars(ticks: DataFrame, width: str = "1 hour", delay: str = "10 minute
     return sums.select(F.col("w.start").alias("date"), "tic", "open", "high", "low", "close", "volume")
 
 
-def bars_table(ticks: DataFrame, width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    return newest(run_to_table(stream_bars(ticks, width, delay)), ["date", "tic"])
+def bars_table(ticks: DataFrame, width: str = "1 hour", delay: str = "10 minutes", path: str | None = None, every: int = 8) -> DataFrame:
+    """Bars of all ticks that are available; a window is final once the watermark has passed its end."""
+    store = run_to_store(stream_bars(ticks, width, delay), newest(["date", "tic"]), period="date", settled=(delay, width), path=path, every=every)
+    return store.read().drop("batch_id")
 
 
 def summary_table(events: DataFrame, keys: Sequence[str], delay: str = "10 minutes") -> DataFrame:
     """Per-minute summary of job events, maintained by a stream; every alert rule reads it."""
-    rows = run_to_table(minute_summary(event_time(events, "ts", delay), keys))
-    return newest(rows, ["minute", *keys])
+    minutes = minute_summary(event_time(events, "ts", delay), keys)
+    return run_to_store(minutes, newest(["minute", *keys]), period="minute", settled=(delay, "1 minute")).read().drop("batch_id")
 
 
 SCORES = ("sentiment_positive", "sentiment_negative", "sentiment_neutral", "sentiment_unknown")
@@ -95,9 +95,6 @@ def sentiment_table(
     simply add to their day.
     """
     fresh = event_time(news, "published_at", delay).dropDuplicatesWithinWatermark([unique])
-    rows = run_to_table(fresh, "append", lambda batch: daily_sums(score(batch)))
-    sums = rows.groupBy("date", "tic").agg(
-        *[F.sum(c).alias(c) for c in SCORES], F.sum("n").alias("n"), F.sum("headlines").alias("daily_news_count")
-    )
+    store = run_to_store(fresh, sums(["date", "tic"]), "append", lambda batch: daily_sums(score(batch)), period="date", settled=(delay, "1 day"))
     means = [(F.col(c) / F.col("n")).alias(f"daily_{c}_mean") for c in SCORES]
-    return sums.select("date", "tic", *means, "daily_news_count")
+    return store.read().select("date", "tic", *means, F.col("headlines").alias("daily_news_count"))
