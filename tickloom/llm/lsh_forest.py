@@ -5,8 +5,9 @@ documents by it, so those that share a long prefix lie next to each other. A doc
 share `LEAST_DEPTH` bytes with it: in sparse regions all of them, in dense regions only those with the longest common prefix.
 Candidates whose signatures agree well enough are confirmed on their full sets of shingles.
 
-Equal sets are one node. The first orders are used to join the members of large groups by few links; all orders then look
-for links between what is not joined yet.
+Equal sets are one node. The direct neighbours in the first orders join the members of large groups by few links. Documents
+that then have candidates in other components go through all orders again, with their sets beside them, and are confirmed
+where they meet: a task returns a spanning forest of its links, so the work for a group of near copies grows with its size.
 """
 
 from __future__ import annotations
@@ -70,8 +71,17 @@ def prints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
 
 
+COLUMNS = {"order": "int", "signature": "binary", "key": "bigint", "n": "bigint", "root": "bigint"}
+SETS = {"shingles": "array<bigint>"}
+
+
+def _schema(columns: dict[str, str]) -> str:
+    return ", ".join(f"`{c}` {t}" for c, t in columns.items())
+
+
 def _ordered(nodes: DataFrame, orders: int) -> DataFrame:
-    """`nodes` (key, n, root, signature) once for each order, the signature's bytes in that order."""
+    """`nodes` (key, n, root, signature and maybe shingles) once for each order, the signature's bytes in that order."""
+    own = [c for c in (*COLUMNS, *SETS) if c in nodes.columns and c != "signature"]
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
@@ -80,9 +90,10 @@ def _ordered(nodes: DataFrame, orders: int) -> DataFrame:
                 turned = np.ascontiguousarray(rows[:, _ORDER[k]])
                 signature = pa.FixedSizeBinaryArray.from_buffers(pa.binary(HASHES), len(rows), [None, pa.py_buffer(turned)]).cast(pa.binary())
                 order = pa.array(np.full(len(rows), k, np.int32))
-                yield pa.record_batch([order, signature, *(batch.column(c) for c in ("key", "n", "root"))], names=["order", "signature", "key", "n", "root"])
+                yield pa.record_batch([order, signature, *(batch.column(c) for c in own)], names=["order", "signature", *own])
 
-    return nodes.select("key", "n", "root", "signature").mapInArrow(run, "order int, signature binary, key bigint, n bigint, root bigint")
+    schema = {c: t for c, t in (COLUMNS | SETS).items() if c in ("order", "signature", *own)}
+    return nodes.select("signature", *own).mapInArrow(run, _schema({c: schema[c] for c in ("order", "signature", *own)}))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -92,72 +103,133 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.cast(pa.binary(HASHES)).buffers()[1], np.uint8).reshape(-1, HASHES)[: len(column)]
 
 
-def _near(part: np.ndarray, rows: np.ndarray, n: np.ndarray, root: np.ndarray, reach: int, similarity: int, fresh: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j), i < j, of sorted rows up to `reach` apart that may be linked; j is no row before `fresh`."""
-    least, open_ = _least_agreement(similarity), np.arange(max(0, fresh - reach), len(part))
-    out = []
+def _here(order: np.ndarray, equal: np.ndarray) -> np.ndarray:
+    """Whether pairs with these equal bytes, in their order, have no longer common prefix in another order, or in an earlier one."""
+    plain, best = np.empty_like(equal), np.full(len(equal), -1)
+    np.put_along_axis(plain, _ORDER[order], equal, axis=1)
+    longest = np.full(len(equal), -1)
+    for k in range(ORDERS):
+        turned = plain[:, _ORDER[k]]
+        depth = np.where(turned.all(1), HASHES, np.argmin(turned, axis=1))
+        best = np.where(depth > longest, k, best)
+        longest = np.maximum(depth, longest)
+    return best == order
+
+
+def _near(v: dict[str, np.ndarray], part: str, reach: int, similarity: int, fresh: int, once: bool) -> np.ndarray:
+    """Pairs (i, j), i < j, of sorted rows up to `reach` apart that may be linked; j is no row before `fresh`.
+
+    Rows of one root or of one side of a cut (`side`, where there is one) make no pair. With `once` a pair is found in one
+    order only.
+    """
+    least, open_, rows = _least_agreement(similarity), np.arange(max(0, fresh - reach), len(v["key"])), v["rows"]
+    out = [np.zeros((2, 0), np.int64)]
     for k in range(1, reach + 1):
-        open_ = open_[open_ + k < len(part)]
-        other = open_ + k
+        open_ = open_[open_ + k < len(rows)]
         # What shares no prefix with a row shares none with those before it.
-        same = (part[open_] == part[other]) & (rows[open_, :LEAST_DEPTH] == rows[other, :LEAST_DEPTH]).all(1)
-        open_ = open_[same]
+        open_ = open_[(v[part][open_] == v[part][open_ + k]) & (rows[open_, :LEAST_DEPTH] == rows[open_ + k, :LEAST_DEPTH]).all(1)]
         if not len(open_):
             break
-        i = open_[(open_ + k >= fresh) & (root[open_] != root[open_ + k])]
-        i = i[100 * np.minimum(n[i], n[i + k]) >= similarity * np.maximum(n[i], n[i + k])]
-        i = i[np.count_nonzero(rows[i] == rows[i + k], axis=1) >= least]
+        i = open_[(open_ + k >= fresh) & (v["root"][open_] != v["root"][open_ + k])]
+        if "side" in v:
+            i = i[v["side"][i] != v["side"][i + k]]
+        i = i[100 * np.minimum(v["n"][i], v["n"][i + k]) >= similarity * np.maximum(v["n"][i], v["n"][i + k])]
+        equal = rows[i] == rows[i + k]
+        enough = np.count_nonzero(equal, axis=1) >= least
+        i, equal = i[enough], equal[enough]
+        if once and len(i):
+            i = i[_here(v["order"][i], equal)]
         out.append(np.stack([i, i + k]))
-    found = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
-    return found[0], found[1]
+    return np.concatenate(out, 1)
 
 
-def _neighbours(rows: DataFrame, part: str, reach: int, similarity: int, edges: bool) -> DataFrame:
-    """(a, b) candidate pairs among the sorted rows of each partition, within equal `part`.
+def _linked(pairs: np.ndarray, v: dict[str, np.ndarray], sets: list[np.ndarray], similarity: int) -> np.ndarray:
+    """Of pairs of rows with these sets of shingles those that are similar enough and join what was not joined before."""
+    parent: dict[int, int] = {}
 
-    With `edges` also the first and last `reach` rows of the partition, marked by its number and the side.
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = up = parent.get(up, up)
+            x = up
+        return x
+
+    roots, sizes = v["root"].tolist(), v["n"].tolist()
+    pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
+    at = np.flatnonzero(np.append(True, pairs[0, 1:] != pairs[0, :-1])) if pairs.shape[1] else np.zeros(0, np.int64)
+    out = []
+    for a, z in zip(at.tolist(), [*at[1:].tolist(), pairs.shape[1]], strict=False):
+        i = int(pairs[0, a])
+        own, others = sets[i], [j for j in pairs[1, a:z].tolist() if root(roots[j]) != root(roots[i])]
+        if not others:
+            continue
+        all_ = np.concatenate([sets[j] for j in others])
+        hit = own[np.minimum(np.searchsorted(own, all_), len(own) - 1)] == all_
+        starts = np.cumsum([0, *(sizes[j] for j in others[:-1])])
+        for j, common in zip(others, np.add.reduceat(hit, starts, dtype=np.int64).tolist(), strict=True):
+            x, y = root(roots[i]), root(roots[j])
+            if x != y and 100 * common >= similarity * (sizes[i] + sizes[j] - common):
+                parent[max(x, y)] = min(x, y)
+                out.append((i, j))
+    return np.array(out, np.int64).reshape(-1, 2).T
+
+
+def _neighbours(rows: DataFrame, part: str, reach: int, similarity: int, found: str, edges: bool) -> DataFrame:
+    """(a, b) of the sorted rows of each partition, within equal `part`.
+
+    By `found` these are candidate pairs (`pairs`), each row that is in one (`rows`, with a = b), or links confirmed on the
+    shingles of the rows (`links`). With `edges` also the first and last `reach` rows of the partition, marked by its number
+    and the side.
     """
-    columns = {"order": np.int32, "key": np.int64, "n": np.int64, "root": np.int64}
+    columns = {c: t for c, t in (COLUMNS | (SETS if found == "links" else {})).items()}
+    numbers = {"order": np.int32, "key": np.int64, "n": np.int64, "root": np.int64}
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId()
         held = first = None
 
-        def edge(value: dict, side: int) -> pa.RecordBatch:
-            count = len(value["key"])
-            none = pa.nulls(count, pa.int64())
-            signature = pa.array([x.tobytes() for x in value["rows"]], pa.binary())
-            ends = [pa.array(np.full(count, x, np.int32)) for x in (number, side)]
-            return pa.record_batch([none, none, *ends, signature, *(pa.array(value[c]) for c in columns)], names=names)
+        def edge(rows: pa.Table, side: int) -> Iterator[pa.RecordBatch]:
+            none = pa.nulls(rows.num_rows, pa.int64())
+            ends = [pa.array(np.full(rows.num_rows, x, np.int32)) for x in (number, side)]
+            marked_rows = pa.table([none, none, *ends, *(rows.column(c) for c in columns)], names=["a", "b", "number", "side", *columns])
+            yield from marked_rows.combine_chunks().to_batches()
 
         for batch in stream:
-            value = {c: batch.column(c).to_numpy().astype(t) for c, t in columns.items()}
-            value |= {"part": batch.column(part).to_numpy(), "rows": _matrix(batch.column("signature"))}
-            fresh = 0
+            table = pa.Table.from_batches([batch])
+            fresh = held.num_rows if held is not None else 0
             if held is not None:
-                fresh = len(held["key"])
-                value = {c: np.concatenate([held[c], value[c]]) for c in value}
-            i, j = _near(value["part"], value["rows"], value["n"], value["root"], reach, similarity, fresh)
-            pairs = [pa.array(value["key"][x]) for x in (i, j)]
-            if edges and first is None:
-                first = {c: x[:reach].copy() for c, x in value.items()}
-                yield edge(first, 0)
-            held = {c: x[-reach:].copy() for c, x in value.items()}
-            yield pa.record_batch([*pairs, *(pa.nulls(len(i), t) for t in kinds[2:])], names=names) if edges else pa.record_batch(pairs, names=names)
+                table = pa.concat_tables([held, table])
+            table = table.combine_chunks()
+            v = {c: table.column(c).to_numpy().astype(t) for c, t in numbers.items()}
+            v |= {c: table.column(c).to_numpy() for c in ("gap", "side") if c in table.column_names}
+            v["rows"] = _matrix(table.column("signature").combine_chunks())
+            pairs = _near(v, part, reach, similarity, fresh, found == "links")
+            if found == "links":
+                lists = table.column("shingles").combine_chunks()
+                flat, bounds = lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+                sets = [flat[x:y] for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                pairs = _linked(pairs, v, sets, similarity)
+            elif found == "rows":
+                pairs = np.stack([np.unique(pairs)] * 2)
+            a, b = (pa.array(v["key"][x]) for x in pairs)
+            if edges:
+                if first is None:
+                    first = True
+                    yield from edge(table.slice(0, reach), 0)
+                empty = [pa.nulls(len(a), t) for t in (pa.int32(), pa.int32(), *(table.schema.field(c).type for c in columns))]
+                yield pa.record_batch([a, b, *empty], names=["a", "b", "number", "side", *columns])
+            else:
+                yield pa.record_batch([a, b], names=["a", "b"])
+            held = table.slice(max(0, table.num_rows - reach)).combine_chunks()
         if edges and held is not None:
-            yield edge(held, 1)
-
-    names, kinds = ["a", "b"], [pa.int64(), pa.int64()]
-    schema = "a bigint, b bigint"
-    if edges:
-        names += ["number", "side", "signature", *columns]
-        kinds += [pa.int32(), pa.int32(), pa.binary(), pa.int32(), *[pa.int64()] * 3]
-        schema += ", number int, side int, signature binary, order int, key bigint, n bigint, root bigint"
+            yield from edge(held, 1)
+
+    schema = "a bigint, b bigint" + (", number int, side int, " + _schema(columns) if edges else "")
     return rows.mapInArrow(run, schema)
 
 
-def candidates(nodes: DataFrame, orders: int, reach: int, similarity: int) -> DataFrame:
-    """(a, b), a < b, pairs of `nodes` (key, n, root, signature) of different roots that are neighbours in one of the orders.
+def candidates(nodes: DataFrame, orders: int, reach: int, similarity: int, found: str) -> DataFrame:
+    """(a, b), a <= b, of `nodes` (key, n, root, signature and maybe shingles) that are neighbours in one of the orders: see
+    _neighbours() for `found`. Pairs of one root are left out.
 
     Every order is cut into even ranges, whatever the documents are like; pairs that lie across a cut are found from the rows
     next to it.
@@ -165,16 +237,15 @@ def candidates(nodes: DataFrame, orders: int, reach: int, similarity: int) -> Da
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = _ordered(nodes, orders)
     ranged = rows.repartitionByRange(parts, "order", "signature", "key").sortWithinPartitions("order", "signature", "key")
-    found = cut(_neighbours(ranged, "order", reach, similarity, True), "neighbours")
-    edges = found.where("number is not null").select("number", "side", "signature", "order", "key", "n", "root")
+    scanned = cut(_neighbours(ranged, "order", reach, similarity, found, True), "neighbours")
+    edges = scanned.where("number is not null").drop("a", "b")
     # One row for each partition.
     follows = edges.select("number").distinct().select("number", F.lag("number").over(Window.orderBy("number")).alias("before"))
     gap = F.when(F.col("side") == 1, F.col("number")).otherwise(F.col("before"))
-    across = edges.join(follows, "number").withColumn("gap", gap).where("gap is not null").drop("number", "side", "before")
-    # The number of a gap comes first in the sorted rows and tells them apart; a gap lies within one order or has nothing to find.
-    keyed = across.withColumn("gap", F.col("gap") * F.lit(ORDERS) + F.col("order"))
+    across = edges.join(follows, "number").withColumn("gap", gap).where("gap is not null").drop("number", "before")
+    keyed = across.withColumn("gap", F.col("gap").cast("bigint") * F.lit(ORDERS) + F.col("order"))
     dealt = keyed.repartition(parts, "gap").sortWithinPartitions("gap", "signature", "key")
-    pairs = found.where("a is not null").select("a", "b").unionByName(_neighbours(dealt, "gap", reach, similarity, False))
+    pairs = scanned.where("a is not null").select("a", "b").unionByName(_neighbours(dealt, "gap", reach, similarity, found, False))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -182,14 +253,12 @@ def _place(doc_id: str, text_hash: str) -> F.Column:
     return F.pmod(F.xxhash64(doc_id, text_hash), F.lit(BITS))
 
 
-def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, similarity: int) -> DataFrame:
-    """The (a, b) of `pairs` whose sets of shingles have a Jaccard similarity of `similarity` hundredths or more.
+def shingle_sets(docs: DataFrame, nodes: DataFrame, keys: DataFrame, shingle: int) -> DataFrame:
+    """(key, shingles) of the `nodes` (key, row) whose key is in `keys`: the sorted hashes of their shingles.
 
-    `nodes` has the key and a row (doc_id, text_hash) of each set. Sets are made again for the nodes of pairs only: a map of
-    fixed size tells the scan which rows those may be, so no text is shuffled.
+    They are made again from the texts: a map of fixed size tells the scan which rows they may be, so no text is shuffled.
     """
-    pairs = cut(pairs, "pairs")
-    chosen = cut(nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key").select("key", "row.*"), "chosen")
+    chosen = cut(nodes.join(keys.select("key").distinct(), "key").select("key", "row.*"), "chosen")
     wanted = bitmap(chosen.select(_place("doc_id", "text_hash").alias("place")))
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +273,11 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
     sets = texts.withColumn("place", _place("doc_id", "text_hash")).mapInArrow(run, "doc_id bigint, text_hash bigint, shingles array<bigint>")
     same = sets["doc_id"].eqNullSafe(chosen["doc_id"]) & (sets["text_hash"] == chosen["text_hash"])
     # A row that occurs repeatedly has the same set each time.
-    sets = cut(sets.join(chosen, same).groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
+    return cut(sets.join(chosen, same).groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The (a, b) of `pairs` whose `sets` (key, shingles) have a Jaccard similarity of `similarity` hundredths or more."""
     met = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     common = F.size(F.array_intersect("x", "y"))
     return met.where(100 * common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
@@ -226,9 +299,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     nodes = found.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), row, F.first("n").alias("n"), F.first("signature").alias("signature"))
     nodes = cut(nodes, "nodes")
     alone = nodes.select("key", "n", F.col("key").alias("root"), "signature")
-    links = cut(confirmed(docs, nodes, candidates(alone, FIRST_ORDERS, 1, similarity), shingle, similarity), "first-links")
+    pairs = cut(candidates(alone, FIRST_ORDERS, 1, similarity, "pairs"), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key"))
+    links = cut(confirmed(pairs, shingle_sets(docs, nodes, ends, shingle), similarity), "first-links")
     joined = alone.drop("root").join(components(links).withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    more = confirmed(docs, nodes, candidates(cut(joined, "joined"), ORDERS, REACH, similarity), shingle, similarity)
+    joined = cut(joined, "joined")
+    open_ = candidates(joined, ORDERS, REACH, similarity, "rows").select(F.col("a").alias("key"))
+    sets = shingle_sets(docs, nodes, open_, shingle)
+    more = candidates(joined.join(sets, "key"), ORDERS, REACH, similarity, "links")
     roots = components(links.unionByName(more)).withColumnRenamed("node", "key")
     rooted = cut(nodes.select("key", "least").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")), "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
