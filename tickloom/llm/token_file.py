@@ -21,7 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.words import U64, Words, batches, mix
+from tickloom.llm.words import U64, Words, batches, mix, raw
+from tickloom.session import cut
 
 END_ID = 2
 SHARD_IDS = 1 << 20  # a block is closed when it has so many ids
@@ -194,27 +195,55 @@ def _parse(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if x else i for i, x in zip(ids.tolist(), null.tolist(), strict=True)], counts, unpack(control, data, total)
 
 
+def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+    """(doc_id, tie, ids) of `docs` (doc_id, text): the ids of each text and its end as little-endian numbers.
+
+    They take two bytes each if the vocabulary allows, else four. tie is a hash of the text.
+    """
+    from tokenizers import Tokenizer
+
+    wide = max(Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True), end_id + 1) > 1 << 16
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(stream):
+            ids, bounds = encoded(batch, tokenizer, end_id)
+            flat = ids.astype("<u4" if wide else "<u2")
+            rows = pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((bounds * flat.itemsize).astype(np.int32)), pa.py_buffer(flat)])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("tie"), rows], names=["doc_id", "tie", "ids"])
+
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("tie"), "text")
+    return texts.mapInArrow(run, "doc_id bigint, tie bigint, ids binary").withColumn("wide", F.lit(wide))
+
+
+def _ids_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets) of encoded rows."""
+    wide = batch.num_rows > 0 and batch.column("wide")[0].as_py()
+    data, offsets = raw(batch.column("ids"))
+    size = 4 if wide else 2
+    return data.view("<u4" if wide else "<u2"), offsets // size
+
+
 def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Encode the texts of `docs` (doc_id, text) with the tokenizer at `tokenizer` and write them as a token file.
 
-    Documents are in ascending order of doc_id (NULL first), equal ids in order of text. A NULL text is empty and is coded
-    as the end id alone; an empty table writes no block. Other columns are not looked at. Ids are counted over all
-    documents, so texts are encoded twice rather than kept in between; they are shuffled once.
+    Documents are in ascending order of doc_id (NULL first), equal ids in order of a hash of their texts. A NULL text is empty
+    and is coded as the end id alone; an empty table writes no block. Other columns are not looked at. Texts are encoded once
+    and not shuffled: ids are counted over all documents, then dealt by ranges of doc_id and ranked.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
+    coded = cut(encode(docs, tokenizer, end_id), "encoded")
 
     def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for batch in batches(stream):
-            found = np.bincount(encoded(batch, tokenizer, end_id)[0], minlength=len(total))
+        for batch in stream:
+            found = np.bincount(_ids_of(batch)[0], minlength=len(total))
             found[: len(total)] += total
             total = found
         there = np.flatnonzero(total)
         yield pa.record_batch([pa.array(there), pa.array(total[there])], names=["id", "n"])
 
     # Both tables have at most one row for each id of the vocabulary.
-    counted = docs.select("text").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = coded.select("ids", "wide").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     ranked = counted.select((F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1).alias("rank"), "id", "n")
     ranked.coalesce(1).write.parquet(f"{path}/vocabulary")
     vocabulary = spark.read.parquet(f"{path}/vocabulary").toPandas()
@@ -230,8 +259,8 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = E
             row = [bucket, shard, before, size, _block(held[0], held[1], np.concatenate(held[2]))]
             return pa.record_batch([pa.array([x]) for x in row], names=["bucket", "shard", "bucket_start", "n_ids", "block"])
 
-        for batch in batches(stream):
-            ids, bounds = encoded(batch, tokenizer, end_id)
+        for batch in batches(stream, "ids"):
+            ids, bounds = _ids_of(batch)
             held[0].extend(batch.column("doc_id").to_pylist())
             held[1].extend(np.diff(bounds).tolist())
             held[2].append(rank_of[ids])
@@ -245,7 +274,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = E
             yield close()
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = coded.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "ids")
     schema = "bucket bigint, shard bigint, bucket_start bigint, n_ids bigint, block binary"
     ordered.mapInArrow(code, schema).write.parquet(f"{path}/shards")
 
