@@ -1,28 +1,33 @@
 """Near-duplicate lines by a segment-partition edit join, in DataFrame expressions only.
 
-A line of length l is cut into TAU + 1 even segments. If an edit distance is TAU or less, one segment of the shorter line
+A line of length l is cut into tau + 1 even segments. If an edit distance is tau or less, one segment of the shorter line
 occurs unchanged in the longer one, at a place that the edits left and right of it allow; those places are probed by hash.
-Pairs that meet are verified with a bit-parallel edit distance over a band of 2 TAU + 1 diagonals.
+Pairs that meet are verified with a bit-parallel edit distance over a band of 2 tau + 1 diagonals. Up to tau = TAU edits are
+allowed, and no more than one in EACH code points of the shorter line.
+
+Where many lines share a segment, they are put into blocks, and a probing line meets blocks: letter counts tell within them
+which lines may be near, so only those become rows.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.session import cut, scratch_path
+from tickloom.session import cut
 
 TAU = 2  # edits between lines that are near duplicates
+EACH = 10  # code points for an edit
 LETTERS = "entrai"  # counted to tell pairs apart before their edit distance is found
-LEAST = 20  # code points; shorter lines are duplicates only if equal
+FREQUENT = 32  # lines of a key that meet singly
+BLOCK = 256  # lines of a block of a more frequent key
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, line_id) of all lines that are not blank, trimmed of white space; line_no starts at 0."""
-    each = docs.select(F.col("doc_id").cast("bigint"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """(doc_id, text_hash, line_no, line, line_id) of all lines that are not blank, trimmed of white space; line_no starts at 0."""
+    each = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     trimmed = each.withColumn("line", F.btrim("line", F.lit(" \t\n\x0b\x0c\r"))).where("line <> ''")
     return trimmed.withColumn("line_id", F.xxhash64("line"))
 
@@ -46,14 +51,16 @@ def _places(tau: int) -> list[tuple[int, int, int]]:
     ]
 
 
-def _keys(sized: DataFrame, places: list[tuple[int, int, int]], tau: int, name: str) -> DataFrame:
-    """(name, key) of every line of (line_id, line, length) and place that lies within it.
+def _keys(sized: DataFrame, places: list[tuple[int, int, int]], tau: int, name: str, lengths: tuple[int, int | None]) -> DataFrame:
+    """(name, key) of every line of (line_id, line, length) and place that lies within it, for shorter lines of these lengths.
 
     A row for each place, whose key is found afterwards: one expression for all places is too long for the JIT compiler.
     """
     names = ("shorter", "i", "shift")
     each = F.explode(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, p, strict=True)]) for p in places]))
     placed = sized.withColumn("p", each)
+    shorter = F.col("length") - F.col("p.shorter")
+    placed = placed.where(shorter >= lengths[0]) if lengths[1] is None else placed.where(shorter.between(*lengths))
     start, size = _segment(F.col("length") - F.col("p.shorter"), F.col("p.i"), tau)
     placed = placed.withColumns({"at": start + F.col("p.shift"), "size": size}).where("at >= 0 and at + size <= length")
     key = F.xxhash64(F.substring(F.col("line"), F.col("at") + 1, F.col("size")), "p.i", F.col("length") - F.col("p.shorter"))
@@ -148,87 +155,118 @@ def _distance(x: Column, y: Column, m: Column, n: Column, tau: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), first, step, lambda s: s["d"])
 
 
-def _same_letters(a: Column, b: Column, tau: int) -> Column:
-    """False only for strings that are more than `tau` edits apart: an edit changes the counts of letters by two at most."""
-    count = lambda text, letter: F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
-    return sum((F.abs(count(a, x) - count(b, x)) for x in LETTERS[1:]), F.abs(count(a, LETTERS[0]) - count(b, LETTERS[0]))) <= 2 * tau
+def _letters(text: Column) -> Column:
+    """The counts of some letters, in one number of a byte for each; counts over 127 are as 127, which only brings lines closer."""
+    count = lambda k, x: F.shiftleft(F.least(F.length(text) - F.length(F.replace(text, F.lit(x), F.lit(""))), F.lit(127)).cast("bigint"), 8 * k)
+    return sum((count(k, x) for k, x in enumerate(LETTERS[1:], 1)), count(0, LETTERS[0]))
 
 
-def _by_id(classes: DataFrame) -> DataFrame:
-    """`classes` written bucketed by line_id and read back, so that later joins on line_id do not shuffle texts."""
-    spark = classes.sparkSession
-    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"lines_{uuid.uuid4().hex}"
-    classes.write.bucketBy(n, "line_id").option("path", scratch_path(spark, "lines")).saveAsTable(name)
-    return spark.table(name)
+def _may_be_near(a: Column, b: Column, tau: int) -> Column:
+    """False only for letter counts of strings more than `tau` edits apart: an edit changes two counts by one at most."""
+    count = lambda c, k: F.shiftright(c, 8 * k).bitwiseAND(F.lit(127))
+    return sum((F.abs(count(a, k) - count(b, k)) for k in range(1, len(LETTERS))), F.abs(count(a, 0) - count(b, 0))) <= 2 * tau
 
 
-def near_lines(classes: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFrame:
-    """(a, b) of all pairs of different lines of at least `least` code points within `tau` edits, a < b.
+def _met(index: DataFrame, probe: DataFrame, counts: DataFrame, tau: int) -> DataFrame:
+    """(a, b) of the lines of `index` (a, key) and `probe` (b, key) with a common key whose letter `counts` (line_id, letters) agree.
 
-    `classes` has (line_id, line), a row for each different line.
+    Where a key has few lines they meet singly. The others are put into blocks of bounded size, and only lines whose letters
+    agree leave the block.
     """
-    return _near(_by_id(classes.select("line_id", "line").repartition("line_id")), tau, least)
-
-
-def _near(classes: DataFrame, tau: int, least: int) -> DataFrame:
-    """near_lines() of a table bucketed by line_id."""
-    if least <= tau:
-        raise ValueError("lines must be longer than the number of edits")
-    table = classes.select("line_id", "line").where(F.char_length("line") >= least)
-    sized = table.withColumn("length", F.char_length("line").cast("int"))
-    index = _keys(sized, [(0, i, 0) for i in range(tau + 1)], tau, "a")
-    probe = _keys(sized, _places(tau), tau, "b")
-    met = cut(index.join(probe, "key").where("a <> b").select("a", "b").distinct(), "met")
-    texts = table.select(F.col("line_id").alias("a"), F.col("line").alias("x"))
-    both = met.join(texts, "a").join(table.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b")
-    near = both.where(_same_letters(F.col("x"), F.col("y"), tau)).where(within(F.col("x"), F.col("y"), tau))
-    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def find_duplicates(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """(lines, links). `lines`: (doc_id, line_no, line_id, equal, near) of all lines; `links`: pairs of near_lines().
+    index, probe = cut(index, "segments"), cut(probe, "probes")
+    often = index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > FREQUENT)
+    often = cut(often.select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")), "frequent-segments")
+    of = counts.select(F.col("line_id").alias("a"), "letters")
+    rare = index.join(often, "key", "left_anti").join(probe, "key").where("a <> b").select("a", "b").distinct()
+    rare = rare.join(of, "a").join(of.toDF("b", "other"), "b").where(_may_be_near(F.col("letters"), F.col("other"), tau)).select("a", "b")
+    frequent = index.join(often, "key").join(of, "a")
+    blocks = frequent.groupBy("key", F.pmod(F.xxhash64("a", F.lit(1)), "blocks").alias("block")).agg(F.collect_list(F.struct("a", "letters")).alias("lines"))
+    probing = probe.join(often.select("key"), "key").join(of.toDF("b", "letters"), "b")
+    near = lambda x: (x["a"] != F.col("b")) & _may_be_near(x["letters"], F.col("letters"), tau)
+    kept = probing.join(blocks, "key").select("b", F.filter("lines", near).alias("lines")).where("size(lines) > 0")
+    return rare.unionByName(kept.select(F.explode("lines.a").alias("a"), "b")).distinct()
+
+
+def near_lines(classes: DataFrame, tau: int = TAU, each: int = EACH) -> DataFrame:
+    """(a, b) of all pairs of different lines within `tau` edits, and one edit for `each` code points of the shorter, a < b.
 
-    `equal`: the same line came before, in the order of doc_id (NULL last) and line_no; of repeated documents one row comes
-    before the others by its text. `near`: it is no such repeat, but within `tau` edits of a line that came before.
+    `classes` has (line_id, line), a row for each different line.
+    """
+    table = cut(classes.select("line_id", "line", F.char_length("line").cast("int").alias("length")).where(F.col("length") >= max(each, 2)), "lines")
+    counts = cut(table.select("line_id", _letters(F.col("line")).alias("letters")), "letters")
+    found = []
+    for edits in range(1, tau + 1):
+        # Lines of fewer code points than edits + 1 have no segments.
+        first, last = max(each * edits, edits + 1), each * (edits + 1) - 1 if edits < tau else None
+        if last is not None and last < first:
+            continue
+        sized = table.where(F.col("length") >= first) if last is None else table.where(F.col("length").between(first, last + edits))
+        index = _keys(sized, [(0, i, 0) for i in range(edits + 1)], edits, "a", (first, last))
+        probe = _keys(sized, _places(edits), edits, "b", (first, last))
+        met = cut(_met(index, probe, counts, edits), "met")
+        both = met.join(table.select(F.col("line_id").alias("a"), F.col("line").alias("x")), "a").join(table.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b")
+        near = both.where(within(F.col("x"), F.col("y"), edits))
+        found.append(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    out = found[0] if found else table.select(F.col("line_id").alias("a"), F.col("line_id").alias("b")).limit(0)
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
+
+
+def _place() -> Column:
+    """Order in which lines come: by doc_id (NULL last), by a hash of the text where rows share a doc_id, by line_no."""
+    return F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "line_no")
+
+
+def find_duplicates(docs: DataFrame, tau: int = TAU, each: int = EACH) -> tuple[DataFrame, DataFrame]:
+    """(lines, links). `lines`: (doc_id, text_hash, line_no, line_id, equal, near) of all lines; `links`: pairs of near_lines().
+
+    `equal`: the same line came before, in the order of _place(). `near`: it is no such repeat, but near a line that came before. Rows with the
+    same doc_id and text are one document, whose lines are judged alike.
     """
-    each = lines(docs)
-    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "line_no")
-    classes = _by_id(each.groupBy("line_id").agg(F.min("line").alias("line"), F.min(place).alias("first"), F.count("*").alias("n")))
-    links = cut(_near(classes, tau, least), "line-links")
+    all_ = lines(docs)
+    classes = cut(all_.groupBy("line_id").agg(F.min("line").alias("line"), F.min(_place()).alias("first"), F.count("*").alias("n")), "line-classes")
+    links = cut(near_lines(classes, tau, each), "line-links")
     seen = classes.select("line_id", "first")
     firsts = links.join(seen.toDF("a", "first_a"), "a").join(seen.toDF("b", "first_b"), "b")
     late = firsts.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).when(F.col("first_b") < F.col("first_a"), F.col("a")).alias("line_id"))
     late = late.where("line_id is not null").distinct().withColumn("late", F.lit(True))
     judged = classes.where("n > 1").select("line_id", "first").join(late, "line_id", "full")
-    found = each.drop("line").join(judged, "line_id", "left")
-    equal = F.coalesce(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "line_no") > F.col("first"), F.lit(False))
+    found = all_.drop("line").join(judged, "line_id", "left")
+    equal = F.coalesce(_place() > F.col("first"), F.lit(False))
     marked = found.withColumn("equal", equal).withColumn("near", ~F.col("equal") & F.coalesce("late", F.lit(False)))
-    return marked.select("doc_id", "line_no", "line_id", "equal", "near"), links
+    return marked.select("doc_id", "text_hash", "line_no", "line_id", "equal", "near"), links
+
 
+def _removed() -> Column:
+    return F.array_sort(F.collect_set(F.when(F.col("equal") | F.col("near"), F.col("line_no"))))
 
-def report(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFrame:
+
+def report(docs: DataFrame, tau: int = TAU, each: int = EACH) -> DataFrame:
     """(doc_id, n_lines, n_equal, n_near, removed) of each doc_id that has a line: removed are the line_no of duplicates.
 
-    NULL, empty and blank texts have no line and no row; rows of one doc_id are one document. A line is known by a 64-bit
-    hash of its text.
+    NULL, empty and blank texts have no line and no row; rows of one doc_id are counted together, and rows of equal text each.
+    Lines too short for an edit (fewer than `each` code points) are duplicates only if equal. A line is known by a 64-bit hash
+    of its text. An empty table gives no rows.
     """
-    found, _ = find_duplicates(docs, tau, least)
-    gone = F.col("equal") | F.col("near")
+    found, _ = find_duplicates(docs, tau, each)
     return found.groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"),
-        F.count_if("equal").alias("n_equal"),
-        F.count_if("near").alias("n_near"),
-        F.array_sort(F.collect_list(F.when(gone, F.col("line_no")))).alias("removed"),
+        F.count("*").alias("n_lines"), F.count_if("equal").alias("n_equal"), F.count_if("near").alias("n_near"), _removed().alias("removed")
     )
 
 
-def without_duplicates(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFrame:
-    """`docs`, all columns, without duplicate lines in `text`. Rows with a NULL doc_id, or without lines, stay as they are."""
-    gone = report(docs, tau, least).where("size(removed) > 0").select(F.col("doc_id").alias("_of"), F.col("removed").alias("_removed"))
-    joined = docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_of"), "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_removed", i))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+def without_duplicates(docs: DataFrame, tau: int = TAU, each: int = EACH) -> DataFrame:
+    """`docs`, all columns, without duplicate lines in `text`.
+
+    Each row loses its own duplicates, also where rows share a doc_id. Rows with a NULL doc_id, or without lines, stay as they are.
+    """
+    found, _ = find_duplicates(docs, tau, each)
+    gone = found.where("equal or near").groupBy("doc_id", "text_hash").agg(_removed().alias("removed"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    joined = rows.join(gone, ["doc_id", "text_hash"], "left")
+    kept = F.filter(F.split("doc.text", "\n"), lambda x, i: ~F.array_contains("removed", i))
+    text = F.when(F.col("removed").isNull(), F.col("doc.text")).otherwise(F.array_join(kept, "\n"))
+    return joined.withColumn("doc", F.col("doc").withField("text", text)).select("doc.*")
 
 
 #: report(documents) with its defaults and `removed` joined by commas, for DuckDB, whose edit distance counts bytes: other letters become control codes.
@@ -240,11 +278,11 @@ full_lines AS (SELECT * FROM each WHERE line <> ''),
 classes AS (SELECT line, min((doc_id IS NULL, doc_id, line_no)) AS first FROM full_lines GROUP BY line),
 letters AS (SELECT string_agg(c, '' ORDER BY c) AS s, count(*) AS n FROM (SELECT DISTINCT unnest(string_split(line, '')) AS c FROM classes) WHERE ord(c) > 126),
 codes AS (SELECT string_agg(chr((CASE WHEN k < 9 THEN k ELSE k + 5 END)::INT), '' ORDER BY k) AS t FROM letters, unnest(range(1, n + 1)) AS x(k)),
-flat AS (SELECT line, first, length(line) AS l, translate(line, s, t) AS flat FROM classes, letters, codes WHERE length(line) >= 20),
+flat AS (SELECT line, first, length(line) AS l, translate(line, s, t) AS flat FROM classes, letters, codes WHERE length(line) >= 10),
 late AS (
   SELECT DISTINCT CASE WHEN a.first < b.first THEN b.line ELSE a.line END AS line
   FROM flat a JOIN flat b ON b.l BETWEEN a.l AND a.l + 2 AND a.line <> b.line
-  WHERE levenshtein(a.flat, b.flat) <= 2),
+  WHERE levenshtein(a.flat, b.flat) <= CASE WHEN a.l < 20 THEN 1 ELSE 2 END),
 marked AS (
   SELECT f.doc_id, f.line_no, (f.doc_id IS NULL, f.doc_id, f.line_no) > c.first AS equal, late.line IS NOT NULL AS late
   FROM full_lines f JOIN classes c USING (line) LEFT JOIN late USING (line))
