@@ -192,59 +192,34 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return cut(texts.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id()), "word-blocks")
 
 
-def _numbered(frequent: DataFrame) -> DataFrame:
-    """`frequent` (lang, word, f) with id: 1, 2, ... within each lang."""
-    frequent = cut(frequent.withColumn("grp", F.pmod(F.xxhash64("word"), F.lit(NUMBERING))), "frequent-words")
-    sizes = frequent.groupBy("lang", "grp").agg(F.count("*").alias("n"))
+def _numbered(blocks: DataFrame, least: int) -> DataFrame:
+    """(lang, word, f, id, block, place, first) of the words of blocks that occur `least` times or more in their lang.
+
+    f is that number, id counts the words of a lang from 1, place those of a block from 0; first marks one row of each word.
+    Words are dealt once, by groups of their hashes, in which they are summed and numbered.
+    """
+    each = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
+    each = each.select("block", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    dealt = each.withColumn("grp", F.pmod(F.xxhash64("word"), F.lit(NUMBERING))).repartition("lang", "grp")
+    of = Window.partitionBy("lang", "grp", "word")
+    often = dealt.withColumn("f", F.sum("n").over(of)).where(F.col("f") >= least)
+    often = often.withColumn("first", F.row_number().over(of.orderBy("block")) == 1)
+    often = often.withColumn("own", F.dense_rank().over(Window.partitionBy("lang", "grp").orderBy("word")))
+    often = cut(often.select("lang", "grp", "word", "f", "own", "block", "place", "first"), "frequent-words")
+    sizes = often.where("first").groupBy("lang", "grp").agg(F.count("*").alias("size"))
     # At most NUMBERING rows of each language.
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("lang").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("lang", "grp", before.alias("before"))
-    placed = frequent.withColumn("place", F.row_number().over(Window.partitionBy("lang", "grp").orderBy("word")))
-    return placed.join(offsets, ["lang", "grp"]).select("lang", "word", "f", (F.col("before") + F.col("place")).alias("id"))
-
-
-def _word_places(words: pa.Array) -> np.ndarray:
-    """Places of words in the map of frequent words."""
-    return (Words(words, lower=False).hashes() & U64(BITS - 1)).astype(np.int64)
-
-
-def _word_map(words: DataFrame) -> np.ndarray:
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            yield pa.record_batch([pa.array(_word_places(batch.column("word")))], names=["place"])
-
-    return bitmap(words.select("word").mapInArrow(run, "place bigint"))
-
-
-def _narrowed(blocks: DataFrame, words: DataFrame) -> DataFrame:
-    """(block, lang, words, ids) of the blocks with only those words that may be in `words`; others end a piece."""
-    word_map = _word_map(words)
-
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            for k in range(batch.num_rows):
-                own, ids = batch.column("words")[k].values, _unpack_ids(batch.column("ids")[k])
-                kept = marked(word_map, _word_places(own))
-                number = np.zeros(len(own) + 1, np.uint32)
-                number[1:][kept] = np.arange(1, np.count_nonzero(kept) + 1)
-                out = [[own.filter(pa.array(kept))], [_pack_ids(_without_repeated_zeros(number[ids]))]]
-                columns = [batch.column(c).slice(k, 1) for c in ("block", "lang")]
-                yield pa.record_batch([*columns, pa.array(out[0], pa.list_(pa.string())), pa.array(out[1], pa.binary())], names=["block", "lang", "words", "ids"])
-
-    read = blocks.select("block", "lang", "words", "ids")
-    return cut(read.mapInArrow(run, "block bigint, lang string, words array<string>, ids binary"), "narrowed-blocks")
+    return often.join(offsets, ["lang", "grp"]).select("lang", "word", "f", (F.col("before") + F.col("own")).alias("id"), "block", "place", "first")
 
 
-def _coded(blocks: DataFrame, words: DataFrame) -> DataFrame:
-    """(lang, ids) of the blocks: ids of frequent words as in `words`, 0 for other words and ends of pieces.
+def _coded(blocks: DataFrame, numbered: DataFrame) -> DataFrame:
+    """(lang, ids) of the blocks: ids of frequent words as in `numbered`, 0 for other words and ends of pieces.
 
-    Each block meets the ids of its own words, so no task needs those of all. A map of fixed size takes out most of the other
-    words beforehand.
+    Each block meets the ids of its own words, so no task needs those of all.
     """
-    blocks = _narrowed(blocks, words)
-    each = blocks.select("block", "lang", F.posexplode("words").alias("place", "word"))
     both = F.shiftleft(F.col("place").cast("bigint"), 32).bitwiseOR(F.col("id"))
-    known = each.join(words, ["lang", "word"]).groupBy("block").agg(F.collect_list(both).alias("known"))
+    known = numbered.groupBy("block").agg(F.collect_list(both).alias("known"))
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
@@ -348,13 +323,12 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int) -> tuple[DataFra
     language; words: (lang, word, f, id) of the words among them; totals: (lang, n), the number of word occurrences.
     """
     blocks = _blocks(docs)
-    each = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    counts = each.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f"))
-    words = cut(_numbered(counts.where(F.col("f") >= least)), "words")
+    numbered = _numbered(blocks, least)
+    words = cut(numbered.where("first").select("lang", "word", "f", "id"), "words")
     totals = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     size = words.agg(F.max("id").alias("ids"), F.sum("f").alias("n")).first()
     bits, instances = max(1, int(size.ids or 0).bit_length()), int(size.n or 0)
-    coded = _coded(blocks, words.select("lang", "word", "id"))
+    coded = _coded(blocks, numbered.select("block", "place", "id"))
     skipped = {n: min(max(0, (instances // MERGED).bit_length()), 2 * bits) for n in range(2, longest + 1)}
     single = words.select("lang", F.array("id").alias("ids"), "f")
     pairs = cut(_count(coded, (2,), bits, skipped, least), "pairs")
