@@ -128,10 +128,11 @@ def test_require_columns(spark):
         FR.require_columns(bars(spark), ["tic", "volume"])
 
 
-def test_correlation_columns():
+def test_pick_columns():
     wide = [f"c{i}" for i in range(16)]
-    assert FR.correlation_columns(wide[:15]) == wide[:15] and FR.correlation_columns(wide) == wide[:15]
-    assert FR.correlation_columns([*wide, "close", "sentiment_label"]) == ["sentiment_label", "close"]
+    assert FR.pick_columns(wide[:15]) == wide[:15] and FR.pick_columns(wide) == wide[:15]
+    assert FR.pick_columns([*wide, "close", "sentiment_label"]) == ["sentiment_label", "close"]
+    assert FR.pick_columns(wide, ["c9", "c2", "none", "c4"], 2) == ["c9", "c2"]
 
 
 def test_json_list_and_single_object(spark, tmp_path):
@@ -197,7 +198,7 @@ def test_scoring_skips_blanks_and_keeps_rows(spark):
 
     df = spark.createDataFrame([(i, t) for i, t in enumerate(["a", " ", None, "b", "c", "d"])], "id int, t string")
     got = {r.id: (r.label, r.score) for r in SC.predict_sentiment(df, "t", make, batch=2).collect()}
-    valid = {r.id: (r.label, r.score) for r in SC.predict_valid_only(df, "id", "t", make).collect()}
+    valid = {r.id: (r.label, r.score) for r in SC.predict_valid_only(df, "t", make, 2).collect()}
     assert got == {0: ("positive", 0.5), 1: ("unknown", 0.0), 2: ("unknown", 0.0), 3: ("positive", 0.5), 4: ("positive", 0.5), 5: ("positive", 0.5)}
     assert valid.keys() == got.keys() and valid[1] == ("unknown", 0.0)
 

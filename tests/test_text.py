@@ -1,7 +1,7 @@
 """Cleaning and labels on hand-made texts."""
 
+import random
 import re
-import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,70 +9,67 @@ from pyspark.sql import functions as F
 from tickloom.functions import labels as L
 from tickloom.functions import text as X
 from tickloom.functions.constants import STOPWORDS
-
-SAMPLES = [
-    "This is a <b>sample</b> headline with a URL: http://example.com and some punctuation!",
-    "Stock prices for AAPL are soaring!!! www.finance.example/aapl?x=1 100%.",
-    "<p>HTML <i>only</i></p>",
-    "a <tag that\nspans> a line",
-    "UPPER lower Été über nbsp em\x1cfs",
-    "ht<i></i>tp://joined.example after",
-    "",
-    "   ",
-    "the and of",
-    None,
+from tickloom.operators import keywords as K
+
+CLEANED = [
+    ("A <em>ferry</em> left at dawn: see http://harbour.example/log now!", "ferry left dawn see"),
+    ("Goats, goats & more GOATS!!! www.valley.example/goat?x=1 7%.", "goats goats goats 7"),
+    ("<div>only <u>words</u></div>", "words"),
+    ("mill <tag that\nspans> stone", "mill tag spans stone"),
+    ("LOUD quiet Été über\u00a0tree\u2003bark\x1cleaf", "loud quiet été über tree bark leaf"),
+    ("ht<b></b>tp://joined.example after", ""),
+    ("", ""),
+    ("   ", ""),
+    ("the and of", ""),
+    (None, None),
 ]
 
 
-def plain(text):
-    """The same steps one by one."""
-    if text is None:
-        return None
-    t = re.sub(r"<.*?>", "", text)
-    t = re.sub(r"http\S+|www\S+|https\S+", "", t)
-    t = t.lower().translate(str.maketrans("", "", string.punctuation))
-    return " ".join(w for w in t.split() if w not in STOPWORDS)
-
-
 def test_process_text(spark):
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(SAMPLES)], "i int, t string")
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CLEANED)], "i int, t string")
     got = [r.p for r in df.withColumn("p", X.process_text("t")).orderBy("i").collect()]
-    assert got == [plain(t) for t in SAMPLES]
+    assert got == [want for _, want in CLEANED]
 
 
 def test_stopwords_are_the_built_in_list():
     assert len(STOPWORDS) == 127 and len(set(STOPWORDS)) == 127
 
 
+RISE, FALL = ["ripe", "harvest", "sunny", "fair wind"], ["frost", "blight", "storm"]
 KEYWORD_CASES = [
-    ("The company reported record profits and excellent growth.", "positive"),
-    ("Stock prices plummeted after the disastrous earnings call.", "negative"),
-    ("The market remained flat today.", "neutral"),
-    ("growth growth growth but poor and weak", "negative"),
-    ("profitable is not profit-able", "positive"),
+    ("A sunny week, and the harvest is in.", "positive"),
+    ("Frost came early; the storm took the rest.", "negative"),
+    ("The ferry runs on Mondays.", "neutral"),
+    ("sunny sunny sunny, then frost and blight", "negative"),
+    ("ripened is not ripe-ish", "positive"),
+    ("a fair wind", "positive"),
+    ("fair\nwind", "neutral"),
     ("", "neutral"),
     (None, "neutral"),
-    ("égrowth is another word", "neutral"),
-    ("STRONG", "positive"),
+    ("éripe is another word", "neutral"),
+    ("HARVEST", "positive"),
 ]
-POS = ["profit", "excellent", "growth", "gains", "strong"]
-NEG = ["plummeted", "disastrous", "loss", "poor", "weak"]
-
-
-def plain_label(text):
-    if not text:
-        return "neutral"
-    low = text.lower()
-    net = sum(bool(re.search(rf"\b{re.escape(k)}\b", low)) for k in POS) - sum(
-        bool(re.search(rf"\b{re.escape(k)}\b", low)) for k in NEG
-    )
-    return "positive" if net > 0 else "negative" if net < 0 else "neutral"
 
 
 def test_keyword_label(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(KEYWORD_CASES)], "i int, t string")
-    got = [r.l for r in df.withColumn("l", X.keyword_label("t", POS, NEG)).orderBy("i").collect()]
-    assert got == [want for _, want in KEYWORD_CASES] == [plain_label(t) for t, _ in KEYWORD_CASES]
+    got = [r.l for r in df.withColumn("l", X.keyword_label("t", RISE, FALL)).orderBy("i").collect()]
+    assert got == [want for _, want in KEYWORD_CASES]
+
+
+def test_keyword_index_equals_keyword_hits(spark):
+    rng = random.Random(2)
+    parts = ["ripe", "harvest", "été", "c++", "a+b", "$$", "%x", "fair wind", "wind fair", "9.5", "x_y"]
+    words = sorted({" ".join(rng.choice(parts) for _ in range(rng.randint(1, 2))) for _ in range(60)})
+    texts = ["".join(rng.choice([*parts, "wind", "fair", "Ripe"]) + rng.choice([" ", " ", "-", "", "  ", "."]) for _ in range(rng.randint(0, 12))) for _ in range(80)]
+    df = spark.createDataFrame([*enumerate(texts), (98, None), (99, "")], "id int, t string")
+    keywords = spark.createDataFrame([(w.upper(), i % 2 == 0) for i, w in enumerate(words)] + [(words[0].upper(), True), ("", True)], "keyword string, positive boolean")
+    found = K.keyword_counts(df, "id", "t", keywords, ["positive"])
+    got = {(r.id, r.positive): r.hits for r in found.collect()}
+    for side in (True, False):
+        chosen = [w for i, w in enumerate(words) if (i % 2 == 0) == side]
+        for r in df.withColumn("n", X.keyword_hits(F.lower("t"), chosen)).collect():
+            assert got.get((r.id, side), 0) == (r.n or 0), (r.t, side)
 
 
 def test_keywords_with_signs(spark):

@@ -7,11 +7,12 @@ from pyspark.sql import types as T
 
 from tickloom.catalog import sql as S
 from tickloom.catalog.features import SCORER
-from tickloom.catalog.indicators import MACD, RSI
+from tickloom.catalog.indicators import BASKETS, MACD, RSI, basket_turbulence
 from tickloom.catalog.registry import query
 from tickloom.plans import finetune as FT
 from tickloom.plans import inputs as I
 from tickloom.plans import one_day as OD
+from tickloom.plans.daily_features import build_features
 from tickloom.plans.market_sentiment import market_with_sentiment
 from tickloom.session import cut, scratch_path
 
@@ -33,6 +34,21 @@ def chain_market(spark, folder):
     return market_with_sentiment(I.bars_daily(spark, folder), news, SCORER, ("close_20_sma", "rsi_14"))
 
 
+@query(
+    "chain_features_risk",
+    f"""WITH {BASKETS}, idx AS (SELECT date, avg(close) AS vix FROM bars GROUP BY 1)
+    -- result
+    SELECT date, tic, vix, round(turbulence, 4) AS turbulence, coalesce(turbulence > 6, false) AS risk_off FROM bars LEFT JOIN idx USING (date) LEFT JOIN turb USING (date)""",
+    doubles="vix turbulence", dates="date",
+)
+def chain_features_risk(spark, folder):
+    """The feature job with market index, turbulence of baskets and risk flag."""
+    bars = I.bars_long(spark, folder)
+    index = bars.groupBy("date").agg(F.avg("close").alias("level"))
+    out = build_features(bars, None, SCORER, ("close_20_sma",), index, fill_gaps=False, risk=basket_turbulence, threshold=6.0)
+    return out.select("date", "tic", "vix", F.round("turbulence", 4).alias("turbulence"), "risk_off")
+
+
 @query(
     "chain_one_day",
     f"""WITH RECURSIVE {S.BARS_DAILY}, {S.NEWS}, {S.smoothed()}, today AS MATERIALIZED (SELECT {S.processed('headline')} AS t FROM news WHERE date = DATE '2024-01-29'),

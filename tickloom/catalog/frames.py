@@ -224,7 +224,7 @@ def b19(spark, folder):
 def b20(spark, folder):
     bars = I.bars_daily(spark, folder)
     wide = bars.withColumns({f"extra_{i}": F.col("close") for i in range(12)})
-    return wide.select(*X.correlation_columns(X.numeric_columns(wide)))
+    return wide.select(*X.pick_columns(X.numeric_columns(wide)))
 
 
 @query("b21_enabled_switch", f"WITH {S.BARS_DAILY} -- result\n SELECT *, 1 AS kept FROM bars", doubles=S.OHLC, dates="date")

@@ -247,6 +247,28 @@ def w14(spark, folder):
     return TB.turbulence(long_closes(spark, folder))
 
 
+BASKETS = f"""{S.BARS_LONG}, r AS (SELECT date, tic, close / lag(close) OVER {"(PARTITION BY tic ORDER BY date)"} - 1 AS ret FROM bars),
+    b AS (SELECT date, CAST(substr(tic, 7, 1) AS INTEGER) % 3 AS basket, avg(ret) AS ret FROM r WHERE ret IS NOT NULL GROUP BY 1, 2),
+    x AS (SELECT date, max(ret) FILTER (basket = 0) AS x, max(ret) FILTER (basket = 1) AS y, max(ret) FILTER (basket = 2) AS z FROM b GROUP BY date HAVING count(*) = 3),
+    m AS (SELECT date, row_number() OVER o - 1 AS session, x - avg(x) OVER v AS u, y - avg(y) OVER v AS v, z - avg(z) OVER v AS w, var_samp(x) OVER v AS a,
+      var_samp(y) OVER v AS b, var_samp(z) OVER v AS c, covar_samp(x, y) OVER v AS d, covar_samp(x, z) OVER v AS e, covar_samp(y, z) OVER v AS f
+      FROM x WINDOW o AS (ORDER BY date), v AS (ORDER BY date ROWS BETWEEN 252 PRECEDING AND 1 PRECEDING)),
+    turb AS (SELECT date, CASE WHEN session > 252 THEN ((b * c - f * f) * u * u + (a * c - e * e) * v * v + (a * b - d * d) * w * w
+      + 2 * (e * f - c * d) * u * v + 2 * (d * f - b * e) * u * w + 2 * (d * e - a * f) * v * w)
+      / (a * (b * c - f * f) - d * (d * c - e * f) + e * (d * f - b * e)) ELSE 0.0 END AS turbulence FROM m)"""
+
+
+def basket_turbulence(bars):
+    """Turbulence of three baskets of brands, with their full covariance."""
+    basket = (F.substring("tic", 7, 1).cast("int") % 3).cast("string")
+    return TB.turbulence_of_returns(TB.basket_returns(bars.select("date", "tic", "close"), basket))
+
+
+@query("w14_turbulence_baskets", f"WITH {BASKETS} -- result\n SELECT * FROM turb", doubles="turbulence", dates="date", digits=4)
+def w14_baskets(spark, folder):
+    return basket_turbulence(long_closes(spark, folder))
+
+
 @query(
     "w15_turbulence_diag",
     f"""WITH {S.BARS_LONG}, r AS (SELECT date, tic, close / lag(close) OVER w - 1 AS ret FROM bars {W}),

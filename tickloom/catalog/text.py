@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tickloom.catalog import sql as S
@@ -10,6 +11,7 @@ from tickloom.functions import labels as L
 from tickloom.functions import text as X
 from tickloom.functions.constants import FEATURE_PROMPT_TEMPLATE, PROMPT_TEMPLATE
 from tickloom.operators import curation as C
+from tickloom.operators import keywords as KW
 from tickloom.operators import scoring as SC
 from tickloom.plans import inputs as I
 from tickloom.sources.normalize import nested_source
@@ -74,6 +76,27 @@ def _prompt_sql(template: str, hole: str, column: str) -> str:
     return f"{quote(before)} || {column} || {quote(after)}"
 
 
+@query(
+    "t8_keyword_index",
+    r"""WITH d AS (SELECT doc_id, string_split(lower(text), ' ') AS p FROM documents),
+    k AS (SELECT lower(regexp_extract(text, '[^ \n]+ [^ \n]+')) AS keyword, doc_id % 2 = 0 AS positive FROM documents),
+    kinds AS (SELECT keyword, min(positive) AS positive FROM k WHERE regexp_matches(keyword, '^[a-z]+ [a-z]+$') GROUP BY keyword),
+    pairs AS (SELECT DISTINCT doc_id, regexp_extract(p[i], '([\p{L}\p{N}_]+)$', 1) || ' ' || regexp_extract(p[i + 1], '^([\p{L}\p{N}_]+)', 1) AS keyword
+      FROM d, unnest(range(1, len(p))) AS u(i)),
+    hits AS (SELECT doc_id, positive, count(*) AS n FROM pairs JOIN kinds USING (keyword) GROUP BY ALL)
+    -- result
+    SELECT doc_id, coalesce(sum(n) FILTER (positive), 0)::BIGINT AS positive, coalesce(sum(n) FILTER (NOT positive), 0)::BIGINT AS negative FROM hits GROUP BY doc_id""",
+)
+def t8_index(spark, folder):
+    """Texts that hold one of many phrases: the first two words of every document."""
+    texts = docs(spark, folder).select("doc_id", "text")
+    phrases = texts.select(F.lower(F.regexp_extract("text", r"[^ \n]+ [^ \n]+", 0)).alias("keyword"), (F.col("doc_id") % 2 == 0).alias("positive"))
+    kinds = phrases.where(F.col("keyword").rlike("^[a-z]+ [a-z]+$")).groupBy("keyword").agg(F.min("positive").alias("positive"))
+    hits = KW.keyword_counts(texts, "doc_id", "text", kinds, ["positive"])
+    side = lambda c: F.coalesce(F.sum(F.when(c, F.col("hits"))), F.lit(0)).cast("bigint")
+    return hits.groupBy("doc_id").agg(side(F.col("positive")).alias("positive"), side(~F.col("positive")).alias("negative"))
+
+
 @query(
     "t9_format_prompt",
     f"-- result\n SELECT doc_id, {_prompt_sql(PROMPT_TEMPLATE, 'text', 'text')} AS prompt, {_prompt_sql(FEATURE_PROMPT_TEMPLATE, 'input', 'text')} AS feature_prompt FROM documents",
@@ -248,21 +271,21 @@ def t20(spark, folder):
 
 @query("f1_predict_sentiment", f"WITH d AS (SELECT doc_id, lower(text) AS t FROM documents) -- result\n SELECT doc_id, {S.label('t')} AS label, 1.0::DOUBLE AS score FROM d")
 def f1(spark, folder):
-    make = SC.keyword_scorer(I.POSITIVE, I.NEGATIVE)
+    make = SC.word_scorer(I.POSITIVE, I.NEGATIVE)
     return SC.predict_sentiment(docs(spark, folder), "text", make).select("doc_id", "label", "score")
 
 
 @query(
     "f2_predict_valid_only",
-    f"""WITH d AS (SELECT doc_id, CASE WHEN lang = 'fr' THEN '  ' ELSE lower(text) END AS t FROM documents)
+    f"""WITH d AS (SELECT doc_id, lower(text) AS t FROM documents UNION ALL SELECT -1 - doc_id, ' ' || chr(10) FROM documents)
     -- result
-    SELECT doc_id, CASE WHEN trim(t) = '' THEN 'unknown' ELSE {S.label('t')} END AS label, CASE WHEN trim(t) = '' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS score FROM d""",
+    SELECT doc_id, CASE WHEN doc_id < 0 THEN 'unknown' ELSE {S.label('t')} END AS label, CASE WHEN doc_id < 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS score FROM d""",
 )
 def f2(spark, folder):
-    make = SC.keyword_scorer(I.POSITIVE, I.NEGATIVE)
-    blanked = F.when(F.col("lang") == "fr", F.lit("  ")).otherwise(F.col("text"))
-    rows = docs(spark, folder).select("doc_id", blanked.alias("text"))
-    return SC.predict_valid_only(rows, "doc_id", "text", make).select("doc_id", "label", "score")
+    make = SC.word_scorer(I.POSITIVE, I.NEGATIVE)
+    full = docs(spark, folder).select("doc_id", "text")
+    rows = full.unionByName(full.select((-1 - F.col("doc_id")).alias("doc_id"), F.lit(" \n").alias("text")))
+    return SC.predict_valid_only(rows, "text", make).select("doc_id", "label", "score")
 
 
 @query(
@@ -272,7 +295,7 @@ def f2(spark, folder):
 )
 def f3(spark, folder):
     def make():
-        return lambda x: [1.0 if 2 * d - t > 0.05 else -1.0 for d, t in zip(x["l_discount"], x["l_tax"])]
+        return lambda x: np.where(2 * x["l_discount"] - x["l_tax"] > 0.05, 1.0, -1.0)
 
     line = I.table(spark, folder, "lineitem").withColumn("l_linenumber", F.col("l_linenumber").cast("long"))
     return SC.batch_predict(line, ["l_discount", "l_tax"], make, ["l_orderkey", "l_linenumber"])

@@ -75,13 +75,11 @@ SENTIMENT_FEATURES = (
 PRICE_FEATURES = (*OHLCV, "macd", "rsi_30")
 
 
-def correlation_columns(numeric: Sequence[str], limit: int = 15) -> list[str]:
-    """All numeric columns up to the limit; beyond it sentiment columns first, then prices, else the first ones."""
-    if len(numeric) <= limit:
-        return list(numeric)
-    chosen = [c for c in SENTIMENT_FEATURES if c in numeric]
-    chosen += [c for c in PRICE_FEATURES if c in numeric][: limit - len(chosen)]
-    return chosen or list(numeric)[:limit]
+def pick_columns(numeric: Sequence[str], preferred: Sequence[str] = (*SENTIMENT_FEATURES, *PRICE_FEATURES), limit: int = 15) -> list[str]:
+    """At most `limit` columns: all if so few, else the preferred ones in their order, else the first ones."""
+    few = len(numeric) <= limit
+    known = list(numeric) if few else sorted(set(numeric) & set(preferred), key=list(preferred).index)
+    return (known or list(numeric))[:limit]
 
 
 def step_if(enabled: bool, df: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,23 +15,15 @@ Scorer = Callable[[list[str]], list[dict]]
 BATCH = 32
 
 
-def keyword_scorer(positive: Sequence[str], negative: Sequence[str]) -> Callable[[], Scorer]:
-    """Factory of the default scorer: the label of the keyword lists with score 1."""
-    import re
-
-    def patterns(words: Sequence[str]):
-        return [re.compile(rf"\b{re.escape(w.lower())}\b") for w in words]
+def word_scorer(positive: Sequence[str], negative: Sequence[str]) -> Callable[[], Scorer]:
+    """Factory of a scorer for single words: the side of which a text has more different words, with score 1."""
+    sides = {w.lower(): 1 for w in positive} | {w.lower(): -1 for w in negative}
+    names = {-1: "negative", 0: "neutral", 1: "positive"}
 
     def make() -> Scorer:
-        pos, neg = patterns(positive), patterns(negative)
-
         def score(texts: list[str]) -> list[dict]:
-            out = []
-            for text in texts:
-                low = text.lower()
-                net = sum(bool(p.search(low)) for p in pos) - sum(bool(p.search(low)) for p in neg)
-                out.append({"label": "positive" if net > 0 else "negative" if net < 0 else "neutral", "score": 1.0})
-            return out
+            nets = (sum(sides[w] for w in set(re.findall(r"\w+", t.lower())) & sides.keys()) for t in texts)
+            return [{"label": names[(n > 0) - (n < 0)], "score": 1.0} for n in nets]
 
         return score
 
@@ -42,14 +36,10 @@ def score_column(make: Callable[[], Scorer], batch: int = BATCH) -> Callable[[Co
     def run(batches):
         scorer = make()
         for texts in batches:
-            label = pd.Series([None] * len(texts), dtype=object)
-            score = pd.Series([0.0] * len(texts))
-            at = [i for i, t in enumerate(texts) if isinstance(t, str) and t.strip()]
-            for start in range(0, len(at), batch):
-                part = at[start : start + batch]
-                for i, result in zip(part, scorer([texts.iloc[i] for i in part])):
-                    label.iloc[i], score.iloc[i] = result["label"], float(result["score"])
-            yield pd.DataFrame({"label": label, "score": score})
+            given = texts[texts.notna() & (texts.str.strip() != "")]
+            results = [r for start in range(0, len(given), batch) for r in scorer(given.iloc[start : start + batch].tolist())]
+            known = pd.DataFrame({"label": [r["label"] for r in results], "score": [float(r["score"]) for r in results]}, index=given.index)
+            yield known.reindex(texts.index).fillna({"score": 0.0}).astype({"label": object})
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(run, "label string, score double")
@@ -63,12 +53,11 @@ def predict_sentiment(df: DataFrame, text: str, make: Callable[[], Scorer], batc
     }).drop("_s")
 
 
-def predict_valid_only(df: DataFrame, key: str, text: str, make: Callable[[], Scorer]) -> DataFrame:
-    """Score only rows with text. Both sides come from one scan, so the others are put back without a join."""
-    has_text = F.coalesce(F.col(text), F.lit("")).rlike(r"(?U)\S")
-    valid = predict_sentiment(df.filter(has_text), text, make)
-    rest = df.filter(~has_text).withColumns({"label": F.lit("unknown"), "score": F.lit(0.0)})
-    return valid.unionByName(rest)
+def predict_valid_only(df: DataFrame, text: str, make: Callable[[], Scorer], batch: int = BATCH) -> DataFrame:
+    """Score only rows with text, in one pass: the text of other rows is not sent to the workers, and they stay unknown."""
+    has_text = F.coalesce(F.col(text).rlike(r"(?U)\S"), F.lit(False))
+    sent = df.withColumn("_sent", F.when(has_text, F.col(text)))
+    return predict_sentiment(sent, "_sent", make, batch).drop("_sent")
 
 
 def batch_predict(
@@ -81,8 +70,7 @@ def batch_predict(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = make()
         for batch in batches:
-            out = batch[list(keep)].copy()
-            out[name] = [float(v) for v in predict(batch[list(features)])]
-            yield out
+            values = np.asarray(predict(batch[list(features)]), dtype=float)
+            yield batch[list(keep)].assign(**{name: values})
 
     return df.select(*dict.fromkeys([*keep, *features])).mapInPandas(run, schema)

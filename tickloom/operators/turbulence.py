@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.returns import daily_returns
@@ -114,8 +114,25 @@ def turbulence(
     follows from the (sessions x sessions) Gram matrix, to which every group adds its part, so no task sees
     all tickers. Tickers with a gap in the window are left out of that day.
     """
+    returns = daily_returns(bars.select(*series.key, series.order, "close"), "close", series)
+    return turbulence_of_returns(returns, lookback, block_sessions, tickers_per_task, series)
+
+
+def basket_returns(bars: DataFrame, basket: Column, series: Series = DAILY) -> DataFrame:
+    """(key, date, ret): mean return of each basket of tickers, on the days on which all baskets have one."""
+    returns = daily_returns(bars.select(*bars.columns), "close", series).where("ret IS NOT NULL")
+    means = returns.groupBy(basket.alias(series.key[0]), series.order).agg(F.avg("ret").alias("ret"))
+    count = bars.agg(F.count_distinct(basket).alias("n")).scalar()
+    full = means.groupBy(series.order).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == count)
+    return means.join(full.select(series.order), series.order)
+
+
+def turbulence_of_returns(
+    returns: DataFrame, lookback: int = LOOKBACK, block_sessions: int = 63, tickers_per_task: int = 2000,
+    series: Series = DAILY,
+) -> DataFrame:
+    """turbulence() of a table (key, date, ret), of tickers or of baskets of them."""
     key = series.key[0]
-    returns = daily_returns(bars.select(key, series.order, "close"), "close", series)
     # One row per session; numbering them is a window over the calendar only.
     sessions = (
         returns.select(series.order).distinct()
@@ -130,8 +147,8 @@ def turbulence(
         F.col(key).alias("tic"), "session", "ret", home.alias("home"),
     ).select("block", "tic", "session", "ret", (F.col("home") == F.col("block")).alias("own"))
     # Few bytes but much arithmetic: a stated partition count keeps the groups from being merged into few tasks.
-    tasks = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = math.ceil(bars.select(key).distinct().count() / tickers_per_task)
+    tasks = int(returns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = math.ceil(returns.select(key).distinct().count() / tickers_per_task)
     if groups <= 1:
         found = spread.repartition(tasks, "block").groupBy("block").applyInPandas(
             lambda pdf: _distances(pdf, lookback), "session long, turbulence double"

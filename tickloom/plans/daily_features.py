@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 
 from tickloom.functions.labels import label_scores
 from tickloom.functions.text import keyword_label, process_text
-from tickloom.operators.bars import forward_fill
-from tickloom.operators.features import join_market_index, join_ticker_sentiment
+from tickloom.operators.bars import forward_fill, risk_gate
+from tickloom.operators.features import join_market_index, join_ticker_sentiment, join_turbulence
 from tickloom.operators.indicators import DEFAULT_PACK, indicator_pack
 from tickloom.operators.series import DAILY, Series
 from tickloom.session import cut
@@ -46,8 +46,14 @@ def build_features(
     index: DataFrame | None = None,
     fill_gaps: bool = True,
     series: Series = DAILY,
+    risk: Callable[[DataFrame], DataFrame] | None = None,
+    threshold: float = 100.0,
+    index_column: str = "vix",
 ) -> DataFrame:
-    """Gap-filled bars, indicators, market index and daily sentiment.
+    """Gap-filled bars, indicators, market index, turbulence of the day with a risk flag, and daily sentiment.
+
+    `risk` makes (date, turbulence) of the bars; it is joined where the market index is usable, and the flag tells whether it
+    is over `threshold`.
 
     Bars are read by several steps, so they are written once to the shared scratch folder: the ticks below
     them, far larger, are scanned once. The rest is one lazy plan.
@@ -56,5 +62,7 @@ def build_features(
     out = cut(forward_fill(bars, series=series), "filled") if fill_gaps else bars
     out = indicator_pack(out, indicators, series)
     if index is not None:
-        out = join_market_index(out, index)
+        out = join_market_index(out, index, index_column)
+    if risk is not None:
+        out = risk_gate(join_turbulence(out, cut(risk(bars), "turbulence"), index_column), threshold=threshold)
     return sentiment_features(out, news, scorer)
