@@ -5,8 +5,8 @@ occurs unchanged in the longer one, at a place that the edits left and right of
 Pairs that meet are verified with a bit-parallel edit distance over a band of 2 tau + 1 diagonals. Up to tau = TAU edits are
 allowed, and no more than one in EACH code points of the shorter line.
 
-Where many lines share a segment, they are put into blocks, and a probing line meets blocks: letter counts tell within them
-which lines may be near, so only those become rows.
+Lines that share a segment are put into blocks, and a probing line meets blocks: letter counts tell within them which lines
+may be near, so only those become rows.
 """
 
 from __future__ import annotations
@@ -21,8 +21,7 @@ from tickloom.session import cut
 TAU = 2  # edits between lines that are near duplicates
 EACH = 10  # code points for an edit
 LETTERS = "entrai"  # counted to tell pairs apart before their edit distance is found
-FREQUENT = 32  # lines of a key that meet singly
-BLOCK = 256  # lines of a block of a more frequent key
+BLOCK = 256  # lines of a block of a key, about
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -52,7 +51,8 @@ def _places(tau: int) -> list[tuple[int, int, int]]:
 
 
 def _keys(sized: DataFrame, places: list[tuple[int, int, int]], tau: int, name: str, lengths: tuple[int, int | None]) -> DataFrame:
-    """(name, key) of every line of (line_id, line, length) and place that lies within it, for shorter lines of these lengths.
+    """(name, letters, key) of every line of (line_id, line, length, letters) and place that lies within it, for shorter lines of these
+    lengths.
 
     A row for each place, whose key is found afterwards: one expression for all places is too long for the JIT compiler.
     """
@@ -64,7 +64,7 @@ def _keys(sized: DataFrame, places: list[tuple[int, int, int]], tau: int, name:
     start, size = _segment(F.col("length") - F.col("p.shorter"), F.col("p.i"), tau)
     placed = placed.withColumns({"at": start + F.col("p.shift"), "size": size}).where("at >= 0 and at + size <= length")
     key = F.xxhash64(F.substring(F.col("line"), F.col("at") + 1, F.col("size")), "p.i", F.col("length") - F.col("p.shorter"))
-    return placed.select(F.col("line_id").alias(name), key.alias("key"))
+    return placed.select(F.col("line_id").alias(name), "letters", key.alias("key"))
 
 
 def _bound(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
@@ -156,35 +156,28 @@ def _distance(x: Column, y: Column, m: Column, n: Column, tau: int) -> Column:
 
 
 def _letters(text: Column) -> Column:
-    """The counts of some letters, in one number of a byte for each; counts over 127 are as 127, which only brings lines closer."""
-    count = lambda k, x: F.shiftleft(F.least(F.length(text) - F.length(F.replace(text, F.lit(x), F.lit(""))), F.lit(127)).cast("bigint"), 8 * k)
-    return sum((count(k, x) for k, x in enumerate(LETTERS[1:], 1)), count(0, LETTERS[0]))
+    """The counts of some letters, in one number of five bits for each; counts over 31 are as 31, which only brings lines closer."""
+    count = lambda k, x: F.shiftleft(F.least(F.length(text) - F.length(F.replace(text, F.lit(x), F.lit(""))), F.lit(31)), 5 * k)
+    return sum((count(k, x) for k, x in enumerate(LETTERS[1:], 1)), count(0, LETTERS[0])).cast("int")
 
 
 def _may_be_near(a: Column, b: Column, tau: int) -> Column:
     """False only for letter counts of strings more than `tau` edits apart: an edit changes two counts by one at most."""
-    count = lambda c, k: F.shiftright(c, 8 * k).bitwiseAND(F.lit(127))
+    count = lambda c, k: F.shiftright(c, 5 * k).bitwiseAND(F.lit(31))
     return sum((F.abs(count(a, k) - count(b, k)) for k in range(1, len(LETTERS))), F.abs(count(a, 0) - count(b, 0))) <= 2 * tau
 
 
-def _met(index: DataFrame, probe: DataFrame, counts: DataFrame, tau: int) -> DataFrame:
-    """(a, b) of the lines of `index` (a, key) and `probe` (b, key) with a common key whose letter `counts` (line_id, letters) agree.
+def _met(index: DataFrame, probe: DataFrame, tau: int) -> DataFrame:
+    """(a, b) of the lines of `index` (a, letters, key) and `probe` (b, letters, key) with a common key whose letters agree.
 
-    Where a key has few lines they meet singly. The others are put into blocks of bounded size, and only lines whose letters
-    agree leave the block.
+    The lines of a key are dealt to as many blocks as the most frequent key needs; a key of few lines has a block for each.
     """
-    index, probe = cut(index, "segments"), cut(probe, "probes")
-    often = index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > FREQUENT)
-    often = cut(often.select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")), "frequent-segments")
-    of = counts.select(F.col("line_id").alias("a"), "letters")
-    rare = index.join(often, "key", "left_anti").join(probe, "key").where("a <> b").select("a", "b").distinct()
-    rare = rare.join(of, "a").join(of.toDF("b", "other"), "b").where(_may_be_near(F.col("letters"), F.col("other"), tau)).select("a", "b")
-    frequent = index.join(often, "key").join(of, "a")
-    blocks = frequent.groupBy("key", F.pmod(F.xxhash64("a", F.lit(1)), "blocks").alias("block")).agg(F.collect_list(F.struct("a", "letters")).alias("lines"))
-    probing = probe.join(often.select("key"), "key").join(of.toDF("b", "letters"), "b")
+    most = index.groupBy("key").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first().n or 0
+    place = F.pmod(F.xxhash64("a", F.lit(1)), F.lit(-(-most // BLOCK) or 1))
+    blocks = index.groupBy("key", place.alias("block")).agg(F.collect_list(F.struct("a", "letters")).alias("lines"))
     near = lambda x: (x["a"] != F.col("b")) & _may_be_near(x["letters"], F.col("letters"), tau)
-    kept = probing.join(blocks, "key").select("b", F.filter("lines", near).alias("lines")).where("size(lines) > 0")
-    return rare.unionByName(kept.select(F.explode("lines.a").alias("a"), "b")).distinct()
+    kept = probe.join(blocks, "key").select("b", F.filter("lines", near).alias("lines")).where("size(lines) > 0")
+    return kept.select(F.explode("lines.a").alias("a"), "b").distinct()
 
 
 def near_lines(classes: DataFrame, tau: int = TAU, each: int = EACH) -> DataFrame:
@@ -192,8 +185,7 @@ def near_lines(classes: DataFrame, tau: int = TAU, each: int = EACH) -> DataFram
 
     `classes` has (line_id, line), a row for each different line.
     """
-    table = cut(classes.select("line_id", "line", F.char_length("line").cast("int").alias("length")).where(F.col("length") >= max(each, 2)), "lines")
-    counts = cut(table.select("line_id", _letters(F.col("line")).alias("letters")), "letters")
+    table = classes.select("line_id", "line", F.char_length("line").cast("int").alias("length")).where(F.col("length") >= max(each, 2))
     found = []
     for edits in range(1, tau + 1):
         # Lines of fewer code points than edits + 1 have no segments.
@@ -201,9 +193,10 @@ def near_lines(classes: DataFrame, tau: int = TAU, each: int = EACH) -> DataFram
         if last is not None and last < first:
             continue
         sized = table.where(F.col("length") >= first) if last is None else table.where(F.col("length").between(first, last + edits))
+        sized = sized.withColumn("letters", _letters(F.col("line")))
         index = _keys(sized, [(0, i, 0) for i in range(edits + 1)], edits, "a", (first, last))
         probe = _keys(sized, _places(edits), edits, "b", (first, last))
-        met = cut(_met(index, probe, counts, edits), "met")
+        met = cut(_met(index, probe, edits), "met")
         both = met.join(table.select(F.col("line_id").alias("a"), F.col("line").alias("x")), "a").join(table.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b")
         near = both.where(within(F.col("x"), F.col("y"), edits))
         found.append(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
