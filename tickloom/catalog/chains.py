@@ -36,7 +36,7 @@ def chain_market(spark, folder):
 
 @query(
     "chain_features_risk",
-    f"""WITH {BASKETS}, idx AS (SELECT date, avg(close) AS vix FROM bars GROUP BY 1)
+    f"""WITH {BASKETS}, idx AS (SELECT date, CAST(sum(volume) AS DOUBLE) AS vix FROM bars GROUP BY 1)
     -- result
     SELECT date, tic, vix, round(turbulence, 4) AS turbulence, coalesce(turbulence > 6, false) AS risk_off FROM bars LEFT JOIN idx USING (date) LEFT JOIN turb USING (date)""",
     doubles="vix turbulence", dates="date",
@@ -44,7 +44,7 @@ def chain_market(spark, folder):
 def chain_features_risk(spark, folder):
     """The feature job with market index, turbulence of baskets and risk flag."""
     bars = I.bars_long(spark, folder)
-    index = bars.groupBy("date").agg(F.avg("close").alias("level"))
+    index = bars.groupBy("date").agg(F.sum("volume").cast("double").alias("level"))
     out = build_features(bars, None, SCORER, ("close_20_sma",), index, fill_gaps=False, risk=basket_turbulence, threshold=6.0)
     return out.select("date", "tic", "vix", F.round("turbulence", 4).alias("turbulence"), "risk_off")
 
