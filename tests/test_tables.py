@@ -151,7 +151,7 @@ def test_blank_files_are_left_out(spark, tmp_path):
 
 def test_sources_without_any_left(spark):
     with pytest.raises(ValueError):
-        R.scan_sources([{"name": "off", "enabled": False, "read": lambda: None}])
+        R.scan_sources(spark, [{"name": "off", "enabled": False, "read": lambda: None}])
 
 
 def test_fallback_only_when_empty(spark):

@@ -10,6 +10,7 @@ from tickloom.operators import drift as D
 from tickloom.operators import profile as P
 from tickloom.operators import sketches as SK
 from tickloom.plans import inputs as I
+from tickloom.session import scratch_path
 from tickloom.session import cut
 
 
@@ -305,6 +306,27 @@ def m8(spark, folder):
     return D.latest_metrics(metrics)
 
 
+@query(
+    "m8_appended_metrics",
+    """WITH m AS (SELECT event_type AS run, 'k' || user_id % 7 AS key, event_id AS step, value FROM events),
+    a AS (SELECT run, key, step, CASE WHEN run = 'error' AND step % 3 = 0 THEN value + 1 ELSE value END AS value FROM m) -- result
+    SELECT run, key, count(*) AS steps, max(step) AS step, arg_max(value, step) AS value FROM a GROUP BY 1, 2""",
+    doubles="value",
+)
+def m8_appended(spark, folder):
+    """Every run is appended, two of them twice, and the run of errors has a second attempt at every third step."""
+    path = scratch_path(spark, "metrics")
+    events = I.table(spark, folder, "events").select(
+        "event_type", F.concat(F.lit("k"), F.pmod("user_id", F.lit(7))).alias("key"), "value", F.col("event_id").alias("step"))
+    for run in (*I.TICKERS, "view", "error"):
+        D.append_metrics(events.where(F.col("event_type") == run), path, run)
+    again = events.where("event_type = 'error' and step % 3 = 0").withColumn("value", F.col("value") + 1)
+    D.append_metrics(again, path, "error", attempt=1)
+    steps = D.stored_metrics(spark, path)
+    latest = D.latest_metrics(steps)
+    return latest.join(steps.groupBy("run", "key").agg(F.count("*").alias("steps")), ["run", "key"])
+
+
 @query(
     "m8_metric_history",
     """WITH m AS (SELECT event_type AS run, event_id AS step, value AS eval_loss, value / 100 AS eval_accuracy FROM events)

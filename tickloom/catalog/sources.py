@@ -14,6 +14,7 @@ from tickloom.plans import inputs as I
 from tickloom.session import scratch_path
 from tickloom.sources import normalize as N
 from tickloom.sources import readers as R
+from tickloom.sources import runs as RU
 from tickloom.sources import sinks as W
 
 DAILY = f"WITH {S.BARS_DAILY} -- result\n SELECT date, tic, open, high, low, close, CAST(volume AS DOUBLE) AS volume FROM bars"
@@ -80,10 +81,23 @@ def scan_date_partition(spark, folder):
 
 @query("scan_latest_snapshot", f"WITH {S.BARS_DAILY} -- result\n SELECT date, tic, close FROM bars WHERE tic <> 'view'", doubles="close", dates="date")
 def scan_latest_snapshot(spark, folder):
+    """The newest run broke off before it was listed, so the one before it is read."""
     path = scratch_path(spark, "runs")
-    W.sink_run_stamped(bars(spark, folder), path, "20240101_000000")
-    W.sink_run_stamped(bars(spark, folder).filter("tic <> 'view'"), path, "20240102_000000")
-    return R.scan_latest_run(spark, path).select("date", "tic", "close")
+    RU.publish_run(bars(spark, folder), path, "20240101_000000")
+    RU.publish_run(bars(spark, folder).filter("tic <> 'view'"), path, "20240102_000000")
+    bars(spark, folder).filter("tic = 'view'").write.parquet(f"{path}/rows/part=broken")
+    return RU.scan_newest_run(spark, path).select("date", "tic", "close")
+
+
+@query("scan_run_list", f"WITH {S.BARS_DAILY} -- result\n SELECT CASE tic WHEN 'view' THEN '20240101_000000' ELSE '20240102_000000' END AS run, CAST(0 AS BIGINT) AS attempt, count(*) AS n_rows FROM bars GROUP BY ALL")
+def scan_run_list(spark, folder):
+    """Rows of each finished run, counted while it was written; a run without rows and one that broke off are not listed."""
+    path = scratch_path(spark, "runs")
+    RU.publish_run(bars(spark, folder).filter("tic = 'view'"), path, "20240101_000000")
+    RU.publish_run(bars(spark, folder).filter("tic <> 'view'"), path, "20240102_000000")
+    RU.publish_run(bars(spark, folder).filter("close < 0"), path, "20240103_000000", skip_empty=True)
+    bars(spark, folder).write.parquet(f"{path}/rows/part=broken")
+    return RU.list_runs(spark, path)
 
 
 @query(
@@ -117,8 +131,12 @@ def scan_presplit(spark, folder):
     doubles="value total", dates="timestamp",
 )
 def scan_multi_source_union(spark, folder):
-    """A disabled source and one whose path is missing are left out."""
-    sources = [
+    """A disabled source and one whose path is missing, which is allowed, are left out."""
+    return R.scan_sources(spark, _sources(spark, folder), ["timestamp", "ticker"], allowed=["missing"])
+
+
+def _sources(spark, folder):
+    return [
         {"name": "events", "enabled": True, "read": lambda: I.table(spark, folder, "events").select(
             F.col("ts").alias("timestamp"), F.col("event_type").alias("ticker"), "value")},
         {"name": "orders", "enabled": True, "read": lambda: I.table(spark, folder, "orders").select(
@@ -126,7 +144,19 @@ def scan_multi_source_union(spark, folder):
         {"name": "off", "enabled": False, "read": lambda: I.table(spark, folder, "lineitem")},
         {"name": "missing", "enabled": True, "read": lambda: I.table(spark, folder, "no_such_table")},
     ]
-    return R.scan_sources(sources, ["timestamp", "ticker"])
+
+
+@query(
+    "scan_source_report",
+    """-- result
+    SELECT 'events' AS source, count(*) AS n_rows, CAST(NULL AS VARCHAR) AS reason FROM events UNION ALL SELECT 'orders', count(*), NULL FROM orders
+      UNION ALL SELECT 'off', 0, 'disabled' UNION ALL SELECT 'missing', 0, 'PATH_NOT_FOUND'""",
+)
+def scan_source_report(spark, folder):
+    """Rows of each source that was read, and the reason of each that was left out."""
+    both, left_out = R.read_sources(spark, _sources(spark, folder))
+    read = both.groupBy(F.col("source_table").alias("source")).agg(F.count("*").alias("n_rows"))
+    return read.unionByName(left_out.withColumn("n_rows", F.lit(0).cast("bigint")), allowMissingColumns=True)
 
 
 def _primary(spark, folder):
@@ -196,11 +226,22 @@ def sink_nonempty(spark, folder):
     return R.scan_parquet(spark, path).withColumns({"full_written": F.lit(wrote), "empty_written": F.lit(empty)})
 
 
-@query("sink_empty_with_header", f"WITH {S.BARS_DAILY} -- result\n SELECT date, tic, close FROM bars WHERE close < 0", dates="date")
+@query(
+    "sink_empty_with_header",
+    f"""WITH {S.BARS_DAILY} -- result
+    SELECT 'empty' AS part, 'date,tic,volume' AS line, true AS header UNION ALL SELECT 'full', 'date,tic,volume', true
+      UNION ALL SELECT 'full', CAST(date AS VARCHAR) || ',' || tic || ',' || volume, false FROM bars""",
+)
 def sink_empty(spark, folder):
-    df = bars(spark, folder).select("date", "tic", "close").filter("close < 0")
-    path = W.sink_with_schema(df, scratch_path(spark, "empty"))
-    return spark.read.parquet(path)
+    """Lines of the files written for no rows and for all rows."""
+    df, out = I.bars_daily(spark, folder).select("date", "tic", "volume"), []
+    for name, rows in (("empty", df.filter("close < 0")), ("full", df)):
+        path = W.sink_csv_with_header(rows, scratch_path(spark, "header"))
+        lines = spark.read.text(path).select(F.lit(name).alias("part"), F.col("value").alias("line"))
+        is_header = F.col("line").startswith("date,")
+        marked = lines.withColumn("header", is_header)
+        out += [marked.where("header").distinct(), marked.where("not header")]
+    return FR.union_sources(out)
 
 
 @query("sink_jsonl", f"WITH d AS (SELECT doc_id, text, lower(text) AS t FROM documents) -- result\n SELECT doc_id, text AS input, {S.label('t')} AS output FROM d")
@@ -256,6 +297,53 @@ def multi_output(spark, folder):
     return FR.union_sources([spark.read.parquet(texts), spark.read.parquet(labels)])
 
 
+def _payloads(spark, folder):
+    """Articles of both kinds; French ones of the second kind give their time as text, German ones carry a field more."""
+    news = I.news(spark, folder)
+    name, odd = F.col("source_name"), F.col("id") % 2 == 1
+    seconds = F.datediff("published_at", F.lit("1970-01-01").cast("date")).cast("long") * 86400
+    first = F.to_json(F.struct(
+        F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"), F.struct(name.alias("name")).alias("source"),
+        F.col("headline").alias("title"), F.col("summary").alias("description"), F.col("id").cast("string").alias("url")))
+    rest = (name.alias("source"), "headline", "summary", F.col("id").cast("string").alias("url"))
+    second = (
+        F.when(F.col("lang") == "fr", F.to_json(F.struct(F.lit("soon").alias("datetime"), *rest)))
+        .when(F.col("lang") == "de", F.to_json(F.struct(seconds.alias("datetime"), *rest, (F.col("id") % 2 == 1).alias("paid"))))
+        .otherwise(F.to_json(F.struct(seconds.alias("datetime"), *rest))))
+    return news.select(F.when(odd, second).otherwise(first).alias("raw"))
+
+
+@query(
+    "t20_any_payload",
+    f"""WITH {S.NEWS} -- result
+    SELECT CASE WHEN id % 2 = 0 OR lang <> 'fr' THEN CAST(CAST(epoch(published_at) AS BIGINT) AS VARCHAR) END AS seconds, source_name, headline, summary AS description,
+      CASE id % 2 WHEN 0 THEN 'primary' ELSE 'secondary' END AS api_source, CAST(id AS VARCHAR) AS url,
+      CASE WHEN id % 2 = 1 AND lang = 'de' THEN 'true' END AS paid FROM news""",
+)
+def t20_any_payload(spark, folder):
+    """Both kinds through one reader; a time given as text is NULL, an unknown field stays in the payload."""
+    read = N.any_news(_payloads(spark, folder))
+    paid = F.try_variant_get("payload", "$.paid", "boolean").cast("string")
+    out = _seconds(read.withColumn("paid", paid)).drop("payload")
+    return out.withColumn("seconds", F.col("seconds").cast("string"))
+
+
+@query(
+    "t20_changed_fields",
+    f"""WITH {S.NEWS}, k AS (SELECT id, lang FROM news WHERE id % 2 = 1) -- result
+    SELECT 'secondary' AS api_source, 'datetime' AS field, 'BIGINT' AS expected, 'STRING' AS type, count(*) AS n FROM k WHERE lang = 'fr' HAVING count(*) > 0
+      UNION ALL SELECT 'secondary', 'paid', NULL, 'BOOLEAN', count(*) FROM k WHERE lang = 'de' HAVING count(*) > 0""",
+)
+def t20_changed_fields(spark, folder):
+    """Fields whose type changed, and unknown ones."""
+    text = dict.fromkeys(("headline", "summary", "source", "url"), "STRING")
+    stated = {
+        "primary": dict.fromkeys(("publishedAt", "title", "description", "url"), "STRING") | {"source": "OBJECT"},
+        "secondary": text | {"datetime": "BIGINT"},
+    }
+    return N.changed_fields(N.payload_fields(N.any_news(_payloads(spark, folder))), stated)
+
+
 @query(
     "canonical_news",
     f"""WITH {S.NEWS} -- result

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.profile import unpivot
 from tickloom.operators.ranks import ordered_prefix
+from tickloom.sources.runs import publish_run, scan_runs
 
 REPORT = (
     "check string, column string, reference string, current string, shift_pct double, drifted boolean"
@@ -146,6 +147,16 @@ def label_quality(df: DataFrame, truth: str, predicted: str, alert_below: float
     )
 
 
+def append_metrics(metrics: DataFrame, path: str, run: str, attempt: int = 0) -> int:
+    """Add (key, value, step) of one attempt of a run to a metric table. The same attempt again changes nothing. Returns its rows."""
+    return publish_run(metrics.select("key", "value", "step"), path, run, attempt)
+
+
+def stored_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """(run, key, step, value) of a metric table: where attempts of a run give the same step, the latest attempt counts."""
+    return scan_runs(spark, path).groupBy("run", "key", "step").agg(F.max_by("value", "attempt").alias("value"))
+
+
 def latest_metrics(metrics: DataFrame) -> DataFrame:
     """Newest value of each (run, key) of an append-only metric table."""
     return metrics.groupBy("run", "key").agg(F.max_by("value", "step").alias("value"), F.max("step").alias("step"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,22 +77,35 @@ def scan_presplit(
     return split(read(base))
 
 
-def scan_sources(sources: Sequence[Mapping], sort: Sequence[str | Column] = ()) -> DataFrame:
-    """Union of the enabled sources, `{"name", "enabled", "read"}` each.
+def read_sources(spark: SparkSession, sources: Sequence[Mapping]) -> tuple[DataFrame | None, DataFrame]:
+    """The union of the enabled sources, `{"name", "enabled", "read"}` each, and (source, reason) of those left out.
 
-    A source whose reader fails while planning is left out; columns may differ. Raises when none is left.
+    The union has a column `source_table` with the name; columns may differ between sources. Left out are disabled sources
+    ('disabled') and those that Spark cannot plan, such as a missing path or column (the condition it names); any other
+    error is raised. The union is None when no source is left.
     """
-    frames = []
+    frames, left_out = [], []
     for source in sources:
         if not source.get("enabled", True):
+            left_out.append((source["name"], "disabled"))
             continue
         try:
-            frames.append(source["read"]())
-        except Exception as error:  # a missing path or a bad schema of one source must not stop the others
-            print(f"source {source.get('name')} left out: {str(error).splitlines()[0]}")
-    if not frames:
+            frames.append(source["read"]().withColumn("source_table", F.lit(source["name"])))
+        except AnalysisException as error:
+            left_out.append((source["name"], error.getCondition() or str(error).splitlines()[0]))
+    reasons = spark.createDataFrame(left_out, "source string, reason string")
+    return (reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None), reasons
+
+
+def scan_sources(spark: SparkSession, sources: Sequence[Mapping], sort: Sequence[str | Column] = (), allowed: Sequence[str] = ()) -> DataFrame:
+    """Union of the enabled sources. Raises when one that isn't `allowed` to be absent cannot be planned, or none is left."""
+    both, reasons = read_sources(spark, sources)
+    absent = [r for r in reasons.collect() if r.reason != "disabled" and r.source not in allowed]
+    if absent:
+        raise ValueError("sources that cannot be read: " + ", ".join(f"{r.source} ({r.reason})" for r in absent))
+    if both is None:
         raise ValueError("no source could be read")
-    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    both = both.drop("source_table")
     return both.orderBy(*sort) if sort else both
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.text import sanitize_ticker
-from tickloom.session import cut
+from tickloom.session import cut, scratch_path
+from tickloom.sources.runs import observed_write
 
 
 def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -18,10 +19,15 @@ def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def sink_parquet_if_nonempty(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
-    """Write unless there is nothing to write; tells whether it did. The test reads one row at most."""
-    if df.isEmpty():
+    """Write unless there is nothing to write; tells whether it did. What lies at `path` stays if there is nothing.
+
+    The plan runs once: its rows are counted while they are staged in the shared scratch folder, and the staged files are
+    copied or forgotten. A table of runs (`runs.publish_run`) needs no copy.
+    """
+    staged = scratch_path(df.sparkSession, "staged")
+    if not observed_write(df, staged):
         return False
-    df.write.mode(mode).parquet(path)
+    df.sparkSession.read.schema(df.schema).parquet(staged).write.mode(mode).parquet(path)
     return True
 
 
@@ -32,11 +38,9 @@ def sink_with_schema(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def sink_csv_with_header(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """CSV whose header is written even when there are no rows."""
-    out = df
-    if df.isEmpty():
-        out = df.sparkSession.createDataFrame([], df.schema).coalesce(1)
-    out.write.mode(mode).option("header", True).csv(path)
+    """CSV whose header is written even when there are no rows. The plan runs once; without rows a second, empty write adds the header."""
+    if not observed_write(df, path, mode, "csv", header=True) and mode != "append":
+        df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
@@ -63,16 +67,15 @@ def sink_run_stamped(df: DataFrame, path: str, run_ts: str) -> str:
     return path
 
 
-def sink_outputs(source: DataFrame, outputs: Mapping[str, tuple[str, Column | None, list[str]]]) -> list[str]:
-    """Several outputs of one expensive plan: `name -> (path, filter, columns)`.
+def sink_outputs(source: DataFrame, outputs: Mapping[str, tuple[str, Column | None, list[str]]]) -> dict[str, int]:
+    """Several outputs of one expensive plan: `name -> (path, filter, columns)`. Returns the rows of each, counted while written.
 
     The plan is written once to the shared scratch folder and every output reads that, so it runs once and
     survives lost executors.
     """
     base = cut(source, "outputs")
-    written = []
-    for path, condition, columns in outputs.values():
+    written = {}
+    for name, (path, condition, columns) in outputs.items():
         part = base if condition is None else base.filter(condition)
-        part.select(*columns).write.mode("overwrite").parquet(path)
-        written.append(path)
+        written[name] = observed_write(part.select(*columns), path)
     return written
