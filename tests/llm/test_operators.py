@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from check import connect, differences
 from tickloom.llm import context_mixing, decontaminate, html_text, kneser_ney, line_dedup, mixing, quotes, simhash, spotsigs, token_file
+from tickloom.llm.html_labels import unmarked
 from tickloom.llm.queries import ORACLE, QUERIES, byte_bpe
 from tickloom.session import scratch_path
 
@@ -64,10 +65,53 @@ def test_main_text():
         assert [b.text in wanted for b in found] == tree.predict(html_text.features(found)).tolist()
 
 
+def test_main_text_of_ordinary_markup():
+    tree, body = html_text.train(), "<h1>T</h1><p>First words of it.</p><p>Second words of it.</p>"
+    want = "T\nFirst words of it.\nSecond words of it."
+    for page in (
+        f'<article title="The hidden valley">{body}</article>',
+        f'<article data-state="hidden" aria-label="hidden">{body}</article>',
+        f"<article><h1>T</h1><p data-x=it's>First words of it.</p><p>Second words of it.</p></article>",
+        f'<article data-a="x > y" data-b=\'a "b" <c>\'>{body}</article>',
+        f'<div class="layout has-sidebar"><article>{body}</article><div class="sidebar"><p>More to read.</p></div></div>',
+        f'<div class="sidebar-layout header"><main>{body}</main></div>',
+        f'<div class="banner-page"><article class="post">{body}</article><div class="widget"><article><h2>Teaser</h2></article></div></div>',
+        f'<main>{body}<section class="comments"><article><p>I was there too.</p></article></section></main>',
+        f'<div hidden><p>Not seen.</p></div><div style="display : none">Nor this.</div><article>{body}</article>',
+        f'<article class="a" class="ad">{body}</article>',
+        "<article><h1>T</h1><p>First <a href=/a>words</a> of it.</p><p><a href=/b>Second words</a> of it now.</p></article>".replace(" now", ""),
+    ):
+        assert html_text.main_text(page, tree) == want, page
+    assert html_text.attributes(""" Class='a &amp; b' HIDDEN data-x=it's id = "q" id=r""") == {"class": "a & b", "hidden": "", "data-x": "it's", "id": "q"}
+    long_page = "<article>" + "<p>A paragraph of seven words, every time.</p>" * 30_000 + "</article>"
+    assert html_text.main_text(long_page, tree).count("\n") == 29_999
+
+
+def test_main_text_without_marks():
+    """Pages of other texts than the labelled ones, in which only the neighbours tell."""
+    rng = random.Random(11)
+
+    def sentence(n):
+        return " ".join(rng.choice(WORDS) for _ in range(n)) + "."
+
+    right = total = 0
+    tree = html_text.train()
+    for k in range(200):
+        texts = [tuple({sentence(rng.randint(*span)) for _ in range(8)}) for span in ((14, 40), (1, 7), (2, 5), (1, 3), (2, 9))]
+        page, wanted = unmarked(k, *texts)
+        for b, keep in zip(found := html_text.blocks(page), tree.predict(html_text.features(found)), strict=True):
+            right += (b.text in wanted) == keep
+            total += 1
+    assert right / total > 0.95
+    shape = set(html_text.FEATURES[:6])
+    assert {html_text.FEATURES[f] for f in tree.feature if f >= 0} & shape >= {"link_density"} and len({html_text.FEATURES[f] for f in tree.feature if f >= 0} & shape) > 2
+
+
 def test_main_text_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>é</p></article>", "x"), (None, None, None, "x"), (1, "u", "", "x")], "page_id bigint, url string, html string, text string")
     rows = sorted(html_text.extract(pages).collect(), key=str)
     assert [(r.page_id, r.text, r.n_chars) for r in rows] == [(1, "", 0), (1, "é", 1), (None, "", 0)]
+    assert html_text.extract(pages.limit(0)).count() == 0
 
 
 def test_mixing(spark):

@@ -24,6 +24,13 @@ def _list(items: tuple[str, ...]) -> str:
     return "<ul>" + "".join(f'<li><a href="/{i}">{t}</a></li>' for i, t in enumerate(items)) + "</ul>"
 
 
+def _partly_linked(text: str, share: float) -> str:
+    """A paragraph whose first words, about `share` of all, are a link."""
+    words = text.split(" ")
+    n = int(len(words) * share)
+    return f"<p><a href='/x'>{' '.join(words[:n])}</a> {' '.join(words[n:])}</p>" if n else f"<p>{text}</p>"
+
+
 def pages() -> list[tuple[str, set[str]]]:
     """(html, texts of the main blocks) of each page; all texts of a page differ, so that a text names its block."""
     out = []
@@ -56,8 +63,33 @@ def pages() -> list[tuple[str, set[str]]]:
         order = [top + head, head + top][k % 2] + [ad + notice, notice, ad][k % 3]
         after = [side + remarks, remarks, side, form + remarks][k % 4]
         out.append((f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{}}</style></head><body>{order}{text}{after}{foot}</body></html>", main))
-    # Plain pages without any mark: only word counts and link densities tell.
-    for k in range(4):
-        body = [*LONG[: 2 + k % 3], SHORT[k]]
-        out.append((f"<html><body><p><a href='/a'>{LINKS[0]}</a> <a href='/b'>{LINKS[1]}</a></p><div><a href='/c'>{LINKS[4]}</a></div>" + "".join(f"<p>{t}</p>" for t in body) + f"<p><a href='/d'>{LINKS[5]}</a> <a href='/e'>{LINKS[6]}</a></p></body></html>", set(body)))
+    # Short main parts that are named as such: alone, first or last on the page, or among links.
+    for k in range(16):
+        text, link = SHORT[k % 5], f"<div><a href='/{k}'>{LINKS[k % 7]}</a></div>"
+        body = [text, *LONG[k % 4 : k % 4 + k // 8]]
+        inner = (link if k & 4 else "").join(_partly_linked(t, (0, 0.2, 0.4, 0.49)[k % 4]) for t in body)
+        tag = ("article", "main")[k // 8]
+        before, after = link if k & 1 else "", link if k & 2 else ""
+        out.append((f"<html><body>{before}<{tag}>{inner}{link if k & 4 else ''}</{tag}>{after}</body></html>", set(body)))
+    out += [unmarked(k, LONG, SHORT, TITLES, LINKS, (*NOTICES[1:], *ADS[1:2], *FEET)) for k in range(36)]
     return out
+
+
+def unmarked(k: int, long: tuple[str, ...], short: tuple[str, ...], titles: tuple[str, ...], links: tuple[str, ...], strips: tuple[str, ...]) -> tuple[str, set[str]]:
+    """Page number k in which no name tells main text from furniture: `strips` are short texts without links, like many
+    paragraphs, but they stand among links or at the ends of the page while paragraphs stand by paragraphs."""
+    def linked(i: int, n: int) -> str:
+        return "<div>" + " ".join(f'<a href="/{j}">{links[(i + j) % len(links)]}</a>' for j in range(n)) + "</div>"
+
+    def strip(i: int) -> str:
+        return f"<p>{strips[i % len(strips)]}</p>"
+
+    title, body = titles[k % len(titles)], []
+    for i in range(2 + k % 3):
+        body.append(long[(k + i) % len(long)])
+        if (k + i) % 2:
+            body.append(short[(k + i) % len(short)])
+    text = (f"<h1>{title}</h1>" if k % 2 else f"<p>{title}</p>") + "".join(_partly_linked(t, (0, 0.1, 0, 0.3, 0.45)[(k + i) % 5]) for i, t in enumerate(body))
+    top = [linked(k, 1), linked(k, 3) + strip(k) + linked(k + 3, 1), strip(k) + linked(k, 2), ""][k % 4]
+    foot = [linked(k + 1, 2) + strip(k + 1), linked(k + 1, 1) + strip(k + 1) + linked(k + 2, 2) + strip(k + 2), linked(k + 1, 1)][(k // 3) % 3]
+    return f"<html><body>{top}{text}{foot}</body></html>", {title, *body}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,8 +32,12 @@ FURNITURE = re.compile(
 )
 MAIN = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text)(?:$|[\s_-]|\d)", re.I)
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_MARKS = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[^>])*)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s/=>]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
+# Class words of a layout that say what else is on the page, not what this element is.
+_AROUND = re.compile(r"(?:^|\s)(?:has|with|no|without|is|js)[_-]\S*", re.I)
+_REMARKS = re.compile(r"(?:^|[\s_-])(?:comments?|discussion|disqus|feedback|recommended|related|replies|reply|respond)(?:$|[\s_-]|\d)", re.I)
+_TITLED = re.compile(r"<(?:h1|(/article))[\s/>]", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after", "in_main", "in_furniture", "heading", "listed")
@@ -52,12 +56,20 @@ class Block:
     listed: bool
 
 
+def attributes(tag: str) -> dict[str, str]:
+    """The attributes of a start tag by lower-case name; of two with one name the first counts, and one without a value is ""."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(tag):
+        found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+    return found
+
+
 class _Reader:
-    """One pass over a page's tags, with a stack of open elements."""
+    """One pass over a page's tags, with a stack of open elements: name, in the main part, in furniture (2: for good), heading, list, hidden."""
 
     def __init__(self):
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool, bool, bool, bool, bool]] = [("", False, False, False, False, False)]
+        self.open: list[tuple[str, bool, int, bool, bool, bool]] = [("", False, 0, False, False, False)]
         self.parts: list[str] = []
         self.linked: list[str] = []
         self.links = self.breaks = 0
@@ -67,7 +79,7 @@ class _Reader:
         if text:
             words = len(text.split(" "))
             _, main, furniture, heading, listed, _ = self.open[-1]
-            self.blocks.append(Block(text, words, len("".join(self.linked).split()) / words, main, furniture, heading, listed))
+            self.blocks.append(Block(text, words, len("".join(self.linked).split()) / words, main, furniture > 0, heading, listed))
         self.parts, self.linked, self.breaks = [], [], 0
 
     def text(self, raw: str) -> None:
@@ -82,7 +94,8 @@ class _Reader:
         if self.links:
             self.linked.append(f" {text} ")
 
-    def start(self, name: str, marks: str) -> None:
+    def start(self, name: str, marks: str, titled: Callable[[], bool]) -> None:
+        """Open an element with the attributes in `marks`; `titled` tells whether it holds a first-level heading."""
         if name == "br":
             self.breaks += 1
             self.parts.append(" ")
@@ -99,18 +112,19 @@ class _Reader:
         if name in VOID:
             return
         _, main, furniture, heading, listed, hidden = self.open[-1]
-        named, role = "", ""
-        for m in _MARKS.finditer(marks):
-            key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-            hidden = hidden or key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and bool(_HIDDEN.search(value)))
-            if key in ("class", "id"):
-                named += " " + value
-            elif key == "role":
-                role = value.lower()
-        if name in ("article", "main") or role in ("main", "article") or (not main and name in ("div", "section") and MAIN.search(named) and not FURNITURE.search(named)):
+        own = attributes(marks)
+        named = _AROUND.sub(" ", f"{own.get('class', '')} {own.get('id', '')}")
+        role = own.get("role", "").lower()
+        hidden = hidden or "hidden" in own or own.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(own.get("style", "")))
+        is_main, is_article = name == "main" or role == "main", name == "article" or role == "article"
+        if furniture == 1 and (is_main or (is_article and titled())):
+            furniture = 0  # a layout's class names what surrounds its main part
+        if is_main or is_article or (not main and name in ("div", "section") and MAIN.search(named) and not FURNITURE.search(named)):
             main = True
-        if name in CHROME or (name == "header" and not main) or (name not in ("article", "main") and name not in HEADINGS and (FURNITURE.search(named) or FURNITURE.search(role))):
-            furniture = True
+        if name in CHROME or (name == "header" and not main):
+            furniture = 2
+        elif name not in ("article", "main") and name not in HEADINGS and (FURNITURE.search(named) or FURNITURE.search(role)):
+            furniture = max(furniture, 2 if main or _REMARKS.search(named) else 1)
         self.open.append((name, main, furniture, heading or name in HEADINGS, listed or name in ("li", "td", "th", "dt", "dd"), hidden))
 
     def end(self, name: str) -> None:
@@ -159,7 +173,7 @@ def blocks(page: str) -> list[Block]:
             if name not in ("svg", "math", "iframe"):
                 reader.border() if name not in ("script", "noscript", "template") else None
             continue
-        reader.start(name, m[3])
+        reader.start(name, m[3], lambda at=at: bool((found := _TITLED.search(page, at)) and not found[1]))
     reader.border()
     return reader.blocks
 
