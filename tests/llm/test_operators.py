@@ -162,6 +162,19 @@ def test_decontamination(spark):
     assert decontaminate.find_overlaps(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_long_items(spark):
+    """Overlaps of long items are found whole, whatever their place; the same item twice counts once."""
+    item = [f"item{k}" for k in range(1500)]
+    changed = [w if k % 9 else f"other{k}" for k, w in enumerate(item)]
+    texts = {0: ["lead", *item, "tail"], 1: item[100:1300], 2: [*changed[301:1201], "end"], 3: item[700:712], 4: item[600:700] + ["gap"] * 200 + item[900:1400]}
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (1, " ".join(item)), (None, " ".join(item[:20]))], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.doc_start, r.item_start, r.n_words, r.n_equal, r.item_words) for r in decontaminate.find_overlaps(docs, bench).collect()}
+    assert found == {
+        (0, 1): (1, 0, 1500, 1500, 1500), (1, 1): (0, 100, 1200, 1200, 1500), (2, 1): (0, 301, 900, 800, 1500),
+        (4, 1): (300, 900, 500, 500, 1500), (0, None): (1, 0, 20, 20, 20)}
+
+
 def longest(equal):
     """(equal words, -words) of the best stretch of which over 4/5 are equal, by brute force."""
     found = [(sum(equal[i:j]), i - j) for i in range(len(equal)) for j in range(i + 1, len(equal) + 1) if 5 * sum(equal[i:j]) > 4 * (j - i)]
@@ -344,6 +357,21 @@ def test_one_of_each_verifies_links(spark):
     assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == sorted(set(label))
 
 
+def test_stages_keep_clashing_columns(spark, folder):
+    names = ["_doc_id", "_text_hash", "text_hash", "component_id", "doc", "a.b", "key", "mix_note"]
+    docs = corpus(spark).drop("copy").withColumns({n: F.lit(777) for n in names if n != "a.b"}).withColumn("a.b", F.lit(777))
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert {tuple(r[n] for n in names) for r in kept.collect()} == {(777,) * len(names)}
+    assert simhash.one_of_each(docs.limit(0)).count() == 0
+    repeated = corpus_pipeline.mixed(spark, docs, folder)
+    assert repeated.columns == docs.columns and {r["a.b"] for r in repeated.collect()} == {777}
+    good = corpus_pipeline.good(spark, docs, folder)
+    assert good.columns == docs.columns and corpus_pipeline.good(spark, docs.limit(0), folder).count() == 0
+    assert corpus_pipeline.unseen(spark, docs, folder).columns == docs.columns
+    assert corpus_pipeline.tokens(spark, docs, folder).count() == docs.count()
+
+
 def test_verified_pairs_replace_a_false_link():
     # Only 0 - 2 and 1 - 3 are 0.8 or more alike (97 of 103); 0 - 1, at 85 of 115, must not stand for either.
     shingles = [np.arange(0, 100), np.arange(15, 115), np.arange(3, 103), np.arange(18, 118)]

@@ -14,15 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.words import U64, Words, batches, mix
+from tickloom.llm.words import U64, Words, batches, filter_rows, mix
 
 #: Every shortest overlap that meets the rule below, wherever its substituted words are, holds one of these.
 MASKS = ("1101100111", "11100101011", "110100110011", "1011111", "1111011")
 MIN_WORDS = 13  # equal words of an overlap, or all words of a shorter item
 SHORTEST = 5  # items of fewer words would match ordinary prose and are not searched
 MISMATCH = 4  # equal words that one substituted word costs: overlaps have more than 4 in 5 equal
-PIECE = 512  # longer items are cut into pieces that overlap by 2 * MIN_WORDS words
-BLOCK_WORDS = 500_000  # benchmark words shipped to the tasks at once; more make more passes
+BLOCK_WORDS = 500_000  # benchmark words shipped to the tasks at once, or one item; more make more passes
 
 PAIRS = "doc_id bigint, item_id bigint, doc_start bigint, item_start bigint, n_words bigint, n_equal bigint, item_words bigint"
 
@@ -60,31 +59,31 @@ def _stretch(equal: np.ndarray) -> tuple[int, int, int]:
 
 
 class Block:
-    """Benchmark pieces with their seed hashes, sorted."""
+    """Benchmark items, (item_id, hashes of their words) each, with their seed hashes, sorted."""
 
-    def __init__(self, pieces: list[tuple[int, int, int, np.ndarray]]):
-        self.pieces = pieces
-        lengths = {len(w) for *_, w in pieces if len(w) < max(map(len, MASKS))}
+    def __init__(self, items: list[tuple[int | None, np.ndarray]]):
+        self.items = items
+        lengths = {len(w) for _, w in items if len(w) < max(map(len, MASKS))}
         self.masks = (*MASKS, *("1" * n for n in sorted(lengths)))
         self.tables = []
         for mask in self.masks:
             found = [
                 (h, np.full(len(h), i), np.arange(len(h)))
-                for i, (*_, w) in enumerate(pieces)
+                for i, (_, w) in enumerate(items)
                 if set(mask) != {"1"} or len(mask) == len(w)
                 for h in [_spaced(w, mask)]
             ]
-            h, piece, at = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int))
+            h, item, at = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int))
             order = np.argsort(h, kind="stable")
             gate = np.zeros(1 << 20, bool)
             gate[(h >> U64(44)).astype(np.int64)] = True
-            self.tables.append((h[order], piece[order], at[order], gate))
+            self.tables.append((h[order], item[order], at[order], gate))
 
     def hits(self, words: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Distinct (row, piece, diagonal) of the seed hits, as three columns; a diagonal is document place less item place."""
+        """Distinct (row, item, diagonal) of the seed hits, as three columns; a diagonal is document place less item place."""
         out = []
         row_of = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-        for mask, (h, piece, at, gate) in zip(self.masks, self.tables, strict=True):
+        for mask, (h, item, at, gate) in zip(self.masks, self.tables, strict=True):
             mine = _spaced(words, mask)
             if not len(mine) or not len(h):
                 continue
@@ -95,36 +94,29 @@ class Block:
             place = np.repeat(here, count)
             k = np.repeat(left, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             row = row_of[place]
-            out.append(np.stack([row, piece[k], place - rows[row] - at[k]], 1))
+            out.append(np.stack([row, item[k], place - rows[row] - at[k]], 1))
         return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), np.int64)
 
     def overlaps(self, words: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int, int]]:
         """(row, item, document start, item start, words, equal words, item words) of the verified overlaps."""
         for row, i, diagonal in self.hits(words, rows).tolist():
-            item, begin, total, theirs = self.pieces[i]
+            item, theirs = self.items[i]
             mine = words[rows[row] : rows[row + 1]]
             lo, hi = max(0, -diagonal), min(len(theirs), len(mine) - diagonal)
-            equal = theirs[lo:hi] == mine[lo + diagonal : hi + diagonal]
-            start, end, n_equal = _stretch(equal)
+            start, end, n_equal = _stretch(theirs[lo:hi] == mine[lo + diagonal : hi + diagonal])
             if n_equal >= min(MIN_WORDS, len(theirs)):
-                yield row, item, start + lo + diagonal, start + lo + begin, end - start, n_equal, total
+                yield row, item, start + lo + diagonal, start + lo, end - start, n_equal, len(theirs)
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, int, int, np.ndarray]]]:
-    """Benchmark pieces in blocks of about BLOCK_WORDS words; each block, and no more, is brought to the driver."""
-    overlap = 2 * MIN_WORDS
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, np.ndarray]]]:
+    """Benchmark items in blocks of about BLOCK_WORDS words; each block, and no more, is brought to the driver."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = (
-        benchmark.select("item_id", words.alias("words"))
-        .where(F.size("words") >= SHORTEST)
-        .select("item_id", "words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - overlap - 1, F.lit(0)), F.lit(PIECE - overlap))).alias("begin"))
-        .select("item_id", "begin", F.size("words").alias("total"), F.slice("words", F.col("begin") + 1, PIECE).alias("piece"))
-    )
-    total = cut.agg(F.sum(F.size("piece"))).first()[0] or 0
+    items = benchmark.select("item_id", words.alias("words")).where(F.size("words") >= SHORTEST)
+    total = items.agg(F.sum(F.size("words"))).first()[0] or 0
     n = -(-total // BLOCK_WORDS)
-    block = F.pmod(F.xxhash64("item_id", "begin", "piece"), F.lit(n))
+    block = F.pmod(F.xxhash64("item_id", "words"), F.lit(n))
     for k in range(n):
-        yield [(r.item_id, r.begin, r.total, Words(pa.array([" ".join(r.piece)])).hashes()) for r in cut.where(block == k).toLocalIterator()]
+        yield [(r.item_id, Words(pa.array([" ".join(r.words)])).hashes()) for r in items.where(block == k).distinct().toLocalIterator()]
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -140,8 +132,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     the documents a block, whatever its size.
     """
     out = None
-    for pieces in _blocks(benchmark):
-        block = Block(pieces)
+    for items in _blocks(benchmark):
+        block = Block(items)
 
         def run(stream: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             schema = pa.schema([(x.split()[0], pa.int64()) for x in PAIRS.split(", ")])
@@ -162,15 +154,14 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, that overlap no benchmark item (see find_overlaps). One scan, no shuffle."""
-    for pieces in _blocks(benchmark):
-        block = Block(pieces)
+    for items in _blocks(benchmark):
+        block = Block(items)
 
-        def run(stream: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
-            for batch in batches(stream):
-                w = Words(batch.column("text"))
-                keep = np.ones(batch.num_rows, bool)
-                keep[[r[0] for r in block.overlaps(w.hashes(), w.rows)]] = False
-                yield batch.filter(pa.array(keep))
+        def keep(batch: pa.RecordBatch, block: Block = block) -> np.ndarray:
+            w = Words(batch.column("text"))
+            clean = np.ones(batch.num_rows, bool)
+            clean[[r[0] for r in block.overlaps(w.hashes(), w.rows)]] = False
+            return clean
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = filter_rows(docs, keep)
     return docs

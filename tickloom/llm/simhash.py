@@ -338,7 +338,8 @@ def one_of_each(docs: DataFrame, shingle: int = 5, words: int = 4, similarity: f
     known = docs.where("doc_id is not null")
     prints = fingerprints(known, shingle, words, exact=False, distinct=True)
     found = near_components(prints, radius, similarity, lambda nodes, links: verified_links(known, nodes, links, radius, shingle, similarity))
-    keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("text_hash").alias("_text_hash")).withColumnRenamed("doc_id", "_doc_id")
-    keyed = known.withColumns({"_doc_id": F.col("doc_id").cast("bigint"), "_text_hash": F.xxhash64("text")})
-    kept = keyed.join(keep, ["_doc_id", "_text_hash"], "left_semi").dropDuplicates(["_doc_id", "_text_hash"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id is null"))
+    keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    keyed = known.select(own, F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    kept = keyed.join(keep, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    return kept.select("doc.*").unionByName(docs.where("doc_id is null"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 U64 = np.uint64
 STEP = 1 << 20  # bytes of text handled at once, so that the arrays made of them stay small
@@ -52,6 +53,19 @@ def batches(stream: Iterator[pa.RecordBatch], column: str = "text", step: int =
         pa.default_memory_pool().release_unused()
 
 
+def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The rows of `docs` for which `keep` of their batch is true, with all columns, whatever their names."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    text = f"c{names.index('text')}"
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(stream, text):
+            yield batch.filter(pa.array(keep(batch.rename_columns(names)), pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
+
+
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, row offsets) of a text column; NULL is an empty text."""
     if column.null_count:
