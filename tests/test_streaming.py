@@ -58,3 +58,13 @@ def test_repeated_articles_count_once(spark, tmp_path):
 
     got = J.sentiment_table(J.read_stream(spark, path, "*.parquet", files_per_batch=1), score).collect()
     assert len(got) == 1 and got[0].daily_news_count == 4 and got[0].daily_sentiment_positive_mean == 0.5
+
+
+def test_stream_of_a_table_that_is_a_folder(spark, folder, tmp_path):
+    """documents.parquet may be a folder of part files; each document still counts once."""
+    want = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    want.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    want.limit(5).coalesce(1).write.parquet(str(tmp_path / "other.parquet"))
+    stream = J.read_stream(spark, str(tmp_path), "documents.parquet", files_per_batch=1)
+    got = J.run_to_store(stream).read().drop("batch_id")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0

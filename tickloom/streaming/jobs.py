@@ -19,12 +19,13 @@ from tickloom.streaming.store import Merge, Store, newest, sums
 
 
 def read_stream(spark: SparkSession, folder: str, pattern: str, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files of a folder as a stream, in the schema of those already there."""
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    """Parquet tables of a folder as a stream, in the schema of what is there: files that match `pattern`, or folders of files."""
+    # A glob path opens folders that match; the option pathGlobFilter would be held against the files inside them.
+    path = f"{folder}/{{{pattern}}}"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def event_time(stream: DataFrame, column: str, delay: str) -> DataFrame:
