@@ -72,6 +72,23 @@ def test_keyword_index_equals_keyword_hits(spark):
             assert got.get((r.id, side), 0) == (r.n or 0), (r.t, side)
 
 
+def test_keywords_join_moves_no_texts(spark):
+    """A long text with many words that begin keywords is not copied for each of them."""
+    words = [f"w{i}" for i in range(40)]
+    df = spark.createDataFrame([(1, " ".join(words)), (1, " ".join(words)), (2, "w1 w3")], "id int, t string")
+    keywords = spark.createDataFrame([(f"{a} {b}", True) for a in words for b in words] + [("w1", True)], "keyword string, positive boolean")
+    found = K.keyword_counts(df, "id", "t", keywords, ["positive"])
+    assert {(r.id, r.hits) for r in found.collect()} == {(1, 80), (2, 2)}
+    joined, plans = [], [found._jdf.queryExecution().optimizedPlan()]
+    while plans:
+        plan = plans.pop()
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+        joined += [x.output().mkString(" ") for x in below if plan.nodeName() == "Join"]
+        plans += below
+    assert joined and not any("_text" in x for x in joined)
+    assert K.keyword_counts(df, "id", "t", keywords.limit(0), ["positive"]).count() == 0
+
+
 def test_keywords_with_signs(spark):
     texts = ["up 5% today", "up 5%x", "s&p 500 rose", "ps&p", "a+ rating", "a+b", "c++"]
     words = ["5%", "s&p", "a+", "new york"]

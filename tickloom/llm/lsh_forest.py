@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.bitmaps import BITS, bitmap, marked
+from tickloom.bitmaps import BITS, bitmap, marked
 from tickloom.llm.components import components
 from tickloom.llm.simhash import _distinct, _mixed_shingles
 from tickloom.llm.words import U64, Words, batches, mix, sums

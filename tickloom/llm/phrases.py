@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.bitmaps import BITS, bitmap, marked
+from tickloom.bitmaps import BITS, bitmap, marked
 from tickloom.llm.words import U64, Words, batches, mix
 from tickloom.session import cut
 
