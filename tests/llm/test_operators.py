@@ -253,6 +253,23 @@ def test_context_mixing(spark):
     assert context_mixing.score(empty(spark)).count() == 0
 
 
+def test_mixing_weights_come_from_all_training_words(spark, monkeypatch):
+    """Two thirds of a megabyte, of which no part is left out, whatever its size."""
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(800))) for i in range(100)], "doc_id long, text string")
+    given, learn = [], context_mixing._mixed_weights
+
+    def seen(words, kinds, counts):
+        given.append(words.agg(F.sum("c")).first()[0])
+        weights = learn(words, kinds, counts)
+        half = learn(words.where("token % 2 = 0"), kinds, counts)
+        assert weights.shape == half.shape and np.isfinite(weights).all() and (weights != half).any()
+        return weights
+
+    monkeypatch.setattr(context_mixing, "_mixed_weights", seen)
+    assert given == [r.train_tokens for r in context_mixing.score(docs).limit(1).collect()]
+
+
 def test_words_have_probability_one():
     mixer = context_mixing._learn([(np.zeros(1 << b, np.float32),) * 2 for b in context_mixing.BITS], *context_mixing._closed(*context_mixing.raw(pa.array([b"ab", b""]))), np.ones(2))
     one = sum(10 ** mixer.log10_words(np.array([b, 0x20], np.uint8)[:1], np.array([0, 1]))[0] for b in range(256))
