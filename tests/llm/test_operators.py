@@ -217,6 +217,32 @@ def test_kneser_ney(spark):
     assert total == pytest.approx(1.0, abs=0.02)
 
 
+def test_kneser_ney_counts_all_trusted_documents(spark, monkeypatch):
+    """Scores are those of a model in memory of all trusted documents, and of all others for a trusted one; no size is left out."""
+    monkeypatch.setattr(kneser_ney, "BUCKET", 4000)
+    monkeypatch.setattr(kneser_ney, "BLOCK", 5000)
+    monkeypatch.setattr(kneser_ney, "COUNTED", 3000)
+    rng = random.Random(3)
+    rows = [(i, prose(rng, rng.randint(0, 90)) + (f" only{i} here{i}" if i % 5 else ""), "en", "s", 0, "x", 1) for i in range(80)]
+    rows += [rows[41], (41, "another row of a trusted id", "en", "s", 0, "x", 1), (90, None, "en", "s", 0, "x", 1), (None, rows[3][1], None, "s", 0, "x", 1)]
+    docs, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(i, 1, 0) for i in range(45)] + [(44, 0, 0), (200, 1, 0)], "doc_id bigint, quality int, toxic int")
+    model = kneser_ney.fit(docs.where("doc_id < 44"))
+    got = kneser_ney.score(docs, labels).collect()
+    assert len(got) == len(rows) and {r.doc_id for r in got if r.lm_trusted} == set(range(44))
+    inside = {}
+    for r in got:
+        u, v, w, _ = kneser_ney._trigrams(kneser_ney.Words(pa.array([r.text or ""]), lower=False))
+        inside[r.doc_id, r.text] = model.score(u, v, w).sum()
+        assert r.lm_words == len(u)
+        if not r.lm_trusted:
+            assert r.lm_log10 == pytest.approx(inside[r.doc_id, r.text], rel=1e-5, abs=1e-6)
+    alone = [r for r in got if r.lm_trusted and f"only{r.doc_id}" in r.text]
+    assert alone and all(r.lm_log10 < inside[r.doc_id, r.text] - 1 for r in alone)
+    # Its own words are as unknown to a trusted document as they are to a copy of it in a model without it.
+    without = kneser_ney.score(docs, labels.where("doc_id <> 8")).where("doc_id = 8").first()
+    assert next(r.lm_log10 for r in got if r.doc_id == 8) == pytest.approx(without.lm_log10, rel=0.05)
+
+
 def test_token_file(spark):
     from tokenizers import Tokenizer
 
