@@ -31,6 +31,20 @@ def words(text):
 # Phrases
 
 
+def test_words_are_numbered_without_a_join(spark):
+    """Rows of words and blocks, of which there are many, meet nothing: as each word has its own rows, its group can number it."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefghij") + rng.choice("klmnop") for _ in range(200)), rng.choice(["en", "fr"])) for i in range(60)]
+    numbered = phrases._numbered(phrases._blocks(table(spark, rows)), 50)
+    assert "Join" not in numbered._jdf.queryExecution().toString()
+    found = numbered.collect()
+    ids = {(r.lang, r.word): r.id for r in found}
+    assert len(set(ids.items())) == len({(lang, i) for (lang, _), i in ids.items()}) == sum(r.first for r in found) and min(ids.values()) > 0
+    counts = Counter((lang, w) for _, text, lang in rows for w in text.split())
+    assert {k: c for k, c in counts.items() if c >= 50} == {(r.lang, r.word): r.f for r in found}
+    assert all(r.id == ids[r.lang, r.word] for r in found)
+
+
 def phrases_by_hand(rows, least, longest, share, top):
     pieces = defaultdict(list)
     for text, lang in rows:

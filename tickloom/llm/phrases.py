@@ -195,8 +195,9 @@ def _blocks(docs: DataFrame) -> DataFrame:
 def _numbered(blocks: DataFrame, least: int) -> DataFrame:
     """(lang, word, f, id, block, place, first) of the words of blocks that occur `least` times or more in their lang.
 
-    f is that number, id counts the words of a lang from 1, place those of a block from 0; first marks one row of each word.
-    Words are dealt once, by groups of their hashes, in which they are summed and numbered.
+    f is that number, id is a number over 0 that no other word of a lang has, place counts the words of a block from 0; first
+    marks one row of each word. Words are dealt once, by groups of their hashes, in which they are summed and numbered from 1;
+    every NUMBERING-th id is that of a group, so ids are nearly dense and no group has to know the size of others.
     """
     each = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
     each = each.select("block", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
@@ -204,13 +205,9 @@ def _numbered(blocks: DataFrame, least: int) -> DataFrame:
     of = Window.partitionBy("lang", "grp", "word")
     often = dealt.withColumn("f", F.sum("n").over(of)).where(F.col("f") >= least)
     often = often.withColumn("first", F.row_number().over(of.orderBy("block")) == 1)
-    often = often.withColumn("own", F.dense_rank().over(Window.partitionBy("lang", "grp").orderBy("word")))
-    often = cut(often.select("lang", "grp", "word", "f", "own", "block", "place", "first"), "frequent-words")
-    sizes = often.where("first").groupBy("lang", "grp").agg(F.count("*").alias("size"))
-    # At most NUMBERING rows of each language.
-    before = F.coalesce(F.sum("size").over(Window.partitionBy("lang").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("lang", "grp", before.alias("before"))
-    return often.join(offsets, ["lang", "grp"]).select("lang", "word", "f", (F.col("before") + F.col("own")).alias("id"), "block", "place", "first")
+    own = F.dense_rank().over(Window.partitionBy("lang", "grp").orderBy("word"))
+    often = often.withColumn("id", own.cast("bigint") * NUMBERING + F.col("grp"))
+    return cut(often.select("lang", "word", "f", "id", "block", "place", "first"), "frequent-words")
 
 
 def _coded(blocks: DataFrame, numbered: DataFrame) -> DataFrame:
