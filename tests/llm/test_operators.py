@@ -296,6 +296,33 @@ def test_mixing_weights_come_from_all_training_words(spark, monkeypatch):
     assert given == [r.train_tokens for r in context_mixing.score(docs).limit(1).collect()]
 
 
+def test_recall_counts_earlier_words():
+    rng = np.random.default_rng(2)
+    rows = np.array([0, 0, 5, 6, 400, 900, 900])
+    number = rng.integers(0, 12, 900)
+    number[6:400] = np.arange(394) % 3
+    row = np.repeat(np.arange(6), np.diff(rows))
+    share, after = context_mixing._recall(number, row, rows)
+    for i in range(900):
+        before = number[rows[row[i]] : i].tolist()
+        assert share[i] == pytest.approx(before.count(number[i]) / max(len(before), 1))
+        followers = [b for a, b in zip(before[:-1], before[1:]) if a == before[-1]] if before else []
+        assert after[i] == pytest.approx(followers.count(number[i]) / len(followers) if followers else 0.0)
+
+
+def test_words_are_scored_once_a_task(monkeypatch):
+    """Remembered scores stay in order as words are added, and only new ones are looked at."""
+    mixer, seen = context_mixing.Mixer([], []), []
+    monkeypatch.setattr(mixer, "log10_words", lambda data, offsets: seen.append(len(offsets) - 1) or np.array([data[i:j].sum() for i, j in zip(offsets[:-1], offsets[1:])], float))
+    scores, rng = context_mixing._Scores(mixer), random.Random(6)
+    for _ in range(20):
+        text = " ".join("".join(rng.choices("abcd", k=rng.randint(1, 3))) for _ in range(30))
+        w = context_mixing.Words(pa.array([text]))
+        kinds, at, number = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        assert scores(w, kinds, at)[number].tolist() == [float(sum((x + " ").encode())) for x in text.split()]
+    assert sum(seen) == len(scores.known) and (np.diff(scores.known.astype(object)) > 0).all()
+
+
 def test_words_have_probability_one():
     mixer = context_mixing._learn([(np.zeros(1 << b, np.float32),) * 2 for b in context_mixing.BITS], *context_mixing._closed(*context_mixing.raw(pa.array([b"ab", b""]))), np.ones(2))
     one = sum(10 ** mixer.log10_words(np.array([b, 0x20], np.uint8)[:1], np.array([0, 1]))[0] for b in range(256))
