@@ -78,3 +78,24 @@ def test_very_long_line(spark):
     got = {r.doc_id: (r.n_equal, r.n_near) for r in line_dedup.report(docs).collect()}
     assert got == {1: (0, 0), 2: (0, 1), 3: (0, 0)}
     assert line_dedup.report(docs.limit(0)).count() == 0 and line_dedup.without_duplicates(docs.limit(0)).count() == 0
+
+
+def test_lines_that_share_much_make_no_rows_unless_they_are_near(spark, monkeypatch):
+    """Copies of a line with other letters put in at one place each: what is written grows with the lines and not with their pairs."""
+    rng = random.Random(6)
+    base = "".join(rng.choice("etaonrishdlu ") for _ in range(80))
+    copies = {base[:k] + "".join(rng.choice("bcfgjkmpqvwxyz") for _ in range(4)) + base[k:] for k in rng.choices(range(30, 80), k=60)}
+    copies |= {base, base[:60] + "e" + base[60:], base[:40] + base[42:]}
+    rows, cut = [], line_dedup.cut
+    monkeypatch.setattr(line_dedup, "cut", lambda df, stem: (out := cut(df, stem), rows.append(out.count()))[0])
+    df = spark.createDataFrame(list(enumerate(sorted(copies))), "line_id bigint, line string")
+    got, ordered = {tuple(r) for r in line_dedup.near_lines(df).collect()}, sorted(copies)
+    assert got == {(i, j) for i in range(len(ordered)) for j in range(i + 1, len(ordered)) if near(ordered[i], ordered[j], 2, 10)}
+    assert len(got) > 0 and max(rows) <= 12 * len(ordered)
+
+
+def test_letter_counts_over_31(spark):
+    pairs = [("e" * 40, "e" * 50), ("e" * 31, "e" * 33), ("e" * 30 + "n" * 70, "e" * 32 + "n" * 70), ("t" * 34, "r" * 34)]
+    a, b = (line_dedup._letters(F.col(c)) for c in "ab")
+    found = spark.createDataFrame(pairs, "a string, b string").select(line_dedup._may_be_near(a, b, 2)).collect()
+    assert [r[0] for r in found] == [False, True, True, True] and "e" in line_dedup.LETTERS
