@@ -296,6 +296,44 @@ def test_mixing_weights_come_from_all_training_words(spark, monkeypatch):
     assert given == [r.train_tokens for r in context_mixing.score(docs).limit(1).collect()]
 
 
+def test_rare_words_count_in_every_context(spark, monkeypatch):
+    """Words that are fewer than one in two millions keep their own counts, whatever else the corpus holds."""
+    rng, context = random.Random(8), len(context_mixing.BITS) - 1
+    rare = sorted({"".join(rng.choices("bcdefgh", k=rng.randint(1, 6))) for _ in range(400)})
+    docs = spark.createDataFrame([(-1, "a " * 2_300_000), *enumerate(rare)], "doc_id long, text string")
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in range(-1, len(rare))}
+    assert not held[-1] and any(held.values())
+    weights = np.zeros((context_mixing.CONFIDENCE**2, len(context_mixing.BITS)), np.float32)
+    weights[:, context] = 1  # the predictor by the word so far alone
+    monkeypatch.setattr(context_mixing, "_mixed_weights", lambda *_: weights)
+    counts = Counter({"a ": 2_300_000, "\n": len(rare) + 1 - sum(held.values())}) + Counter(f"{x} " for i, x in enumerate(rare) if not held[i])
+    nodes = Counter()
+    for word, c in counts.items():
+        bits = "".join(f"{b:08b}" for b in word.encode())
+        for k in range(len(bits) + 1):
+            nodes[bits[:k]] += c
+
+    def log10(word):
+        bits = "".join(f"{b:08b}" for b in word.encode())
+        return sum(math.log10((nodes[bits[: k + 1]] + 0.4) / (nodes[bits[:k]] + 0.8)) for k in range(len(bits)))
+
+    first = 1 / (1 + 2 * math.exp(-2))  # share of a text's first word that its own probability has in the memory of the text
+    got = {r.doc_id: r.score for r in context_mixing.score(docs).where("doc_id >= 0").collect()}
+    assert got == pytest.approx({i: log10(f"{x} ") + math.log10(first) + log10("\n") for i, x in enumerate(rare)}, rel=1e-4)
+
+
+def test_contexts_of_several_blocks_are_counted_whole(spark, monkeypatch):
+    rng = random.Random(9)
+    docs = spark.createDataFrame([(i, " ".join("".join(rng.choices("abcé", k=rng.randint(1, 5))) for _ in range(40))) for i in range(60)], "doc_id long, text string")
+    monkeypatch.setattr(context_mixing, "_mixed_weights", lambda *_: np.full((context_mixing.CONFIDENCE**2, len(context_mixing.BITS)), 0.3, np.float32))
+    whole = {r.doc_id: r.score for r in context_mixing.score(docs).collect()}
+    for size in (300, 20):
+        monkeypatch.setattr(context_mixing, "BLOCK", size)
+        monkeypatch.setattr(context_mixing, "PACK", 2000)
+        monkeypatch.setattr(context_mixing, "BUCKET", 3000)
+        assert {r.doc_id: r.score for r in context_mixing.score(docs).collect()} == pytest.approx(whole, rel=1e-5)
+
+
 def test_recall_counts_earlier_words():
     rng = np.random.default_rng(2)
     rows = np.array([0, 0, 5, 6, 400, 900, 900])
