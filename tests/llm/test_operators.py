@@ -465,6 +465,28 @@ def test_one_of_each_verifies_links(spark):
     assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == sorted(set(label))
 
 
+def test_one_of_each_finds_all_links(spark, monkeypatch):
+    """Texts at just 0.8, of a handful of shingles or many, whatever their fingerprints; a passage that all share links none."""
+    rng, rows = random.Random(12), []
+    word = lambda: f"w{rng.randint(0, 10**9)}"
+    for n in (8, 8, 8, 8, 12, 13, 16, 40) * 12:
+        text = [word() for _ in range(n)]
+        sets = n - 4
+        rows += [text, text[: 4 + math.ceil(0.8 * sets)], text[: 3 + math.ceil(0.8 * sets)]]
+    passage = [word() for _ in range(30)]
+    rows += [passage + [word() for _ in range(rng.randint(6, 9))] for _ in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id bigint, text string")
+    sets = [{tuple(r[i : i + 5]) for i in range(max(1, len(r) - 4))} for r in rows]
+    label = list(range(len(rows)))
+    near = [[j for j in range(len(rows)) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])] for i in range(len(rows))]
+    for _ in range(4):
+        label = [min(label[j] for j in near[i]) for i in range(len(rows))]
+    for entries, pairs in ((simhash.ENTRIES, simhash.PAIRS), (100, 50)):
+        monkeypatch.setattr(simhash, "ENTRIES", entries)
+        monkeypatch.setattr(simhash, "PAIRS", pairs)
+        assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == sorted(set(label))
+
+
 def test_stages_keep_clashing_columns(spark, folder):
     names = ["_doc_id", "_text_hash", "text_hash", "component_id", "doc", "a.b", "key", "mix_note"]
     docs = corpus(spark).drop("copy").withColumns({n: F.lit(777) for n in names if n != "a.b"}).withColumn("a.b", F.lit(777))

@@ -4,6 +4,9 @@ Distinct fingerprints are put into tiles, tiles into blocks of bounded size, and
 exclusive-or and bit counts. A pair of tiles is skipped if population counts rule out every link: each part of a
 fingerprint differs in at least as many bits as its population counts differ, so the differences of all parts are
 summed. A block pair returns a spanning forest of its links, never all pairs within a group.
+
+Similar texts whose fingerprints differ by more bits are found by their shingles: two sets of a Jaccard similarity of t share
+one of the n - ceil(t n) + 1 shingles that come first in an order of all shingles, rare ones first.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
+from tickloom.llm.kneser_ney import KEYS, _bucket, _pack, _unpack
 from tickloom.llm.words import U64, Words, batches, mix, sums
 from tickloom.session import cut
 
@@ -26,6 +30,9 @@ SHINGLES = 1 << 17  # shingles of a block that carries them, about, or one docum
 SLICE = 32  # rows of a block compared at once with all of the other
 #: 16-bit lanes of a fingerprint word whose population counts make a tile
 LANES = 4
+RARITY = 20  # bits of a shingle's hash by which occurrences are added up, to put rare shingles first
+ENTRIES = 1 << 20  # first shingles of a bucket, about, and those of a task that are dealt out together
+PAIRS = 1 << 21  # pairs of sets with a common first shingle that are looked at together
 
 # All eight bits of a byte as eight lanes of a 64-bit number, highest bit first in memory.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
@@ -276,6 +283,22 @@ def _compare_groups(members: DataFrame, radius: int, similarity: float) -> DataF
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
+def _sets_of(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """(key, shingles) of nodes, from the text of the `row` of each."""
+    chosen = nodes.select("key", F.col("row.doc_id").alias("_doc_id"), F.col("row.text_hash").alias("_text_hash"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("_doc_id"), F.xxhash64("text").alias("_text_hash"), "text")
+    texts = texts.join(chosen, ["_doc_id", "_text_hash"]).dropDuplicates(["_doc_id", "_text_hash"])
+    return cut(_shingle_sets(texts, shingle), "shingles")
+
+
+def _judged(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, holds): whether the shingles of the keys a and b are as similar."""
+    met = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    met = met.select("a", "b", F.size("x").alias("m"), F.size("y").alias("n"), common.alias("common"))
+    return cut(met.select("a", "b", (F.col("common") >= similarity * (F.col("m") + F.col("n") - F.col("common")) - 1e-9).alias("holds")), "judged")
+
+
 def verified_links(docs: DataFrame, nodes: DataFrame, links: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
     """(a, b) links of texts whose shingles have a Jaccard similarity of `similarity` or more, enough to keep every component.
 
@@ -285,14 +308,8 @@ def verified_links(docs: DataFrame, nodes: DataFrame, links: DataFrame, radius:
     links = cut(links, "candidates")
     ends = links.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     linked = cut(nodes.join(ends, "key"), "linked")
-    chosen = linked.select("key", F.col("row.doc_id").alias("_doc_id"), F.col("row.text_hash").alias("_text_hash"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("_doc_id"), F.xxhash64("text").alias("_text_hash"), "text")
-    texts = texts.join(chosen, ["_doc_id", "_text_hash"]).dropDuplicates(["_doc_id", "_text_hash"])
-    sets = cut(_shingle_sets(texts, shingle), "shingles")
-    met = links.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    met = met.select("a", "b", F.size("x").alias("m"), F.size("y").alias("n"), common.alias("common"))
-    judged = cut(met.select("a", "b", (F.col("common") >= similarity * (F.col("m") + F.col("n") - F.col("common")) - 1e-9).alias("holds")), "judged")
+    sets = _sets_of(docs, linked, shingle)
+    judged = _judged(links, sets, similarity)
     holding = judged.where("holds").select("a", "b")
     if judged.where("not holds").isEmpty():
         return holding
@@ -304,6 +321,121 @@ def verified_links(docs: DataFrame, nodes: DataFrame, links: DataFrame, radius:
     return holding.unionByName(_compare_groups(members, radius, similarity))
 
 
+def _rarity(docs: DataFrame, shingle: int) -> np.ndarray:
+    """How often shingles occur, by the first bits of their hashes, on a logarithmic scale.
+
+    It puts shingles in order and rules nothing out: those that share bits with frequent ones only cost time.
+    """
+
+    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << RARITY, np.int64)
+        for batch in batches(stream):
+            h, _ = _distinct(*_mixed_shingles(Words(batch.column("text")), shingle))
+            total += np.bincount((h >> U64(64 - RARITY)).astype(np.int64), minlength=len(total))
+        parts = total.reshape(64, -1)
+        yield pa.record_batch([pa.array(np.arange(64)), pa.array([_pack(x, np.int64) for x in parts], pa.binary())], names=["part", "counts"])
+
+    def add(parts: pa.Table) -> pa.Table:
+        total = sum(_unpack(x.as_py(), np.int64) for x in parts.column("counts"))
+        level = np.minimum(8 * np.log2(total + 1), 255).astype(np.uint8)
+        return pa.table([parts.column("part").slice(0, 1), pa.array([level.tobytes()], pa.binary())], names=["part", "level"])
+
+    rows = docs.select("text").mapInArrow(count, "part bigint, counts binary").groupBy("part").applyInArrow(add, "part bigint, level binary").collect()  # 1 MB
+    found = {r.part: np.frombuffer(r.level, np.uint8) for r in rows}
+    none = np.zeros((1 << RARITY) // 64, np.uint8)
+    return np.concatenate([found.get(k, none) for k in range(64)])
+
+
+_COLUMNS = {"h": KEYS, "set_hash": np.uint64, "n": np.uint32, "place": np.uint32}
+
+
+def _first_shingles(docs: DataFrame, shingle: int, similarity: float, level: np.ndarray, buckets: int) -> DataFrame:
+    """(bucket, h, set_hash, n, place) of the first n - ceil(similarity n) + 1 shingles of each set, rare ones first, of those that several sets have among theirs."""
+    names = list(_COLUMNS)
+
+    def dealt(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        h, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(h)
+        columns = [h[order], *(x[order] for x in rest)]
+        ends = np.searchsorted(_bucket(columns[0], buckets), np.arange(buckets), "right").tolist()
+        parts = [(b, slice(at, end)) for b, (at, end) in enumerate(zip([0, *ends], ends)) if at < end]
+        packed = [pa.array([_pack(x[i], kind) for _, i in parts], pa.binary()) for x, kind in zip(columns, _COLUMNS.values(), strict=True)]
+        return pa.record_batch([pa.array([b for b, _ in parts], pa.int64()), *packed], names=["bucket", *names])
+
+    def first(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches(stream):
+            h, offsets = _distinct(*_mixed_shingles(Words(batch.column("text")), shingle))
+            n, set_hash = np.diff(offsets), sums(mix(h + U64(1)), offsets)
+            row = np.repeat(np.arange(len(n)), n)
+            h = h[np.lexsort((h, level[(h >> U64(64 - RARITY)).astype(np.int64)], row))]
+            place = np.arange(len(h)) - offsets[row]
+            prefix = n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1
+            prefix[np.setdiff1d(np.arange(len(n)), np.unique(set_hash, return_index=True)[1])] = 0  # equal sets once
+            here = place < prefix[row]
+            held.append([h[here], set_hash[row[here]], n[row[here]], place[here]])
+            size += np.count_nonzero(here)
+            if size > ENTRIES:
+                yield dealt(held)
+                held, size = [], 0
+        if held:
+            yield dealt(held)
+
+    def meet(pieces: pa.Table) -> pa.Table:
+        h, set_hash, n, place = (np.concatenate([_unpack(x.as_py(), kind) for x in pieces.column(c)]) for c, kind in _COLUMNS.items())
+        order = np.lexsort((set_hash, h))
+        h, set_hash = h[order], set_hash[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (set_hash[1:] != set_hash[:-1])
+        h, set_hash, order = h[new], set_hash[new], order[new]
+        same = np.zeros(len(h) + 1, bool)
+        same[1:-1] = h[1:] == h[:-1]
+        several = same[1:] | same[:-1]
+        out = [h[several].view(np.int64), set_hash[several].view(np.int64), n[order[several]].astype(np.int64), place[order[several]].astype(np.int64)]
+        bucket = pa.array(np.full(len(out[0]), pieces.column("bucket")[0].as_py()), pa.int64())
+        return pa.table([bucket, *(pa.array(x) for x in out)], names=["bucket", *names])
+
+    pieces = docs.select("text").mapInArrow(first, "bucket bigint, " + ", ".join(f"{c} binary" for c in names))
+    return pieces.groupBy("bucket").applyInArrow(meet, "bucket bigint, " + ", ".join(f"{c} bigint" for c in names))
+
+
+def links_by_shingles(docs: DataFrame, nodes: DataFrame, links: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b) of all pairs of `nodes` in different components of `links` whose shingles have a Jaccard similarity of `similarity` or more.
+
+    Pairs are looked at if they share one of their first shingles; sizes and places of their first common one rule pairs out.
+    """
+    buckets = min((nodes.agg(F.sum("n")).first()[0] or 0) // (5 * ENTRIES) + 1, 1 << 16)
+    firsts = _first_shingles(docs, shingle, similarity, _rarity(docs, shingle), buckets)
+    roots = components(links).select(F.col("node").alias("key"), "root")
+    sets = nodes.select("set_hash", "n", "key").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+    def pair(rows: pa.Table) -> pa.Table:
+        h, key, root, n, place = (rows.column(c).to_numpy() for c in ("h", "key", "root", "n", "place"))
+        order = np.lexsort((root, h))
+        h, key, root, n, place = (x[order] for x in (h, key, root, n, place))
+        # Rows of a shingle meet those behind the rows of their own component.
+        ends = np.flatnonzero(np.append((h[1:] != h[:-1]) | (root[1:] != root[:-1]), True)) + 1
+        behind = ends[np.searchsorted(ends, np.arange(len(h)), "right")]
+        times = np.searchsorted(h, h, "right") - behind
+        upto, out, at = np.cumsum(times), np.zeros((0, 2), np.int64), 0
+        while at < len(h):
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+            many = times[at:to]
+            i = np.repeat(np.arange(at, to), many)
+            j = np.repeat(behind[at:to] - np.cumsum(many) + many, many) + np.arange(len(i))
+            near = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
+            near &= np.minimum(n[i] - place[i], n[j] - place[j]) >= similarity / (1 + similarity) * (n[i] + n[j]) - 1e-9
+            found = np.stack([np.minimum(key[i[near]], key[j[near]]), np.maximum(key[i[near]], key[j[near]])], 1)
+            out, at = np.unique(np.concatenate([out, found]), axis=0), to
+        return pa.table([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
+
+    met = firsts.join(sets, ["set_hash", "n"]).select("bucket", "h", "key", "root", "n", "place")
+    pairs = cut(met.groupBy("bucket").applyInArrow(pair, "a bigint, b bigint").distinct(), "pairs", free=True)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    judged = _judged(pairs, _sets_of(docs, nodes.join(ends, "key"), shingle), similarity)
+    return judged.where("holds").select("a", "b")
+
+
 def near_components(prints: DataFrame, radius: int, ratio: float = 0.0, verify: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """The table of fingerprints() with component_id, the smallest doc_id reachable over links of `radius` or fewer bits.
 
@@ -319,7 +451,7 @@ def near_components(prints: DataFrame, radius: int, ratio: float = 0.0, verify:
     nodes = prints.groupBy(*node).agg(F.min("doc_id").alias("least"), *row, *([] if ratio else [F.lit(0).cast("bigint").alias("n")])).withColumn("key", key)
     nodes = cut(nodes, "nodes")
     links = near_links(nodes.select("key", "n", *names), radius, ratio)
-    roots = components(verify(nodes.select("key", "n", *names, "row"), links) if verify else links)
+    roots = components(verify(nodes.drop("least"), links) if verify else links)
     rooted = nodes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(rooted.join(least, "root").select(*node, "component_id"), node).select(*prints.columns, "component_id")
@@ -328,16 +460,20 @@ def near_components(prints: DataFrame, radius: int, ratio: float = 0.0, verify:
 def one_of_each(docs: DataFrame, shingle: int = 5, words: int = 4, similarity: float = 0.8) -> DataFrame:
     """The rows of `docs`, all columns, with one document kept of each group of near duplicates.
 
-    Documents link if the Jaccard similarity of their sets of shingles is at least `similarity`. The pairs looked at are
-    those with as many equal fingerprint bits and numbers of shingles that differ by no more than that ratio; of the pairs
-    at a similarity of just 0.8 these are about 98 % in simulations, not all. The smallest doc_id of a
+    Documents link if the Jaccard similarity of their sets of shingles is at least `similarity`, all of them. Most links are
+    found among the pairs with as many equal fingerprint bits, the rest by common rare shingles. The smallest doc_id of a
     group stays; rows of one doc_id are one document: the row with the smallest text hash. NULL and empty texts are one
     group. Rows with a NULL doc_id cannot be named and all stay.
     """
     radius = int(64 * words * (1 - similarity) + 1e-9)
     known = docs.where("doc_id is not null")
     prints = fingerprints(known, shingle, words, exact=False, distinct=True)
-    found = near_components(prints, radius, similarity, lambda nodes, links: verified_links(known, nodes, links, radius, shingle, similarity))
+
+    def verify(nodes: DataFrame, links: DataFrame) -> DataFrame:
+        alike = cut(verified_links(known, nodes, links, radius, shingle, similarity), "verified")
+        return alike.unionByName(links_by_shingles(known, nodes, alike, shingle, similarity))
+
+    found = near_components(prints, radius, similarity, verify)
     keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     keyed = known.select(own, F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
