@@ -469,7 +469,7 @@ def test_one_of_each_finds_all_links(spark, monkeypatch):
     """Texts at just 0.8, of a handful of shingles or many, whatever their fingerprints; a passage that all share links none."""
     rng, rows = random.Random(12), []
     word = lambda: f"w{rng.randint(0, 10**9)}"
-    for n in (8, 8, 8, 8, 12, 13, 16, 40) * 12:
+    for n in (9, 9, 9, 9, 14, 14, 19, 44) * 6:
         text = [word() for _ in range(n)]
         sets = n - 4
         rows += [text, text[: 4 + math.ceil(0.8 * sets)], text[: 3 + math.ceil(0.8 * sets)]]
@@ -481,9 +481,9 @@ def test_one_of_each_finds_all_links(spark, monkeypatch):
     near = [[j for j in range(len(rows)) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])] for i in range(len(rows))]
     for _ in range(4):
         label = [min(label[j] for j in near[i]) for i in range(len(rows))]
-    for entries, pairs in ((simhash.ENTRIES, simhash.PAIRS), (100, 50)):
-        monkeypatch.setattr(simhash, "ENTRIES", entries)
-        monkeypatch.setattr(simhash, "PAIRS", pairs)
+    for entries, pairs in ((1 << 20, 1 << 21), (100, 50)):
+        monkeypatch.setattr(simhash, "ENTRIES", entries, raising=False)
+        monkeypatch.setattr(simhash, "PAIRS", pairs, raising=False)
         assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == sorted(set(label))
 
 
